@@ -46,3 +46,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Respread an input too small to fill the cluster before heavy work in tasks.
+
+    Judged by the planner's size estimate, without running anything. An input with at
+    least one full split per core keeps its partitions, so large data is never shuffled
+    for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    split = 128 * 1024 * 1024
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores, key) if int(estimate) < cores * split else df
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
