@@ -26,11 +26,14 @@ def is_json(text: Column | str) -> Column:
     return F.coalesce(F.size(elements) == 1, F.lit(False))
 
 
-def json_object(text: Column | str) -> Column:
+def parse_objects(text: Column | str) -> Column:
+    """Bracketed text as an array of maps; ``sole_object`` reads the result."""
+    return F.from_json(_bracketed(as_column(text)), "array<map<string,string>>", _STRICT)
+
+
+def sole_object(text: Column | str, maps: Column) -> Column:
     """``map<string,string>`` of a text holding one JSON object, else NULL."""
-    text = as_column(text)
-    looks_like_object = F.ltrim(text, F.lit(WHITESPACE)).startswith("{")
-    maps = F.from_json(_bracketed(text), "array<map<string,string>>", _STRICT)
+    looks_like_object = F.ltrim(as_column(text), F.lit(WHITESPACE)).startswith("{")
     return F.when(looks_like_object & F.coalesce(F.size(maps) == 1, F.lit(False)), F.get(maps, F.lit(0)))
 
 
@@ -45,10 +48,13 @@ def last_value(obj: Column, key: str) -> Column:
     return F.try_element_at(entries_for(obj, key), F.lit(-1))["value"]
 
 
-def json_variant(text: Column | str) -> Column:
+def parse_variants(text: Column | str) -> Column:
+    """Bracketed text as a variant array; ``sole_variant`` reads the result."""
+    return F.try_parse_json(_bracketed(as_column(text)))
+
+
+def sole_variant(parsed: Column | str) -> Column:
     """Variant of the text when it is exactly one JSON value, else NULL."""
-    text = as_column(text)
-    parsed = F.try_parse_json(_bracketed(text))
     single = F.try_variant_get(parsed, "$[1]", "variant").isNull()
     return F.when(single, F.try_variant_get(parsed, "$[0]", "variant"))
 

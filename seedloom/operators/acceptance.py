@@ -110,9 +110,11 @@ def greedy_accept(
     if seed_index is not None:
         seeds = seed_index.select(F.lit(-1).cast("bigint").alias("seq"), "embedding")
 
-    rows = candidates.filter(F.col("gate").isNull()).select("seq", "label", "embedding", *text)
-    rows = rows.filter(F.col("label").isin(progress.open_labels()))
-    if not progress.done():
+    # The narrow columns are read many times; the parsing behind them runs once.
+    candidates = cut_lineage(candidates.select("seq", "label", "embedding", "gate", *text))
+    rows = candidates.filter(F.col("gate").isNull() & F.col("label").isin(progress.open_labels())).drop("gate")
+    filtered = seeds is not None or (use_minhash and seed_texts is not None)
+    if filtered and not progress.done():
         if seeds is not None:
             judged = semantic_redundant(rows, seeds, threshold)
             rows = rows.join(judged.filter(~F.col("is_redundant")).select("seq"), "seq", "left_semi")

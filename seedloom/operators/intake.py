@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedloom.functions.columns import with_computed
 from seedloom.functions.jsontext import entries_for
 from seedloom.functions.text import strip
 
@@ -65,20 +66,21 @@ def map_and_validate(
 ) -> DataFrame:
     """Add ``text, label, extra, reject_reason`` (NULL reason means the row is valid)."""
     defect = F.col("defect") if "defect" in raw.columns else F.lit(None).cast("string")
-    text = _field(text_key, null_as_literal)
-    label = _field(label_key, null_as_literal)
+    rows = with_computed(
+        raw, {"text": _field(text_key, null_as_literal), "label": _field(label_key, null_as_literal)}
+    )
     reason = (
         F.when(~F.col("is_object"), NOT_OBJECT)
-        .when(F.coalesce(text, F.lit("")) == "", MISSING_TEXT)
-        .when(F.coalesce(label, F.lit("")) == "", MISSING_LABEL)
+        .when(F.coalesce("text", F.lit("")) == "", MISSING_TEXT)
+        .when(F.coalesce("label", F.lit("")) == "", MISSING_LABEL)
     )
     taken = [text_key, label_key, "text", "label"]
     extra = F.map_filter("raw", lambda key, _: ~key.isin(taken))
-    return raw.select(
+    return rows.select(
         "row_idx",
         "raw",
-        text.alias("text"),
-        label.alias("label"),
+        "text",
+        "label",
         F.transform_values(extra, lambda _, value: F.coalesce(value, F.lit(""))).alias("extra"),
         F.coalesce(defect, reason).alias("reject_reason"),
     )

@@ -8,11 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedloom.functions.columns import with_computed
 from seedloom.functions.jsontext import (
     entries_for,
     is_json,
-    json_object,
-    json_variant,
+    parse_objects,
+    parse_variants,
+    sole_object,
+    sole_variant,
     variant_type,
 )
 from seedloom.functions.text import as_column, is_blank, strip
@@ -56,8 +59,9 @@ def explode_candidates(responses: DataFrame, text_col: str = "generated_text") -
     Adds ``candidate_pos, cleaned_text, batch_status`` (``json``, ``quoted``, ``empty``).
     """
     raw = F.coalesce(F.col(text_col), F.lit(""))
-    staged = responses.withColumn("_clean", _without_fence(strip(F.regexp_replace(raw, THINKING, ""))))
-    staged = staged.withColumn("_results", _string_list(json_variant(F.regexp_extract("_clean", BRACES, 0)), "$.results"))
+    staged = with_computed(responses, {"_clean": _without_fence(strip(F.regexp_replace(raw, THINKING, "")))})
+    staged = with_computed(staged, {"_parsed": parse_variants(F.regexp_extract("_clean", BRACES, 0))})
+    staged = with_computed(staged, {"_results": _string_list(sole_variant("_parsed"), "$.results")})
     has_braces = F.col("_clean").contains("{") & F.col("_clean").contains("}")
     from_json = F.filter(F.transform("_results", lambda item: strip(item)), lambda item: item != "")
     quoted = F.filter(
@@ -73,7 +77,7 @@ def explode_candidates(responses: DataFrame, text_col: str = "generated_text") -
         F.when(F.size("_texts") == 0, "empty").when(F.col("_results").isNotNull(), "json").otherwise("quoted")
     )
     return (
-        staged.withColumn("_texts", texts)
+        with_computed(staged, {"_texts": texts})
         .withColumn("batch_status", status)
         .select(
             *responses.columns,
@@ -100,33 +104,30 @@ def judge_scores(candidates: DataFrame, raw_col: str = "judge_raw_output") -> Da
     string ``reasoning``. Status is ``ok``, ``low_score`` or ``judge_parse``.
     """
     metrics = ("fidelity", "naturalness", "utility")
-    staged = candidates.withColumn("_judge", json_variant(F.coalesce(F.col(raw_col), F.lit("{}"))))
-    scores = {
-        name: F.try_variant_get("_judge", f"$.{name}", "string").try_cast("double") for name in metrics
-    }
-    complete = variant_type(F.col("_judge"), "$.reasoning") == "STRING"
-    for score in scores.values():
-        complete = complete & score.between(0.0, 1.0)
-    complete = F.coalesce(complete, F.lit(False))
+    staged = with_computed(candidates, {"_parsed": parse_variants(F.coalesce(F.col(raw_col), F.lit("{}")))})
+    staged = with_computed(staged, {"_judge": sole_variant("_parsed")})
+    read = {f"_{name}": F.try_variant_get("_judge", f"$.{name}", "string").try_cast("double") for name in metrics}
+    read["_typed"] = variant_type(F.col("_judge"), "$.reasoning") == "STRING"
+    staged = with_computed(staged, read)
+    complete = F.col("_typed")
+    for name in metrics:
+        complete = complete & F.col(f"_{name}").between(0.0, 1.0)
     overall = (
-        F.col("fidelity") * FIDELITY_WEIGHT
-        + F.col("naturalness") * NATURALNESS_WEIGHT
-        + F.col("utility") * UTILITY_WEIGHT
+        F.col("_fidelity") * FIDELITY_WEIGHT
+        + F.col("_naturalness") * NATURALNESS_WEIGHT
+        + F.col("_utility") * UTILITY_WEIGHT
     )
-    reasoning = F.try_variant_get("_judge", "$.reasoning", "string")
-    return (
-        staged.select(
-            *candidates.columns,
-            *[F.when(complete, score).alias(name) for name, score in scores.items()],
-            F.when(complete, reasoning).alias("reasoning"),
-        )
-        .withColumn("overall_score", overall)
-        .withColumn(
-            "judge_status",
-            F.when(F.col("overall_score").isNull(), "judge_parse")
-            .when(F.col("overall_score") < JUDGE_THRESHOLD, "low_score")
-            .otherwise("ok"),
-        )
+    staged = with_computed(staged, {"overall_score": F.when(F.coalesce(complete, F.lit(False)), overall)})
+    scored = F.col("overall_score").isNotNull()
+    status = (
+        F.when(~scored, "judge_parse").when(F.col("overall_score") < JUDGE_THRESHOLD, "low_score").otherwise("ok")
+    )
+    return staged.select(
+        *candidates.columns,
+        *[F.when(scored, F.col(f"_{name}")).alias(name) for name in metrics],
+        F.when(scored, F.try_variant_get("_judge", "$.reasoning", "string")).alias("reasoning"),
+        "overall_score",
+        status.alias("judge_status"),
     )
 
 
@@ -135,10 +136,17 @@ def judge_scores(candidates: DataFrame, raw_col: str = "judge_raw_output") -> Da
 
 def parse_rules(responses: DataFrame, raw_col: str = "raw_rules") -> DataFrame:
     """Add ``diversity_rules, unknown_diversity_rules, rules_status``; bad replies use the fallback."""
-    document = json_variant(_without_fence(strip(F.coalesce(F.col(raw_col), F.lit("")))))
-    staged = responses.withColumn("_doc", document)
-    rules = _string_list(F.col("_doc"), "$.diversity_rules")
-    unknown_rules = _string_list(F.col("_doc"), "$.unknown_diversity_rules")
+    body = _without_fence(strip(F.coalesce(F.col(raw_col), F.lit(""))))
+    staged = with_computed(responses, {"_parsed": parse_variants(body)})
+    staged = with_computed(staged, {"_doc": sole_variant("_parsed")})
+    staged = with_computed(
+        staged,
+        {
+            "_rules": _string_list(F.col("_doc"), "$.diversity_rules"),
+            "_unknown_rules": _string_list(F.col("_doc"), "$.unknown_diversity_rules"),
+        },
+    )
+    rules, unknown_rules = F.col("_rules"), F.col("_unknown_rules")
     good = rules.isNotNull() & unknown_rules.isNotNull()
     return staged.select(
         *responses.columns,
@@ -182,18 +190,23 @@ def parse_evaluation_response(df: DataFrame, text_col: str, out: str = "raw_labe
     Adds ``out`` (``unknown`` when nothing is found) and ``{out}_status``:
     ``json``, ``no_label``, ``line`` or ``failed``.
     """
-    body = strip(F.coalesce(F.col(text_col), F.lit("")))
+    staged = with_computed(df, {"_body": strip(F.coalesce(F.col(text_col), F.lit("")))})
+    body = F.col("_body")
     fenced = F.get(F.split(F.get(F.split(body, "```json"), F.lit(1)), "```"), F.lit(0))
     sliced = (
         F.when(body.contains("```json"), strip(fenced))
         .when(body.contains("{"), F.regexp_extract(body, BRACES, 0))
         .otherwise(body)
     )
-    staged = df.withColumn("_body", sliced)
-    staged = staged.withColumn("_label", _label_of(json_object("_body"))).withColumn("_valid", is_json("_body"))
+    staged = with_computed(staged, {"_body": sliced})
+    staged = with_computed(staged, {"_maps": parse_objects("_body")})
+    staged = with_computed(staged, {"_label": _label_of(sole_object("_body", F.col("_maps")))})
+    valid = F.coalesce(F.size("_maps") == 1, F.lit(False)) | is_json("_body")
+    staged = with_computed(staged, {"_valid": F.col("_label").isNotNull() | valid})
     line = F.get(F.filter(F.split("_body", "\n"), lambda row: F.contains(row, F.lit('"label":'))), F.lit(0))
     scanned = strip(F.translate(F.substring_index(line, '"label":', -1), '",', ""))
-    scanned = F.when(~F.col("_valid"), scanned)
+    staged = with_computed(staged, {"_scanned": F.when(~F.col("_valid"), scanned)})
+    scanned = F.col("_scanned")
     status = (
         F.when(F.col("_label").isNotNull(), "json")
         .when(F.col("_valid"), "no_label")
@@ -202,7 +215,7 @@ def parse_evaluation_response(df: DataFrame, text_col: str, out: str = "raw_labe
     )
     return staged.withColumns(
         {out: F.coalesce("_label", scanned, F.lit(UNKNOWN)), f"{out}_status": status}
-    ).drop("_body", "_label", "_valid")
+    ).drop("_body", "_maps", "_label", "_valid", "_scanned")
 
 
 def parse_interactive_response(df: DataFrame, text_col: str, out: str = "raw_label") -> DataFrame:
@@ -212,23 +225,32 @@ def parse_interactive_response(df: DataFrame, text_col: str, out: str = "raw_lab
     (outermost braces), ``pair`` (``label: value``), ``short`` (under five words) or
     ``failed``. An object without a label answers ``unknown``.
     """
-    staged = df.withColumn("_body", strip(F.coalesce(F.col(text_col), F.lit(""))))
+    staged = with_computed(df, {"_body": strip(F.coalesce(F.col(text_col), F.lit("")))})
     block = strip(F.translate(F.regexp_extract("_body", BRACES, 0), "\n", " "))
-    staged = staged.withColumns({"_whole": json_object("_body"), "_block": json_object(block)})
-    pair = F.regexp_extract("_body", LABEL_PAIR, 1)
+    staged = with_computed(staged, {"_whole_maps": parse_objects("_body"), "_block_text": block})
+    staged = with_computed(
+        staged,
+        {
+            "_whole": sole_object("_body", F.col("_whole_maps")),
+            "_block_maps": parse_objects("_block_text"),
+        },
+    )
+    staged = with_computed(staged, {"_block": sole_object("_block_text", F.col("_block_maps"))})
+    staged = with_computed(staged, {"_pair": F.regexp_extract("_body", LABEL_PAIR, 1)})
     words = F.regexp_count("_body", F.lit(r"(?U)[^\s\x1c-\x1f]+"))
     short = (words < SHORT_ANSWER_WORDS) & ~F.col("_body").contains("{")
     stages = [
         ("json", F.col("_whole").isNotNull(), F.coalesce(_label_of(F.col("_whole")), F.lit(UNKNOWN))),
         ("block", F.col("_block").isNotNull(), F.coalesce(_label_of(F.col("_block")), F.lit(UNKNOWN))),
-        ("pair", pair != "", pair),
+        ("pair", F.col("_pair") != "", F.col("_pair")),
         ("short", short, F.col("_body")),
     ]
     label, status = F.lit(PARSE_FAILED), F.lit("failed")
     for name, applies, value in reversed(stages):
         label = F.when(applies, value).otherwise(label)
         status = F.when(applies, F.lit(name)).otherwise(status)
-    return staged.withColumns({out: label, f"{out}_status": status}).drop("_body", "_whole", "_block")
+    found = with_computed(staged, {out: label, f"{out}_status": status})
+    return found.drop("_body", "_whole_maps", "_block_text", "_whole", "_block_maps", "_block", "_pair")
 
 
 def token_confidence(logprobs: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedloom.functions.jsontext import json_object, last_value
+from seedloom.functions.jsontext import last_value, parse_objects, sole_object
 from seedloom.operators.prompts import DEFAULT_ROLE, DEFAULT_TASK, classify_user, label_target, message
 
 
@@ -27,7 +27,8 @@ def sft_messages(
 def sft_verify(conversations: DataFrame, labels: list[str]) -> DataFrame:
     """Add ``target_label`` re-read from the assistant turn and ``target_ok``."""
     target = F.get("messages", F.size("messages") - 1)
-    label = F.when(target["role"] == "assistant", last_value(json_object(target["content"]), "label"))
+    maps = parse_objects(target["content"])
+    label = F.when(target["role"] == "assistant", last_value(sole_object(target["content"], maps), "label"))
     known = F.array_contains(F.lit(labels), F.col("target_label")) if labels else F.lit(False)
     return conversations.withColumn("target_label", label).withColumn(
         "target_ok", F.coalesce(known, F.lit(False))
