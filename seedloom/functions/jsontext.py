@@ -1,9 +1,9 @@
 """Strict JSON reading of model output with built-in functions only.
 
 Spark's JSON functions stop at the end of the first value and so accept trailing
-text. Parsing ``[`` + text + ``]`` and asking for exactly one element restores the
-strictness of a whole-document parser: trailing prose or a second object makes the
-bracketed text invalid.
+text. Parsing ``[[`` + text + ``],[]]`` and asking for one element in the first inner
+array and none in the second restores the strictness of a whole-document parser in a
+single parse: trailing prose, a second value or a stray bracket breaks that shape.
 """
 
 from __future__ import annotations
@@ -11,30 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from seedloom.functions.text import WHITESPACE, as_column
+from seedloom.functions.text import as_column
 
 _STRICT = {"allowSingleQuotes": "false"}
 
 
-def _bracketed(text: Column) -> Column:
-    return F.concat(F.lit("["), text, F.lit("]"))
+def _framed(text: Column) -> Column:
+    return F.concat(F.lit("[["), text, F.lit("],[]]"))
+
+
+def _holds_one(frame: Column) -> Column:
+    first, rest = F.get(frame, F.lit(0)), F.get(frame, F.lit(1))
+    shape = (F.size(frame) == 2) & (F.size(first) == 1) & (F.size(rest) == 0)
+    return F.coalesce(shape, F.lit(False))
 
 
 def is_json(text: Column | str) -> Column:
     """True when the whole text is one JSON value."""
-    elements = F.from_json(_bracketed(as_column(text)), "array<string>", _STRICT)
-    return F.coalesce(F.size(elements) == 1, F.lit(False))
+    return _holds_one(F.from_json(_framed(as_column(text)), "array<array<string>>", _STRICT))
 
 
 def parse_objects(text: Column | str) -> Column:
-    """Bracketed text as an array of maps; ``sole_object`` reads the result."""
-    return F.from_json(_bracketed(as_column(text)), "array<map<string,string>>", _STRICT)
+    """Framed text as arrays of maps; ``sole_object`` reads the result."""
+    return F.from_json(_framed(as_column(text)), "array<array<map<string,string>>>", _STRICT)
 
 
-def sole_object(text: Column | str, maps: Column) -> Column:
+def sole_object(parsed: Column | str) -> Column:
     """``map<string,string>`` of a text holding one JSON object, else NULL."""
-    looks_like_object = F.ltrim(as_column(text), F.lit(WHITESPACE)).startswith("{")
-    return F.when(looks_like_object & F.coalesce(F.size(maps) == 1, F.lit(False)), F.get(maps, F.lit(0)))
+    parsed = as_column(parsed)
+    return F.when(_holds_one(parsed), F.get(F.get(parsed, F.lit(0)), F.lit(0)))
 
 
 def entries_for(obj: Column, key: str) -> Column:
@@ -49,14 +54,15 @@ def last_value(obj: Column, key: str) -> Column:
 
 
 def parse_variants(text: Column | str) -> Column:
-    """Bracketed text as a variant array; ``sole_variant`` reads the result."""
-    return F.try_parse_json(_bracketed(as_column(text)))
+    """Framed text as a variant; ``sole_variant`` reads the result."""
+    return F.try_parse_json(_framed(as_column(text)))
 
 
 def sole_variant(parsed: Column | str) -> Column:
     """Variant of the text when it is exactly one JSON value, else NULL."""
-    single = F.try_variant_get(parsed, "$[1]", "variant").isNull()
-    return F.when(single, F.try_variant_get(parsed, "$[0]", "variant"))
+    other = [F.try_variant_get(parsed, path, "variant") for path in ("$[0][1]", "$[1][0]", "$[2]")]
+    single = other[0].isNull() & other[1].isNull() & other[2].isNull()
+    return F.when(single, F.try_variant_get(parsed, "$[0][0]", "variant"))
 
 
 def variant_type(value: Column, path: str) -> Column:

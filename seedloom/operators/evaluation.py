@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seedloom.operators.quota import UNKNOWN
 from seedloom.operators.responses import parse_evaluation_response, snap_label
+from seedloom.session import cut_lineage
 
 
 def ground_truth_content(messages: Column) -> Column:
@@ -145,8 +146,11 @@ def macro_f1(counts: DataFrame) -> DataFrame:
 
 
 def eval_report(pairs: DataFrame) -> DataFrame:
-    """One-row report: accuracy, macro F1, per-label metrics, dense confusion matrix, labels."""
-    counts = pair_counts(pairs)
+    """One-row report: accuracy, macro F1, per-label metrics, dense confusion matrix, labels.
+
+    The count table (labels x labels rows) is materialised, so the pairs are scanned once.
+    """
+    counts = cut_lineage(pair_counts(pairs))
     metrics = label_metrics(counts).agg(
         F.map_from_entries(
             F.array_sort(F.collect_list(F.struct("label", F.struct("precision", "recall", "f1", "support").alias("m"))))

@@ -68,7 +68,7 @@ def examples_by_label(seed: DataFrame, id_col: str, seed_value: object) -> DataF
         "label",
         F.col(id_col).alias("example_id"),
         "text",
-        F.concat_ws(":", order_key(seed_value, id_col), F.lpad(F.col(id_col).cast("string"), 20, "0")).alias("_key"),
+        F.concat_ws(":", order_key(seed_value, id_col), F.col(id_col).cast("string")).alias("_key"),
     )
     return dense_index(keyed, "label", "_key", "example_idx").select("label", "example_idx", "example_id", "text")
 

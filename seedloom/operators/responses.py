@@ -21,13 +21,14 @@ from seedloom.functions.jsontext import (
 from seedloom.functions.text import as_column, is_blank, strip
 from seedloom.operators.quota import FALLBACK_RULES, FALLBACK_UNKNOWN_RULES, UNKNOWN
 
-# Patterns, weights and thresholds.
+# Patterns, weights and thresholds. ``[\s\x1c-\x1f]`` with (?U) is Unicode
+# white space as str.strip knows it.
 THINKING = r"(?is)<(think|reasoning)>.*?</\1>"
-OPENING_FENCE = r"(?U)^```(?:json)?\s*"
-CLOSING_FENCE = r"(?U)\s*```$"
+OPENING_FENCE = r"(?U)^```(?:json)?[\s\x1c-\x1f]*"
+CLOSING_FENCE = r"(?U)[\s\x1c-\x1f]*```$"
 QUOTED = r'"([^"]+)"'
 BRACES = r"(?s)\{.*\}"
-LABEL_PAIR = r"""(?iU)["']?label["']?\s*[:=]\s*["']?([^"'\s,{}]+)["']?"""
+LABEL_PAIR = r"""(?iU)["']?label["']?[\s\x1c-\x1f]*[:=][\s\x1c-\x1f]*["']?([^"'\s\x1c-\x1f,{}]+)["']?"""
 FIDELITY_WEIGHT, NATURALNESS_WEIGHT, UTILITY_WEIGHT = 0.4, 0.3, 0.3
 JUDGE_THRESHOLD = 0.70
 MIN_QUOTED_LENGTH = 10
@@ -200,9 +201,8 @@ def parse_evaluation_response(df: DataFrame, text_col: str, out: str = "raw_labe
     )
     staged = with_computed(staged, {"_body": sliced})
     staged = with_computed(staged, {"_maps": parse_objects("_body")})
-    staged = with_computed(staged, {"_label": _label_of(sole_object("_body", F.col("_maps")))})
-    valid = F.coalesce(F.size("_maps") == 1, F.lit(False)) | is_json("_body")
-    staged = with_computed(staged, {"_valid": F.col("_label").isNotNull() | valid})
+    staged = with_computed(staged, {"_label": _label_of(sole_object("_maps"))})
+    staged = with_computed(staged, {"_valid": F.col("_label").isNotNull() | is_json("_body")})
     line = F.get(F.filter(F.split("_body", "\n"), lambda row: F.contains(row, F.lit('"label":'))), F.lit(0))
     scanned = strip(F.translate(F.substring_index(line, '"label":', -1), '",', ""))
     staged = with_computed(staged, {"_scanned": F.when(~F.col("_valid"), scanned)})
@@ -231,11 +231,11 @@ def parse_interactive_response(df: DataFrame, text_col: str, out: str = "raw_lab
     staged = with_computed(
         staged,
         {
-            "_whole": sole_object("_body", F.col("_whole_maps")),
+            "_whole": sole_object("_whole_maps"),
             "_block_maps": parse_objects("_block_text"),
         },
     )
-    staged = with_computed(staged, {"_block": sole_object("_block_text", F.col("_block_maps"))})
+    staged = with_computed(staged, {"_block": sole_object("_block_maps")})
     staged = with_computed(staged, {"_pair": F.regexp_extract("_body", LABEL_PAIR, 1)})
     words = F.regexp_count("_body", F.lit(r"(?U)[^\s\x1c-\x1f]+"))
     short = (words < SHORT_ANSWER_WORDS) & ~F.col("_body").contains("{")

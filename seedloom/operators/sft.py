@@ -27,8 +27,7 @@ def sft_messages(
 def sft_verify(conversations: DataFrame, labels: list[str]) -> DataFrame:
     """Add ``target_label`` re-read from the assistant turn and ``target_ok``."""
     target = F.get("messages", F.size("messages") - 1)
-    maps = parse_objects(target["content"])
-    label = F.when(target["role"] == "assistant", last_value(sole_object(target["content"], maps), "label"))
+    label = F.when(target["role"] == "assistant", last_value(sole_object(parse_objects(target["content"])), "label"))
     known = F.array_contains(F.lit(labels), F.col("target_label")) if labels else F.lit(False)
     return conversations.withColumn("target_label", label).withColumn(
         "target_ok", F.coalesce(known, F.lit(False))

@@ -71,10 +71,9 @@ def first_part_quota(counts: Mapping[str, int], second_fraction: float) -> dict[
 
 
 def _keyed(rows: DataFrame, id_col: str, seed: object) -> DataFrame:
-    padded = F.lpad(F.col(id_col).cast("string"), 20, "0")
     return rows.withColumns(
         {
-            "_key": F.concat_ws(":", order_key(seed, id_col), padded),
+            "_key": F.concat_ws(":", order_key(seed, id_col), F.col(id_col).cast("string")),
             "_stratum": F.coalesce("label", F.lit("unknown")),
             "_one": F.lit(_ALL),
         }

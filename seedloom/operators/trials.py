@@ -51,7 +51,9 @@ def clean_trials(trials: DataFrame) -> DataFrame:
         .select(
             "run_id",
             "row_idx",
-            F.col("number").cast("bigint").alias("number"),
+            F.coalesce(
+                F.col("number").try_cast("bigint"), F.col("number").try_cast("double").try_cast("bigint")
+            ).alias("number"),
             "value",
             F.col("state").cast("string").alias("state"),
             F.map_filter(params, lambda _, value: value.isNotNull()).alias("params"),

@@ -40,7 +40,7 @@ def word(hex_expr: str, place: int) -> str:
 
 
 SEED = f"'{data.SEED}'"
-ROW_KEY = f"{key(SEED, 'doc_id')} || ':' || lpad(CAST(doc_id AS VARCHAR), 20, '0')"
+ROW_KEY = f"{key(SEED, 'doc_id')} || ':' || CAST(doc_id AS VARCHAR)"
 
 # --- intake -------------------------------------------------------------------------
 
