@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from seedloom.functions.text import as_column
+from seedloom.functions.text import as_column, strip
 
 _STRICT = {"allowSingleQuotes": "false"}
 
@@ -26,14 +26,29 @@ def _holds_one(frame: Column) -> Column:
     return F.coalesce(shape, F.lit(False))
 
 
+def _enclosed(text: Column, opening: str, closing: str) -> Column:
+    return text.startswith(opening) & text.endswith(closing)
+
+
+def _maybe_json(text: Column) -> Column:
+    """Cheap test that spares prose the parser, whose failures cost an exception each."""
+    body = strip(text)
+    scalar = body.rlike(r"^(-?[0-9][0-9.eE+-]*|true|false|null|NaN|-?Infinity)$")
+    return _enclosed(body, "{", "}") | _enclosed(body, "[", "]") | _enclosed(body, '"', '"') | scalar
+
+
 def is_json(text: Column | str) -> Column:
     """True when the whole text is one JSON value."""
-    return _holds_one(F.from_json(_framed(as_column(text)), "array<array<string>>", _STRICT))
+    text = as_column(text)
+    frame = F.from_json(_framed(text), "array<array<string>>", _STRICT)
+    return F.when(_maybe_json(text), _holds_one(frame)).otherwise(False)
 
 
 def parse_objects(text: Column | str) -> Column:
     """Framed text as arrays of maps; ``sole_object`` reads the result."""
-    return F.from_json(_framed(as_column(text)), "array<array<map<string,string>>>", _STRICT)
+    text = as_column(text)
+    frame = F.from_json(_framed(text), "array<array<map<string,string>>>", _STRICT)
+    return F.when(_enclosed(strip(text), "{", "}"), frame)
 
 
 def sole_object(parsed: Column | str) -> Column:
@@ -55,7 +70,8 @@ def last_value(obj: Column, key: str) -> Column:
 
 def parse_variants(text: Column | str) -> Column:
     """Framed text as a variant; ``sole_variant`` reads the result."""
-    return F.try_parse_json(_framed(as_column(text)))
+    text = as_column(text)
+    return F.when(_maybe_json(text), F.try_parse_json(_framed(text)))
 
 
 def sole_variant(parsed: Column | str) -> Column:

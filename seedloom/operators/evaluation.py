@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedloom.functions.columns import with_computed
 from seedloom.operators.quota import UNKNOWN
 from seedloom.operators.responses import parse_evaluation_response, snap_label
 from seedloom.session import cut_lineage
@@ -53,15 +54,21 @@ def eval_pairs(predictions: DataFrame, labels: list[str], compat: bool = False)
     A broken line, or a turn without role or content where one is needed, sets
     ``defect`` and leaves the pair out of the metrics as a whole.
     """
-    staged = predictions.withColumns(
-        {"_gt": ground_truth_content(F.col("messages")), "_pred": prediction_content(F.col("messages"))}
+    roleless = F.exists("messages", lambda turn: turn["role"].isNull() | turn["content"].isNull())
+    # Taken first, so that later steps carry short replies instead of whole conversations.
+    staged = with_computed(
+        predictions,
+        {
+            "_gt": ground_truth_content(F.col("messages")),
+            "_pred": prediction_content(F.col("messages")),
+            "_broken": F.coalesce(roleless, F.lit(False)),
+        },
     )
     staged = parse_evaluation_response(staged, "_gt", "_gt_raw")
     staged = parse_evaluation_response(staged, "_pred", "_pred_raw")
     has_gt, has_pred = F.col("_gt").isNotNull(), F.col("_pred").isNotNull()
     known = F.col("defect") if "defect" in predictions.columns else F.lit(None).cast("string")
-    roleless = F.exists("messages", lambda turn: turn["role"].isNull() | turn["content"].isNull())
-    defect = F.coalesce(known, F.when(F.coalesce(roleless, F.lit(False)), F.lit("broken_turn")))
+    defect = F.coalesce(known, F.when(F.col("_broken"), F.lit("broken_turn")))
     return staged.withColumns(
         {
             "gt": F.when(has_gt, snap_label("_gt_raw", labels, compat)).otherwise(UNKNOWN),
@@ -69,7 +76,7 @@ def eval_pairs(predictions: DataFrame, labels: list[str], compat: bool = False)
             "parse_status": F.when(has_pred, F.col("_pred_raw_status")).otherwise("no_prediction"),
             "defect": defect,
         }
-    ).drop("_gt", "_pred", "_gt_raw", "_pred_raw", "_gt_raw_status", "_pred_raw_status")
+    ).drop("_gt", "_pred", "_broken", "_gt_raw", "_pred_raw", "_gt_raw_status", "_pred_raw_status")
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
