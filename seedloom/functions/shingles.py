@@ -9,6 +9,7 @@ row and interpreted; numpy does the same arithmetic over whole arrays.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -128,8 +129,15 @@ def sketch(text: pa.Array) -> pa.Array:
     return pa.array(rows, _SKETCH)
 
 
+@arrow_udf(T.ArrayType(T.LongType()))
+def shingle_set(text: pa.Array) -> pa.Array:
+    """Distinct shingle codes of a text."""
+    return pa.array([shingle_codes(value) for value in _texts(text)], pa.list_(pa.int64()))
+
+
 @arrow_udf(T.DoubleType())
 def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     """Exact Jaccard similarity of the shingle sets of two texts."""
-    scores = [jaccard_of(shingle_codes(a), shingle_codes(b)) for a, b in zip(_texts(left), _texts(right))]
+    codes = functools.lru_cache(maxsize=512)(shingle_codes)  # the same texts recur in a batch
+    scores = [jaccard_of(codes(a), codes(b)) for a, b in zip(_texts(left), _texts(right))]
     return pa.array(scores, pa.float64())

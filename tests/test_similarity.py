@@ -66,9 +66,9 @@ def test_signature_estimates_jaccard():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.07
 
 
-@pytest.mark.parametrize("first_heads", [1, 8])
-def test_near_duplicates_match_brute_force(spark, first_heads, monkeypatch):
-    monkeypatch.setattr(similarity, "_FIRST_HEADS", first_heads)
+@pytest.mark.parametrize("small_bucket", [1, 64])
+def test_near_duplicates_match_brute_force(spark, small_bucket, monkeypatch):
+    monkeypatch.setattr(similarity, "_SMALL_BUCKET", small_bucket)
     texts = corpus()
     sets = [grams(text) for text in texts]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
@@ -85,7 +85,9 @@ def test_near_duplicates_match_brute_force(spark, first_heads, monkeypatch):
             assert got[i].dup_of is None
 
 
-def test_near_duplicates_of_an_index(spark):
+@pytest.mark.parametrize("small_bucket", [1, 64])
+def test_near_duplicates_of_an_index(spark, small_bucket, monkeypatch):
+    monkeypatch.setattr(similarity, "_SMALL_BUCKET", small_bucket)
     texts = corpus()
     index, rows = texts[::2], texts[1::2]
     index_df = spark.createDataFrame(list(enumerate(index)), "id bigint, text string")
