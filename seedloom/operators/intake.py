@@ -134,21 +134,19 @@ def intake_metadata(checked: DataFrame) -> DataFrame:
 
 
 def label_conflicts(rows: DataFrame) -> DataFrame:
-    """Texts that carry more than one distinct label.
+    """Texts that carry more than one distinct label: ``text_digest, n_labels, first_row_idx, n_rows``.
 
-    Grouping on a digest keeps whole texts out of the shuffle; min and max of the
-    label combine on the map side, so a text copied into a third of all rows costs
-    one partial row per partition.
+    Grouping on a digest keeps whole texts out of the shuffle. Counting per (text, label)
+    first leaves one partial row per partition of a text copied into a third of all rows,
+    and both steps are hash aggregations.
     """
+    per_label = rows.groupBy(F.sha2("text", 256).alias("text_digest"), "label").agg(
+        F.min("row_idx").alias("first"), F.count("*").alias("n")
+    )
     return (
-        rows.groupBy(F.sha2("text", 256).alias("text_digest"))
-        .agg(
-            F.min("label").alias("first_label"),
-            F.max("label").alias("last_label"),
-            F.min("row_idx").alias("first_row_idx"),
-            F.count("*").alias("n_rows"),
-        )
-        .filter(F.col("first_label") != F.col("last_label"))
+        per_label.groupBy("text_digest")
+        .agg(F.count("label").alias("n_labels"), F.min("first").alias("first_row_idx"), F.sum("n").alias("n_rows"))
+        .filter(F.col("n_labels") > 1)
     )
 
 

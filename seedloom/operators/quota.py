@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seedloom.functions.text import key_slice, order_key
 from seedloom.operators.ranking import dense_index
+from seedloom.session import broadcast_if_small
 
 UNKNOWN = "unknown"
 
@@ -124,7 +125,7 @@ def fewshot_requests(
 
     ``shuffle_key`` is the random order in which requests should be issued.
     """
-    sizes = examples.groupBy("label").agg(F.count("*").alias("_n"))
+    sizes = broadcast_if_small(examples.groupBy("label").agg(F.count("*").alias("_n")))
     draw = order_key(seed_value, F.lit(loop), "request_id", F.lit("examples"))
     style = order_key(seed_value, F.lit(loop), "request_id", F.lit("style"))
     is_unknown = F.col("label") == UNKNOWN

@@ -107,10 +107,14 @@ def split_by_cuts(
     by_group: dict[str, list[str | None]] = {name: [""] * (len(names) - 1) for name in cuts}
     for row in cutoffs:
         by_group[row[group]][row["cut"]] = row["cutoff"]
-    spark = rows.sparkSession
-    table = spark.createDataFrame(list(by_group.items()), f"`{group}` string, _cutoffs array<string>")
+    if len(by_group) == 1:
+        located = rows.withColumn("_cutoffs", F.lit(next(iter(by_group.values()))))
+    else:
+        schema = f"`{group}` string, _cutoffs array<string>"
+        table = rows.sparkSession.createDataFrame(list(by_group.items()), schema)
+        located = rows.join(F.broadcast(table), group)  # one row per label, counted by the caller
     choice: Column = F.lit(names[-1])
     for position in range(len(names) - 2, -1, -1):
         below = F.col(key) <= F.get("_cutoffs", F.lit(position))
         choice = F.when(below, names[position]).otherwise(choice)
-    return rows.join(F.broadcast(table), group).withColumn("split", choice).drop("_cutoffs")
+    return located.withColumn("split", choice).drop("_cutoffs")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -63,3 +64,9 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Broadcast a narrow table once its row count has been checked; larger ones stay as they are."""
+    rows = df.limit(limit + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else df

@@ -87,8 +87,7 @@ synthetic AS (SELECT doc_id, text, lang AS label FROM documents WHERE doc_id NOT
 ORACLES["label_distribution"] = f"WITH {_ROLES} SELECT label, count(*) AS n FROM seed GROUP BY label"
 ORACLES["detected_labels"] = "SELECT string_agg(DISTINCT source, '|' ORDER BY source) AS labels FROM documents"
 ORACLES["label_conflicts"] = """
-SELECT sha256(text) AS text_digest, min(source) AS first_label, max(source) AS last_label,
-       min(doc_id) AS first_row_idx, count(*) AS n_rows
+SELECT sha256(text) AS text_digest, count(DISTINCT source) AS n_labels, min(doc_id) AS first_row_idx, count(*) AS n_rows
 FROM documents GROUP BY text HAVING count(DISTINCT source) > 1
 """
 ORACLES["intake_gate"] = f"""
