@@ -223,14 +223,12 @@ def _ledger(candidates: DataFrame, progress: Progress, seeds: DataFrame | None,
 
 
 def candidate_ledger(candidates: DataFrame, decisions: DataFrame, provenance: list[str]) -> DataFrame:
-    """Decisions beside scores, raw judge output of unparsed replies and provenance columns."""
-    details = candidates.select(
-        "seq",
-        F.col("cleaned_text").alias("text"),
-        "overall_score",
-        F.when(F.col("judge_status") == JUDGE_PARSE, F.col("judge_raw_output")).alias("judge_raw_output"),
-        *provenance,
-    )
+    """Decisions beside scores, raw replies that could not be parsed, and provenance columns."""
+    raw = [F.when(F.col("judge_status") == JUDGE_PARSE, F.col("judge_raw_output")).alias("judge_raw_output")]
+    if {"generated_text", "batch_status"} <= set(candidates.columns):
+        unparsed = F.col("batch_status") == "empty"
+        raw.append(F.when(unparsed, F.col("generated_text")).alias("generator_raw_output"))
+    details = candidates.select("seq", F.col("cleaned_text").alias("text"), "overall_score", *raw, *provenance)
     return decisions.join(details, "seq")
 
 

@@ -28,8 +28,8 @@ def usable_examples(seed: DataFrame) -> DataFrame:
     return seed.filter((F.col("text") != "") & (F.col("label") != ""))
 
 
-def quota_plan(seed: DataFrame, target: int) -> DataFrame:
-    """``label, target`` for every seed label plus ``unknown``.
+def quota_plan(seed: DataFrame, target: int, unknown_share: float = UNKNOWN_SHARE) -> DataFrame:
+    """``label, target`` for every seed label plus ``unknown`` (left out at share 0).
 
     A seed label spelled ``unknown`` counts as a class but takes the unknown quota.
     """
@@ -37,14 +37,11 @@ def quota_plan(seed: DataFrame, target: int) -> DataFrame:
     if labels.isEmpty():
         raise ValueError("no valid labels found in the seed rows")
     n_labels = labels.agg(F.count("*")).scalar()
-    for_unknown = F.ceil(F.lit(float(target)) * F.lit(UNKNOWN_SHARE))
+    for_unknown = F.ceil(F.lit(float(target)) * F.lit(float(unknown_share)))
     for_each = F.ceil((F.lit(target) - for_unknown).cast("double") / n_labels)
     unknown = seed.sparkSession.range(1).select(F.lit(UNKNOWN).alias("label"))
-    return (
-        labels.filter(F.col("label") != UNKNOWN)
-        .select("label", for_each.alias("target"))
-        .unionByName(unknown.select("label", for_unknown.alias("target")))
-    )
+    known = labels.filter(F.col("label") != UNKNOWN).select("label", for_each.alias("target"))
+    return known if unknown_share == 0 else known.unionByName(unknown.select("label", for_unknown.alias("target")))
 
 
 def quota_need(plan: DataFrame, collected: DataFrame) -> DataFrame:

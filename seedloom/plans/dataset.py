@@ -6,13 +6,13 @@ everything before and after is a deterministic Spark job.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.operators import acceptance, intake, prompts, quota, responses, similarity, splits
+from seedloom.operators import acceptance, intake, prompts, quota, responses, sft, similarity, splits
 from seedloom.operators.quota import MAX_LOOPS
 from seedloom.operators.ranking import dense_index
 from seedloom.plans.registry import step, task_operators
@@ -21,7 +21,8 @@ from seedloom.sources import seed as seed_files
 from seedloom.sources import sinks
 
 # Takes a request table (see ``fewshot_requests`` plus prompts) and returns candidates:
-# ``request_id, candidate_pos, cleaned_text, judge_raw_output, embedding``.
+# ``request_id, candidate_pos, cleaned_text, judge_raw_output, embedding``, and for the ledger
+# optionally ``generated_text, batch_status``.
 Answer = Callable[[DataFrame], DataFrame]
 
 
@@ -75,14 +76,20 @@ def run_generation(
     random_seed: object = 0,
     task_type: str = "classification",
     max_loops: int = MAX_LOOPS,
+    rules: Sequence[str] = quota.FALLBACK_RULES,
+    unknown_rules: Sequence[str] = quota.FALLBACK_UNKNOWN_RULES,
+    unknown_share: float = quota.UNKNOWN_SHARE,
+    constants: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Issue requests and decide candidates, round by round, until the target is met.
 
-    ``seed_embeddings`` has the ``embedding`` of each seed text. Returns the ledger.
+    ``seed_embeddings`` has the ``embedding`` of each seed text. ``rules`` come from
+    ``parse_rules``. ``constants`` (run, models …) are added to every ledger row. Returns
+    the ledger.
     """
     spark = seed.sparkSession
     operators = task_operators(task_type)
-    plan = cut_lineage(quota.quota_plan(seed, target))
+    plan = cut_lineage(quota.quota_plan(seed, target, unknown_share))
     targets = {row["label"]: row["target"] for row in plan.collect()}
     examples = cut_lineage(quota.examples_by_label(seed, id_col, random_seed))
     index = seed_embeddings.select("embedding")
@@ -95,7 +102,9 @@ def run_generation(
             break
         tally = spark.createDataFrame(list(collected.items()), "label string, collected bigint")
         slots = quota.request_slots(quota.quota_need(plan, tally), first_request)
-        requests = quota.fewshot_requests(slots, examples, task_description, random_seed, loop=loop)
+        requests = quota.fewshot_requests(
+            slots, examples, task_description, random_seed, list(rules), list(unknown_rules), loop
+        )
         requests = cut_lineage(prompts.generation_prompts(requests))
         candidates = order_candidates(answer(requests), requests, first_seq)
         first_seq += candidates.count()
@@ -104,7 +113,8 @@ def run_generation(
         gated = cut_lineage(acceptance.gate_reason(responses.judge_scores(guarded)))
         decided, progress = operators.accept(gated, targets, target, index, collected=collected)
         provenance = ["loop", "difficulty", "diversity_rule", "fidelity", "naturalness", "utility", "reasoning"]
-        ledger = cut_lineage(acceptance.candidate_ledger(gated, decided, provenance))
+        fixed = {name: F.lit(value) for name, value in (constants or {}).items()}
+        ledger = cut_lineage(acceptance.candidate_ledger(gated, decided, provenance).withColumns(fixed))
         ledgers.append(ledger)
         collected = progress.counts
         accepted = acceptance.accepted_rows(ledger).select("seq")
@@ -151,7 +161,11 @@ def run_split(
     chat = operators.convert(rows, labels, **prompt_options)
     sinks.write_splits(rows.select("text", "label", "split"), f"{base_dir}/data/raw")
     sinks.write_splits(chat.select("messages", "split"), f"{base_dir}/data/chat")
-    sinks.write_report(splits.split_report(rows, run_id, task_type), f"{base_dir}/data/data_report.json")
+    digest = sft.dataset_hash(rows, ["text", "label", "split"]).first()
+    report = splits.split_report(rows, run_id, task_type).withColumn(
+        "dataset_hash", F.lit(f"{digest['n_rows']}-{digest['hash_high']}-{digest['hash_low']}")
+    )
+    sinks.write_report(report, f"{base_dir}/data/data_report.json")
     return rows, labels
 
 
@@ -166,17 +180,31 @@ def run_dataset_job(
     base_dir: str | None = None,
     task_type: str = "classification",
     random_seed: object = 0,
+    models: Mapping[str, str] | None = None,
+    rules: Sequence[str] = quota.FALLBACK_RULES,
+    unknown_rules: Sequence[str] = quota.FALLBACK_UNKNOWN_RULES,
     **prompt_options: str,
 ) -> DatasetRun:
     """The whole build: seed file in, chat-format splits out.
 
     ``answer`` supplies candidates for requests and ``embed_seed`` the ``embedding`` of
-    seed rows, both as tables.
+    seed rows, both as tables. ``models`` names the generator, judge and rule models for
+    the ledger.
     """
     base_dir = base_dir or f"runs/{run_id}"
     seed = cut_lineage(run_intake(spark, input_path, base_dir, task_type))
+    constants = {"run_id": run_id, "task_type": task_type, "source": "synthetic", **(models or {})}
     ledger = run_generation(
-        seed, embed_seed(seed), answer, task_description, target_count, random_seed=random_seed, task_type=task_type
+        seed,
+        embed_seed(seed),
+        answer,
+        task_description,
+        target_count,
+        random_seed=random_seed,
+        task_type=task_type,
+        rules=rules,
+        unknown_rules=unknown_rules,
+        constants=constants,
     )
     sinks.write_ledger(ledger, f"{base_dir}/synthetic/ledger")
     accepted = acceptance.accepted_rows(ledger)

@@ -62,7 +62,8 @@ def fake_models(requests):
         F.col("candidate_pos") == 4, '{"fidelity": 0.2, "naturalness": 0.2, "utility": 0.2, "reasoning": "no"}'
     ).otherwise('{"fidelity": 0.9, "naturalness": 0.9, "utility": 0.9, "reasoning": "yes"}')
     return candidates.select(
-        "request_id", "candidate_pos", "cleaned_text", judge.alias("judge_raw_output"), fake_embedding("cleaned_text").alias("embedding")
+        "request_id", "candidate_pos", "cleaned_text", "generated_text", "batch_status",
+        judge.alias("judge_raw_output"), fake_embedding("cleaned_text").alias("embedding"),
     )
 
 
@@ -74,6 +75,7 @@ def test_dataset_job(spark, tmp_path):
     run = dataset.run_dataset_job(
         spark, str(source), "sort things", "run", 60, fake_models,
         lambda seed: seed.select(fake_embedding("text").alias("embedding")), base_dir=base, role="You sort.",
+        models={"generation_model": "g1"}, rules=["only rule"],
     )
     accepted = run.ledger.filter("status = 'accepted'")
     counts = {r.label: r.n for r in accepted.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -81,11 +83,16 @@ def test_dataset_job(spark, tmp_path):
     assert run.labels == ["A", "B", "unknown"]
     reasons = {r.reason for r in run.ledger.select("reason").distinct().collect()}
     assert {"low_score", "invalid_text", "quota_full"} <= reasons | {TARGET_REACHED, "quota_full"}
+    failed = run.ledger.filter("generator_raw_output IS NOT NULL").first()
+    assert failed.generator_raw_output == "oops" and failed.reason in ("invalid_text", "quota_full", TARGET_REACHED)
+    assert (failed.run_id, failed.source, failed.generation_model) == ("run", "synthetic", "g1")
+    assert {r.diversity_rule for r in run.ledger.filter("label <> 'unknown'").collect()} == {"only rule"}
     assert run.ledger.select("seq").distinct().count() == run.ledger.count()
     splits_seen = {(r.split, r.source): r.n for r in run.split_rows.groupBy("split", "source").agg(F.count("*").alias("n")).collect()}
     assert splits_seen == {("train", "synthetic"): 60, ("validation", "seed"): 6, ("test", "seed"): 6}
     report = spark.read.json(f"{base}/data/data_report.json").first()
     assert (report.train_count, report.val_count, report.test_count) == (60, 6, 6)
+    assert report.dataset_hash.startswith("72-")
     assert report.labels == ["A", "B", "unknown"]
     chat = spark.read.text(f"{base}/data/chat")
     line = json.loads(chat.filter("split = 'test'").first().value)

@@ -135,6 +135,7 @@ def test_quota_and_need(spark):
     assert plan == {"a": 30, "b": 30, "c": 30, "unknown": 11}
     with_unknown = {r.label: r.target for r in quota.quota_plan(rows_of(spark, {"a": 1, "unknown": 2}), 100).collect()}
     assert with_unknown == {"a": 45, "unknown": 10}
+    assert {r.label: r.target for r in quota.quota_plan(seed, 101, 0.0).collect()} == {"a": 34, "b": 34, "c": 34}
     with pytest.raises(ValueError):
         quota.quota_plan(seed.limit(0), 10)
     collected = spark.createDataFrame([("a", 30), ("b", 28)], "label string, collected bigint")

@@ -336,7 +336,7 @@ def greedy_accept_all(spark, sf_dir):
     """Every vector with a free quota: redundancy alone decides."""
     rows = _vectors(spark, sf_dir).withColumns({"label": F.lit("any"), "gate": F.lit(None).cast("string")})
     n = rows.count()
-    decided, _ = acceptance.greedy_accept(rows, {"any": n}, n, None, data.SEMANTIC_THRESHOLD, window=256)
+    decided, _ = acceptance.greedy_accept(rows, {"any": n}, n, None, data.SEMANTIC_THRESHOLD)
     return decided.select("seq", "status")
 
 
