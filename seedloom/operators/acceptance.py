@@ -28,10 +28,9 @@ from seedloom.operators.similarity import (
     JACCARD_THRESHOLD,
     SEMANTIC_THRESHOLD,
     VECTOR_INDEX,
-    matrix,
+    drop_similar,
+    index_blocks,
     near_duplicates,
-    score_block,
-    semantic_redundant,
     top_similarity,
 )
 from seedloom.session import cut_lineage
@@ -113,17 +112,15 @@ def greedy_accept(
     # The narrow columns are read many times; the parsing behind them runs once.
     candidates = cut_lineage(candidates.select("seq", "label", "embedding", "gate", *text))
     rows = candidates.filter(F.col("gate").isNull() & F.col("label").isin(progress.open_labels())).drop("gate")
-    filtered = seeds is not None or (use_minhash and seed_texts is not None)
-    if filtered and not progress.done():
-        if seeds is not None:
-            judged = semantic_redundant(rows, seeds, threshold)
-            rows = rows.join(judged.filter(~F.col("is_redundant")).select("seq"), "seq", "left_semi")
-        if use_minhash and seed_texts is not None:
-            rows = _without_near_copies(rows, seed_texts.select(F.lit(-1).cast("bigint").alias("seq"), "cleaned_text"))
-        rows = cut_lineage(rows)
+    if seeds is not None and not progress.done():
+        for _, vectors in index_blocks(seeds):
+            rows = cut_lineage(drop_similar(rows, vectors, threshold))
+    if use_minhash and seed_texts is not None and not progress.done():
+        texts = seed_texts.select(F.lit(-1).cast("bigint").alias("seq"), "cleaned_text")
+        rows = cut_lineage(_without_near_copies(rows, texts))
 
     while not progress.done():
-        head = rows.orderBy("seq").limit(window).toArrow().to_pandas(types_mapper=None)
+        head = rows.orderBy("seq").limit(window).toArrow().to_pandas()
         if head.empty:
             break
         accepted = _decide_window(head, progress, threshold, use_minhash)
@@ -131,18 +128,18 @@ def greedy_accept(
             break
         later = rows.filter((F.col("seq") > int(head["seq"].iloc[-1])) & F.col("label").isin(progress.open_labels()))
         if len(accepted):
-            later = _without_similar(later, accepted, threshold)
+            later = drop_similar(later, _vectors(accepted), threshold)
             if use_minhash:
                 texts = spark.createDataFrame(accepted[["seq", "cleaned_text"]])
                 later = _without_near_copies(later, texts)
         rows = cut_lineage(later)
 
-    return _ledger(candidates, progress, seeds, use_minhash), progress
+    return _ledger(candidates, progress, seeds), progress
 
 
 def _decide_window(head: pd.DataFrame, progress: Progress, threshold: float, use_minhash: bool) -> pd.DataFrame:
     """Accept rows of the window in order; returns the accepted rows."""
-    vectors = np.stack(head["embedding"].to_numpy()).astype(np.float64)
+    vectors = _vectors(head)
     taken = np.empty_like(vectors)
     sets: list[np.ndarray] = []
     chosen: list[int] = []
@@ -165,12 +162,8 @@ def _decide_window(head: pd.DataFrame, progress: Progress, threshold: float, use
     return head.iloc[chosen]
 
 
-def _without_similar(rows: DataFrame, accepted: pd.DataFrame, threshold: float) -> DataFrame:
-    vectors = np.stack(accepted["embedding"].to_numpy()).astype(np.float64)
-    seqs = accepted["seq"].to_numpy()
-    scored = score_block(rows, seqs, vectors, earlier_only=False)
-    similar = scored.filter(F.col("max_similarity") >= threshold)
-    return rows.join(similar.select("seq"), "seq", "left_anti")
+def _vectors(rows: pd.DataFrame) -> np.ndarray:
+    return np.stack(rows["embedding"].to_numpy()).astype(np.float64)
 
 
 def _without_near_copies(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -178,7 +171,7 @@ def _without_near_copies(rows: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.join(flagged.filter(F.col("status") == "near_dup").select("seq"), "seq", "left_anti")
 
 
-def _ledger(candidates: DataFrame, progress: Progress, seeds: DataFrame | None, use_minhash: bool) -> DataFrame:
+def _ledger(candidates: DataFrame, progress: Progress, seeds: DataFrame | None) -> DataFrame:
     spark = candidates.sparkSession
     accepted = spark.createDataFrame(
         pd.DataFrame(progress.accepted, columns=["seq", "_label"]).astype({"seq": "int64", "_label": "str"}),

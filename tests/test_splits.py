@@ -1,6 +1,5 @@
 import hashlib
 import math
-import random
 from collections import Counter
 
 import pytest
