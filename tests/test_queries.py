@@ -5,8 +5,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from check import TABLES, compare
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
@@ -20,11 +22,11 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    frame = queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     rows = frame.collect()
-    result = db.execute(oracle_sql()[name])
+    result = db.execute(ORACLES[name])
     assert compare(frame.columns, rows, [c[0] for c in result.description], result.fetchall()) == "ok"
 
 
@@ -33,4 +35,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
