@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seedloom.llm import byte_bpe, token_files
+from seedloom.llm import byte_bpe, chat, secret_scan, token_files
 from seedloom.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,18 @@ def op6_byte_bpe(spark, sf_dir):
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@query
+def op4_chat(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    fixed = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    return chat.chat_digest(chat.format_conversations(rows.unionByName(fixed)))
+
+
+@query
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.secret_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
