@@ -1,3 +1,112 @@
 """DuckDB SQL with the same result as the queries that SQL can express."""
 
+from __future__ import annotations
+
+from seedloom.llm import chat, secret_scan
+
 ORACLES: dict[str, str] = {}
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _chat() -> str:
+    template = chat.TEMPLATE
+    said = text("</s>[INST] ok [/INST]")
+    controls = " + ".join(
+        f"(length(t) - length(replace(t, {text(c)}, ''))) // {len(c)}" for c in ["\\", *template.control_strings()]
+    )
+    marks = " ".join(f"WHEN {text(m.role)} THEN {len(m.opens) + len(m.closes)}" for m in template.marks)
+    codes = "CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END"
+    return f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+    UNION ALL SELECT -7, 0, 'user', {said} UNION ALL SELECT -7, 1, 'assistant', {said}
+), grouped AS (
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+           coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(t, '' ORDER BY turn, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(length(t) + {controls} + CASE role {marks} ELSE
+               {len(template.other.opens) + len(template.other.closes) + len(template.between)} + length(role) END)::BIGINT
+               AS formatted_chars,
+           string_agg({codes}, '' ORDER BY turn, role, t) AS walk
+    FROM turns GROUP BY conv_id
+), good AS (SELECT *, length(regexp_extract(walk, '^s?(ua)*u?')) AS legal FROM grouped)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+       regexp_full_match(walk, 's?(ua)+') AS valid,
+       CASE WHEN NOT regexp_full_match(walk, 's?(ua)+') THEN legal::INT END AS bad_turn
+FROM good"""
+
+
+ORACLES["op4_chat"] = _chat()
+
+
+def _secrets() -> str:
+    scan, window = secret_scan, secret_scan.WINDOW
+    terms = "[" + ", ".join(map(str, scan._terms(window))) + "]"
+    limits = [scan._sum_limit(bits, window) for bits in (scan.HEX_BITS, scan.MIXED_BITS)]
+    assign = text(scan.ASSIGN.replace("(?i:(", "(?:((?i:").replace("api_?key))", "api_?key)))"))
+
+    def places(source: str, pattern: str, columns: str, found: str) -> str:
+        """Places of matches: lengths of gaps and matches added up."""
+        return f"""
+    SELECT {columns}, k, found, start, start + length(whole) AS stop FROM (
+        SELECT {columns}, k, whole, found,
+               sum(length(gap) + coalesce(length(whole), 0)) OVER (PARTITION BY {columns} ORDER BY k) - coalesce(length(whole), 0) AS start
+        FROM (SELECT {columns}, unnest(range(len(gaps))) AS k, unnest(gaps) AS gap,
+                     unnest(list_concat(wholes, [NULL])) AS whole, unnest(list_concat(founds, [NULL])) AS found
+              FROM (SELECT {columns}, string_split_regex(t, {pattern}) AS gaps,
+                           regexp_extract_all(t, {pattern}) AS wholes,
+                           regexp_extract_all(t, {pattern}, {found}) AS founds
+                    FROM {source} WHERE regexp_matches(t, {pattern})))
+    ) WHERE whole IS NOT NULL"""
+
+    kinds = [("assign", assign, 2), ("access", text(scan.PATTERNS["access"]), 0), ("hex", text(scan.PATTERNS["hex"]), 0)]
+    base = " UNION ALL ".join(
+        f"SELECT r, '{kind}' AS kind, {rank} AS rank, start, stop FROM ({places('docs', pattern, 'r', found)})"
+        + (f" WHERE length(found) >= {scan.ASSIGN_LEAST}" if kind == "assign" else "")
+        for rank, (kind, pattern, found) in enumerate(kinds)
+    )
+    allowed = " OR ".join(
+        f"regexp_matches(found, {text(part)})"
+        for part in scan.ALLOWED.replace("|(.)\\1{7,}", "").replace("|(?i:", "\0(?i:").replace("$|", "$\0").split("\0")
+    )
+    repeats = " OR ".join(f"contains(found, repeat({text(c)}, 8))" for c in scan.ALPHABET)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+base AS MATERIALIZED ({base}),
+candidates AS MATERIALIZED (
+    SELECT r, k, start, found, CASE WHEN regexp_full_match(found, '[0-9A-Fa-f]+') THEN {limits[0]} ELSE {limits[1]} END AS most
+    FROM ({places('docs', text(scan.CANDIDATE), 'r', 0)}) WHERE NOT ({allowed} OR {repeats})
+), windows AS (
+    SELECT r, k, start, most, o, substr(found, o + 1, {window}) AS w
+    FROM (SELECT *, unnest(range(length(found) - {window} + 1)) AS o FROM candidates)
+), rich AS (
+    SELECT r, k, start + o AS a FROM windows
+    WHERE list_sum(list_transform(list_distinct(string_split(w, '')),
+                   lambda c: ({terms})[{window} - length(replace(w, c, '')) + 1])) <= most
+), united AS (
+    SELECT r, k, min(a) AS start, max(a) + {window} AS stop FROM (
+        SELECT r, k, a, sum(fresh) OVER (PARTITION BY r, k ORDER BY a) AS island FROM (
+            SELECT r, k, a, CASE WHEN a - lag(a) OVER (PARTITION BY r, k ORDER BY a) <= {window} THEN 0 ELSE 1 END AS fresh FROM rich))
+    GROUP BY r, k, island
+), spans AS (
+    SELECT r, kind, rank, start, stop FROM base
+    UNION ALL
+    SELECT r, 'entropy', 3, start, stop FROM united u
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = u.r AND b.start < u.stop AND u.start < b.stop)
+), shown AS (
+    SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, rank, stop) FILTER (kind <> 'entropy') AS base,
+           string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, rank, stop) AS spans
+    FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN shown USING (r)"""
+
+
+ORACLES["op10_secret_scan"] = _secrets()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seedloom.llm import byte_bpe, chat, secret_scan, token_files
+from seedloom.llm import byte_bpe, chat, language, secret_scan, token_files
 from seedloom.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,8 @@ def op4_chat(spark, sf_dir):
 @query
 def op10_secret_scan(spark, sf_dir):
     return secret_scan.secret_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
