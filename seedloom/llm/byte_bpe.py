@@ -23,17 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedloom.llm.arrays import PieceMemo, Table, encode_joined, ragged, text_slices
-
-
-def byte_characters() -> list[str]:
-    """A printable character for every byte: itself if printable, else the next from U+0100 on."""
-    kept = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(0x100, 0x200))
-    return [chr(byte) if byte in kept else chr(next(others)) for byte in range(256)]
+from seedloom.llm.arrays import PieceMemo, Table, byte_characters, encode_each, encode_joined, text_slices
 
 
 def load_ranks(rank_file: str) -> dict[bytes, int]:
@@ -78,21 +72,31 @@ def build_tokenizer(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
-def encode_pieces(tokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of pieces: those that start and end a match for sure as one string, the rest alone."""
-    joins = [len(p) > 1 and p[0] == " " and not _blank(p[1]) and not _blank(p[-1]) for p in pieces]
-    ids, lengths = encode_joined(tokenizer, [p for p, sure in zip(pieces, joins, strict=True) if sure], "")
-    if all(joins):
-        return ids, lengths
-    alone = [p for p, sure in zip(pieces, joins, strict=True) if not sure]
-    found = [e.ids for e in tokenizer.encode_batch(alone, add_special_tokens=False)]
-    # Both kinds side by side, then in the order of ``pieces``.
-    counts = np.concatenate([lengths, np.fromiter(map(len, found), np.int64, len(found))])
-    ids = np.concatenate([ids, np.array([number for part in found for number in part], np.uint32)])
-    sure = np.array(joins)
-    place = np.where(sure, np.cumsum(sure) - 1, len(lengths) + np.cumsum(~sure) - 1)
-    starts = np.cumsum(counts) - counts
-    return ids[ragged(starts[place], counts[place])], counts[place]
+def piece_encoder(tokenizer, pattern: str):
+    """Encoder of lists of pieces. A piece that is one match goes straight to the merges; pieces
+    that begin and end a match for sure are joined; the others are encoded one by one."""
+    one, shown, merge = regex.compile(pattern), byte_characters(), tokenizer.model.tokenize
+
+    def direct(piece: str) -> list[int] | None:
+        # Only characters on whose class every Unicode version agrees.
+        if not piece or max(piece) > "\u024f" or one.match(piece).end() < len(piece):
+            return None
+        return [token.id for token in merge("".join([shown[byte] for byte in piece.encode()]))]
+
+    def rest(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        ids = np.array([number for part in found for number in part], np.uint32)
+        return ids, np.fromiter(map(len, found), np.int64, len(found))
+
+    def joined(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sure = {p for p in pieces if len(p) > 1 and p[0] == " " and not _blank(p[1]) and not _blank(p[-1])}
+        several = [p for p in pieces if p in sure]
+        ids, lengths = encode_joined(tokenizer, several, "")
+        stops = np.cumsum(lengths)
+        known = {p: ids[a:b].tolist() for p, a, b in zip(several, stops - lengths, stops, strict=True)}
+        return encode_each(pieces, known.get, rest)
+
+    return lambda pieces: encode_each(pieces, direct, joined)
 
 
 class Coder:
@@ -102,7 +106,8 @@ class Coder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.memo = PieceMemo(lambda pieces: encode_pieces(tokenizer, pieces))
+        pattern = json.loads(tokenizer_json)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.memo = PieceMemo(piece_encoder(tokenizer, pattern))
         to_byte = {shown: byte for byte, shown in enumerate(byte_characters())}
         vocab = tokenizer.get_vocab()
         tokens = [b""] * (max(vocab.values(), default=-1) + 1)
@@ -136,7 +141,7 @@ class Coder:
         counts = ends - firsts
         if odd_texts.any():
             return self._encode_odd(rows, firsts, ends, odd_texts, codes, distinct)
-        lengths = np.add.reduceat(memo.lengths[rows], firsts) if len(counts) else counts
+        lengths = np.add.reduceat(memo.lengths[rows].astype(np.int64), firsts) if len(counts) else counts
         return memo.gather(rows), lengths
 
     def _encode_odd(self, rows, firsts, ends, odd_texts, codes, distinct):
