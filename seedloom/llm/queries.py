@@ -7,8 +7,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from seedloom.llm import byte_bpe, chat, language, secret_scan, token_files
+from pyspark.sql import functions as F
+
+from seedloom.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    embeddings,
+    language,
+    pii,
+    secret_scan,
+    suffix_dedup,
+    token_files,
+)
 from seedloom.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +73,30 @@ def op10_secret_scan(spark, sf_dir):
 @query
 def op3_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+#: Stands in for a secret that a job would read from its own store.
+PSEUDONYM_KEY = "0f5c1d0b7a934e21"
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pseudonymize(docs, PSEUDONYM_KEY, found_col="kinds")
+    counts = [F.size(F.filter("kinds", lambda k, kind=kind: k == kind)).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, "text")
+
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_embeddings(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
