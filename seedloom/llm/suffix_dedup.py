@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from seedloom.llm.arrays import ragged, text_slices, utf8_bytes
 from seedloom.llm.run_length_index import RunLengthIndex
+from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, mix
 from seedloom.session import ensure_checkpoint_dir
 
 LENGTH = 50
@@ -47,17 +48,10 @@ SHARD_BYTES = 1_000_000
 #: An anchor with more documents than this, and than one in HOT_SHARE of all anchors, is divided.
 HOT_DOCUMENTS = 20_000
 HOT_SHARE = 1_000_000
-KEY_BITS = 48
 
 _BYTE_HASH = np.random.default_rng(20).integers(0, 1 << 63, 512, dtype=np.uint64).reshape(2, 256) | np.uint64(1)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x *= np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
 def window_anchors(data: np.ndarray, length: int, gram: int, order: int = 0) -> np.ndarray:
     """Anchor of the window that starts at each byte, while a whole window follows (48-bit values)."""
     n = len(data) - length + 1
@@ -70,12 +64,12 @@ def window_anchors(data: np.ndarray, length: int, gram: int, order: int = 0) ->
                 value = current
             else:
                 part = current[taken:]
-                value = _mix(value[: len(part)] * np.uint64(0x2545F4914F6CDD1D) + part[: len(value)])
+                value = mix(value[: len(part)] * np.uint64(0x2545F4914F6CDD1D) + part[: len(value)])
             taken += span
         rest >>= 1
         if not rest:
             break
-        current = _mix(current[:-span] * np.uint64(0xD6E8FEB86659FD93) + current[span:])
+        current = mix(current[:-span] * np.uint64(0xD6E8FEB86659FD93) + current[span:])
         span *= 2
     least, width, seen = value >> np.uint64(64 - KEY_BITS), length - gram + 1, 1
     while seen < width:
@@ -103,7 +97,7 @@ def anchor_runs(
         if dividing.any():
             second = window_anchors(data, length, gram, order=1)[places[dividing]]
             value = value.copy()
-            value[dividing] = _mix(value[dividing] ^ (second << np.uint64(16))) >> np.uint64(64 - KEY_BITS)
+            value[dividing] = mix(value[dividing] ^ (second << np.uint64(16))) >> np.uint64(64 - KEY_BITS)
     if not len(value):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, value
@@ -113,28 +107,8 @@ def anchor_runs(
     return owner[begin], places[begin], count, value[begin]
 
 
-def _pack(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].tobytes()
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    parts = np.frombuffer(packed, np.uint8).reshape(-1, KEY_BITS // 8)
-    whole = np.zeros((len(parts), 8), np.uint8)
-    whole[:, : KEY_BITS // 8] = parts
-    return whole.reshape(-1).view("<u8").astype(np.uint64)
-
-
-_BLOCKS = "bucket long, single binary, place binary, ids array<long>, contents array<long>, multi binary, numbers binary"
-
-
 def _anchor_blocks(buckets: int, length: int, gram: int):
-    """Anchors of each slice by bucket: those of one document with it, those of several with their number.
-
-    Buckets below zero carry ``(document, its anchors known to be shared)`` past the shuffle.
-    """
-
-    def row(bucket, single=b"", place=b"", ids=(), contents=(), multi=b"", numbers=b""):
-        return (bucket, single, place, list(ids), list(contents), multi, numbers)
+    """Distinct anchors of each slice's documents, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -142,50 +116,11 @@ def _anchor_blocks(buckets: int, length: int, gram: int):
             ids = np.asarray(batch.column("doc_id"), np.int64)
             contents = np.asarray(batch.column("content"), np.int64)
             owner, _, _, value = anchor_runs(data, offsets, length, gram)
-            order = np.lexsort((owner, value))
+            order = np.lexsort((value, owner))
             owner, value = owner[order], value[order]
             keep = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])[: len(value)]
             owner, value = owner[keep], value[keep]
-            if not len(value):
-                continue
-            begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-            number = np.diff(np.append(begin, len(value)))
-            several = np.repeat(number > 1, number)
-            rows = []
-            bucket = (value % np.uint64(buckets)).astype(np.int64)
-            heads, head_bucket = value[begin], bucket[begin]
-            by_bucket = np.argsort(bucket, kind="stable")
-            by_bucket = by_bucket[~several[by_bucket]]
-            bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1)) if buckets <= 4096 else None
-            for b in range(buckets) if bounds is not None else np.unique(bucket):
-                if bounds is not None:
-                    part = by_bucket[bounds[b] : bounds[b + 1]]
-                else:
-                    part = by_bucket[slice(*np.searchsorted(bucket[by_bucket], [b, b + 1]))]
-                known = np.flatnonzero((number > 1) & (head_bucket == b))
-                if not len(part) and not len(known):
-                    continue
-                docs, place = np.unique(owner[part], return_inverse=True)
-                rows.append(
-                    row(
-                        int(b), _pack(value[part]), place.astype("<u4").tobytes(), ids[docs], contents[docs],
-                        _pack(heads[known]), number[known].astype("<u4").tobytes(),
-                    )
-                )
-            if several.any():
-                known, keys = owner[several], value[several]
-                docs, place = np.unique(known, return_inverse=True)
-                turn = np.argsort(place, kind="stable")
-                packed = -1 - int(keys[0] % np.uint64(buckets))
-                rows.append(
-                    row(packed, _pack(keys[turn]), place[turn].astype("<u4").tobytes(), ids[docs], contents[docs])
-                )
-            columns = list(zip(*rows, strict=True))
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["bucket", "single", "place", "ids", "contents", "multi", "numbers"],
-            )
+            yield blocks(value, owner, np.zeros(len(value), np.uint8), ids, contents, buckets)
 
     return run
 
@@ -197,49 +132,17 @@ def _shared_anchors(hot_limit: int):
     """Per bucket: each document's anchors that another document has too; anchors with very many documents."""
 
     def resolve(table: pa.Table) -> pa.Table:
-        ids = np.asarray(table.column("ids").combine_chunks().flatten(), np.int64)
-        contents = np.asarray(table.column("contents").combine_chunks().flatten(), np.int64)
-        keys, docs, multi, numbers, base = [], [], [], [], 0
-        for single, place, listed, many, count in zip(
-            *(table.column(c).to_pylist() for c in ("single", "place")),
-            [len(x) for x in table.column("ids")],
-            *(table.column(c).to_pylist() for c in ("multi", "numbers")),
-            strict=True,
-        ):
-            keys.append(_unpack(single))
-            docs.append(np.frombuffer(place, "<u4").astype(np.int64) + base)
-            multi.append(_unpack(many))
-            numbers.append(np.frombuffer(count, "<u4").astype(np.int64))
-            base += listed
-        keys, docs, multi, numbers = map(np.concatenate, (keys, docs, multi, numbers))
-        hot = np.zeros(0, np.uint64)
-        if table.column("bucket")[0].as_py() >= 0:
-            order = np.argsort(keys, kind="stable")
-            keys, docs = keys[order], docs[order]
-            several = np.zeros(len(keys), bool)
-            if len(keys):
-                begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                number = np.diff(np.append(begin, len(keys)))
-                # Two rows of one document (its row repeats, or its id does) are not two documents.
-                own = ids[docs]
-                differ = np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin)
-                several = np.repeat(differ, number) | np.isin(keys, multi)
-                both = np.concatenate([keys[begin], multi])
-                counts = np.concatenate([number, numbers])
-            else:
-                both, counts = multi, numbers
-            values, inverse = np.unique(both, return_inverse=True)
-            hot = values[np.bincount(inverse, counts, minlength=len(values)) > hot_limit]
-            keys, docs = keys[several], docs[several]
-        turn = np.argsort(docs, kind="stable")
-        keys, docs = keys[turn].astype(np.int64), docs[turn]
+        found = Resolved(table)
+        hot = found.counted[found.counts > hot_limit]
+        turn = np.argsort(found.owner, kind="stable")
+        keys, docs = found.keys[turn].astype(np.int64), found.owner[turn]
         begin = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else docs
         lists = pa.ListArray.from_arrays(np.append(begin, len(docs)).astype(np.int32), pa.array(keys))
         none = pa.nulls(len(hot), pa.int64())
         return pa.table(
             {
-                "doc_id": pa.concat_arrays([pa.array(ids[docs[begin]]), none]),
-                "content": pa.concat_arrays([pa.array(contents[docs[begin]]), none]),
+                "doc_id": pa.concat_arrays([pa.array(found.ids[docs[begin]]), none]),
+                "content": pa.concat_arrays([pa.array(found.others[docs[begin]]), none]),
                 "anchors": pa.concat_arrays([lists, pa.nulls(len(hot), lists.type)]),
                 "hot": pa.concat_arrays([pa.nulls(len(begin), pa.int64()), pa.array(hot.astype(np.int64))]),
             }
@@ -377,7 +280,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     hot_limit = max(HOT_DOCUMENTS, expected // HOT_SHARE)
     shared = _written(
         usable.select("doc_id", "content", "text")
-        .mapInArrow(_anchor_blocks(buckets, length, gram), _BLOCKS)
+        .mapInArrow(_anchor_blocks(buckets, length, gram), BLOCKS)
         .groupBy("bucket")
         .applyInArrow(_shared_anchors(hot_limit), _SHARED),
         "shared-anchors",
