@@ -14,6 +14,7 @@ from seedloom.llm import (
     chat,
     decontaminate,
     embeddings,
+    jaccard,
     language,
     pii,
     secret_scan,
@@ -100,3 +101,8 @@ def op8_decontaminate(spark, sf_dir):
 @query
 def op9_embeddings(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_jaccard(spark, sf_dir):
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
