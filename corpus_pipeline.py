@@ -4,12 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seedloom.llm.queries import scratch
+from seedloom.llm import byte_bpe, decontaminate, jaccard, language, pii
+from seedloom.llm.queries import PSEUDONYM_KEY, scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language cannot be told: no text, or no letter in it."""
+    marked = language.identify(docs, keep=tuple(docs.columns))
+    return marked.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of smallest id of each group of near copies (five words, 0.8)."""
+    groups = jaccard.similar_documents(docs, words=5, percent=80)
+    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a passage of the benchmark."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Put pseudonyms for personal data; ``n_chars`` follows the new text."""
+    changed = pii.pseudonymize(docs, PSEUDONYM_KEY)
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text that is left, and digests of ids and of the decoded bytes."""
+    return byte_bpe.round_trip(
+        docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language-id", language_id),
+    ("near-duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal-data", personal_data),
+    ("tokens", tokens),
+]
 
 #: SQL expresses neither the trained language model nor the keyed pseudonyms.
 ORACLE_SQL = None
