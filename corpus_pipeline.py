@@ -16,8 +16,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language cannot be told: no text, or no letter in it."""
-    marked = language.identify(docs, keep=tuple(docs.columns))
-    return marked.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    return language.with_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
