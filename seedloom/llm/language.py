@@ -273,40 +273,47 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[t
     return sample
 
 
-def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for whole texts of ``doc_id, text, lang``.
+def _predicted(docs: DataFrame, columns: list[str], per_language: int) -> DataFrame:
+    """``columns`` of ``docs`` as ``c0``, ``c1``, ... with ``held_out, lang_pred, score``.
 
-    ``keep`` names columns of ``docs`` to carry along unchanged; only ``text`` is read by the
-    network.
+    Own names inside keep columns of any name apart; only ``text`` is read by the network.
     """
-    sample = training_sample(docs, per_language)
-    rows = docs.select(*dict.fromkeys(["doc_id", *keep, "text"]))
+    sample = training_sample(docs.select("doc_id", "text", "lang"), per_language)
+    names = [f"c{i}" for i in range(len(columns))]
+    rows = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)],
+        F.col("text").cast("string").alias("text"),
+        held_out(F.col("doc_id")).alias("held_out"),
+    )
     if not sample:
-        return rows.select(
-            *dict.fromkeys(["doc_id", *keep]),
-            held_out(F.col("doc_id")).alias("held_out"),
-            F.lit(UNDETERMINED).alias("lang_pred"),
-            F.lit(0.0).alias("score"),
-        )
+        return rows.select(*names, "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     model = train([text for text, _ in sample], [lang for _, lang in sample])
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    carried = [name for name in rows.columns if name != "text" or "text" in keep]
+    carried = [*names, "held_out"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = batch.column("text")
-            marked = batch.append_column("_row", pa.array(np.arange(batch.num_rows)))
-            names, scores = [], []
-            for part in text_slices([marked.select(["text", "_row"])]):
-                found, values = _labeller(packed.value).predict(part.column("text"))
-                names += found
+            found, scores = [], []
+            for part in text_slices([batch.select(["text"])]):
+                languages, values = _labeller(packed.value).predict(part.column("text"))
+                found += languages
                 scores.append(values)
-            columns = [whole if name == "text" else batch.column(name) for name in carried]
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(scores)], [*carried, "lang_pred", "score"]
+                [*[batch.column(name) for name in carried], pa.array(found, pa.string()), pa.array(scores)],
+                [*carried, "lang_pred", "score"],
             )
 
-    schema = ", ".join(f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in carried)
-    predicted = rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
-    return predicted.withColumn("held_out", held_out(F.col("doc_id"))).select(*carried, "held_out", "lang_pred", "score")
+    schema = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in carried)
+    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+
+
+def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for whole texts of ``doc_id, text, lang``."""
+    return _predicted(docs, ["doc_id"], per_language).withColumnRenamed("c0", "doc_id")
+
+
+def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """All columns of the rows of ``docs`` whose language can be told."""
+    told = _predicted(docs, docs.columns, per_language).filter(F.col("lang_pred") != UNDETERMINED)
+    return told.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
