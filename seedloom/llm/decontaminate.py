@@ -58,6 +58,11 @@ def shingles_of(hashes: Column, size: int = SHINGLE) -> Column:
     )
 
 
+def _runs(hashes: Column, size: int) -> Column:
+    """Hash of every run of ``size`` words as the whole of a short item hashes."""
+    return F.transform(F.sequence(F.lit(0), F.size(hashes) - size), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(size))))
+
+
 def simhash(shingles: Column) -> Column:
     """64 signs of the sums of the shingles' bits, packed into one long."""
     sums = F.aggregate(
@@ -164,14 +169,21 @@ def find_leaks(
         F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("doc"), "hashes"
     )
     # ``hashes`` travels by reference: only rows that meet an anchor are ever written out.
-    exploded = hashed.select("doc", "hashes", F.posexplode(shingles_of(F.col("hashes"))).alias("at", "shingle"))
+    exploded = [hashed.select("doc", "hashes", F.posexplode(shingles_of(F.col("hashes"))).alias("at", "shingle"))]
+    # Items shorter than a shingle (at most four lengths) are looked for as runs of their own length.
+    for row in items.filter(F.col("item_words") < SHINGLE).select("item_words").distinct().collect():
+        size = row["item_words"]
+        runs = _runs(F.col("hashes"), size)
+        longer = hashed.filter(F.size("hashes") > size)
+        exploded.append(longer.select("doc", "hashes", F.posexplode(runs).alias("at", "shingle")))
     n, words = F.col("item_words"), F.size("hashes")
     slack = F.ceil(n / 4).cast("int")
     last = F.greatest(words - n, F.lit(0))
     aligned = F.col("at") - F.col("offset")
     first = F.least(F.greatest(aligned - slack, F.lit(0)), last)
     final = F.greatest(F.least(aligned + slack, last), first)
-    placed = _hits(exploded, anchors, anchors_per_block).select(
+    hits = reduce(DataFrame.unionAll, [_hits(part, anchors, anchors_per_block) for part in exploded])
+    placed = hits.select(
         "doc",
         "item",
         n.alias("item_words"),

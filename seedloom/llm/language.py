@@ -33,6 +33,7 @@ from seedloom.llm.arrays import text_slices
 CHUNK = 30
 HIDDEN = 16
 EPOCHS = 4
+LEAST_STEPS = 400
 PER_LANGUAGE = 150
 TRAIN_CHARS = 1_000
 MAX_LANGUAGES = 500
@@ -121,7 +122,7 @@ class ByteGRU:
 
 
 def train(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int = 1) -> ByteGRU:
-    """Fit a network; each distinct word of a language counts once per document."""
+    """Fit a network in ``epochs``, more for few batches; a word counts once per document."""
     languages = sorted(set(labels))
     model, number = ByteGRU(languages, seed=seed), {name: i for i, name in enumerate(languages)}
     by_length: dict[int, list[tuple[bytes, int]]] = {}
@@ -139,6 +140,7 @@ def train(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int =
     first = {k: np.zeros_like(v) for k, v in model.w.items()}
     second = {k: np.zeros_like(v) for k, v in model.w.items()}
     rng, step = np.random.default_rng(seed), 0
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(batches))))
     for epoch in range(epochs):
         rate = 0.01 * (1 - epoch / epochs)
         for at in rng.permutation(len(batches)):
@@ -255,7 +257,7 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[t
     # Copies share a text, so the key is the id; 2^30 steps are enough for 1e12 rows a language.
     steps = 1 << 30
     shares = F.create_map(
-        *[F.lit(v) for row in counts for v in (row["lang"], min(steps, 2 * per_language * steps // row["count"] + 1))]
+        *[F.lit(v) for row in counts for v in (row["lang"], min(steps, (2 * per_language + 30) * steps // row["count"]))]
     )
     key = F.pmod(F.xxhash64("doc_id"), F.lit(steps))
     rows = (

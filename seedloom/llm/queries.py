@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedloom.llm import (
@@ -85,12 +85,15 @@ def op1_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def _count(column: str, value: str) -> Column:
+    return F.size(F.filter(column, lambda x: x == value))
+
+
 @query
 def op7_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.pseudonymize(docs, PSEUDONYM_KEY, found_col="kinds")
-    counts = [F.size(F.filter("kinds", lambda k, kind=kind: k == kind)).alias(f"n_{kind}") for kind in pii.KINDS]
-    return found.select("doc_id", *counts, "text")
+    return found.select("doc_id", *[_count("kinds", kind).alias(f"n_{kind}") for kind in pii.KINDS], "text")
 
 
 @query
