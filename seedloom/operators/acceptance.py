@@ -2,44 +2,38 @@
 
 Candidates are taken in ``seq`` order: a row is accepted unless its label is full, its
 text or judge reply is unusable, or it is too similar to a seed or to a row accepted
-before it. Only comparisons with accepted rows matter, so the job alternates between
+before it. The same decisions are reached in rounds on the executors:
 
-* deciding a bounded window of the earliest undecided rows, in order, and
-* one map-only pass that drops the remaining rows too similar to the newly accepted ones.
+* rows too similar to the index leave;
+* of a stretch of the earliest undecided rows, those without a similar earlier one are
+  accepted, and the rows similar to them leave, until the stretch is settled;
+* the first place where a label or the whole run gets full is found from counts, and what
+  was settled behind it is taken up again without that label.
 
-A group of near copies, however large, loses all but its first member in one pass, no
-candidate pairs are formed, and rows behind a full label or the total target are never
-compared. The number of passes is about accepted rows / window.
+A group of near copies, however large, loses all but its first member in one round. No
+rows pass through the driver; it sees counts per label and places. Rounds grow with the
+longest chain of rows each similar to the next, and with the number of labels.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedloom.functions.shingles import jaccard_of, shingle_codes
 from seedloom.operators.quota import MAX_LOOPS
 from seedloom.operators.responses import is_valid_candidate
-from seedloom.operators.similarity import (
-    JACCARD_THRESHOLD,
-    SEMANTIC_THRESHOLD,
-    VECTOR_INDEX,
-    drop_similar,
-    index_blocks,
-    near_duplicates,
-    top_similarity,
-)
+from seedloom.operators.similarity import SEMANTIC_THRESHOLD, VECTOR_INDEX, near_duplicates, top_similarity
 from seedloom.session import cut_lineage
 
-WINDOW_ROWS = 4096
+#: Undecided rows taken up at a time.
+WINDOW_ROWS = 65_536
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 QUOTA_FULL, INVALID_TEXT, JUDGE_PARSE, LOW_SCORE = "quota_full", "invalid_text", "judge_parse", "low_score"
 EXACT_DUPLICATE, REDUNDANT, TARGET_REACHED = "exact_duplicate", "redundant", "target_reached"
+NOT_REACHED = "not_reached"
 
 
 @dataclass
@@ -49,7 +43,6 @@ class Progress:
     quota: dict[str, int]
     target: int
     counts: dict[str, int] = field(default_factory=dict)
-    accepted: list[tuple[int, str]] = field(default_factory=list)
     cut: dict[str, int] = field(default_factory=dict)
     stop_seq: int | None = None
 
@@ -59,14 +52,6 @@ class Progress:
     def done(self) -> bool:
         return sum(self.counts.values()) >= self.target
 
-    def accept(self, seq: int, label: str) -> None:
-        self.accepted.append((seq, label))
-        self.counts[label] = self.counts.get(label, 0) + 1
-        if self.full(label):
-            self.cut[label] = seq
-        if self.done():
-            self.stop_seq = seq
-
     def open_labels(self) -> list[str]:
         return [label for label in self.quota if not self.full(label)]
 
@@ -74,7 +59,7 @@ class Progress:
 def gate_reason(candidates: DataFrame) -> DataFrame:
     """Add ``gate``: why a candidate can never be accepted, or NULL.
 
-    Needs ``cleaned_text, judge_status``; an ``is_copy`` column adds the exact-copy guard.
+    Needs ``cleaned_text, judge_status``; an ``is_copy`` column adds the guard against seed copies.
     """
     gate = F.when(~F.coalesce(is_valid_candidate("cleaned_text"), F.lit(False)), INVALID_TEXT).when(
         F.col("judge_status") != "ok", F.col("judge_status")
@@ -94,89 +79,177 @@ def greedy_accept(
     collected: dict[str, int] | None = None,
     use_minhash: bool = False,
     seed_texts: DataFrame | None = None,
+    exact_guard: bool = False,
 ) -> tuple[DataFrame, Progress]:
     """Decide every candidate. Returns ``seq, label, status, reason, max_similarity`` and the tally.
 
-    ``candidates``: ``seq`` (unique order), ``label``, ``embedding`` (unit vector) and ``gate``;
-    with ``use_minhash`` also ``cleaned_text``. ``seed_index``: ``embedding`` of the seed texts
-    and earlier accepted rows; ``seed_texts`` (``cleaned_text``) are their texts, for ``use_minhash``.
-    ``collected`` are rows accepted per label in earlier rounds.
+    ``candidates``: ``seq`` (unique order), ``label``, ``gate`` and ``embedding`` (unit vector;
+    without that column vectors are not compared); with ``use_minhash`` or ``exact_guard`` also
+    ``cleaned_text``. ``seed_index``: ``embedding`` of the seed texts and earlier accepted rows;
+    ``seed_texts`` (``cleaned_text``) are their texts. ``exact_guard`` rejects copies of a seed
+    text and of an accepted row. ``collected`` are rows accepted per label in earlier rounds.
     """
-    spark = candidates.sparkSession
     progress = Progress(dict(quota), target, dict(collected or {}))
-    text = ["cleaned_text"] if use_minhash else []
-    seeds = None
-    if seed_index is not None:
-        seeds = seed_index.select(F.lit(-1).cast("bigint").alias("seq"), "embedding")
-
+    kinds = _Kinds("embedding" in candidates.columns, use_minhash, exact_guard, threshold)
     # The narrow columns are read many times; the parsing behind them runs once.
-    candidates = cut_lineage(candidates.select("seq", "label", "embedding", "gate", *text))
+    candidates = cut_lineage(candidates.select("seq", "label", "gate", *kinds.columns()))
+    seeds = _seeds(kinds, seed_index, seed_texts)
     rows = candidates.filter(F.col("gate").isNull() & F.col("label").isin(progress.open_labels())).drop("gate")
-    if seeds is not None and not progress.done():
-        for _, vectors in index_blocks(seeds):
-            rows = cut_lineage(drop_similar(rows, vectors, threshold))
-    if use_minhash and seed_texts is not None and not progress.done():
-        texts = seed_texts.select(F.lit(-1).cast("bigint").alias("seq"), "cleaned_text")
-        rows = cut_lineage(_without_near_copies(rows, texts))
-
+    if seeds and not progress.done():
+        rows = cut_lineage(kinds.unlike(rows, seeds))
+    accepted: DataFrame = candidates.filter("false").select("seq", "label")
     while not progress.done():
-        head = rows.orderBy("seq").limit(window).toArrow().to_pandas()
-        if head.empty:
+        stretch = _earliest(rows, window)
+        if stretch is None:
             break
-        accepted = _decide_window(head, progress, threshold, use_minhash)
-        if len(head) < window or progress.done():
-            break
-        later = rows.filter((F.col("seq") > int(head["seq"].iloc[-1])) & F.col("label").isin(progress.open_labels()))
-        if len(accepted):
-            later = drop_similar(later, _vectors(accepted), threshold)
-            if use_minhash:
-                texts = spark.createDataFrame(accepted[["seq", "cleaned_text"]])
-                later = _without_near_copies(later, texts)
-        rows = cut_lineage(later)
-
-    return _ledger(candidates, progress, seeds), progress
-
-
-def _decide_window(head: pd.DataFrame, progress: Progress, threshold: float, use_minhash: bool) -> pd.DataFrame:
-    """Accept rows of the window in order; returns the accepted rows."""
-    vectors = _vectors(head)
-    taken = np.empty_like(vectors)
-    sets: list[np.ndarray] = []
-    chosen: list[int] = []
-    for place, (seq, label) in enumerate(zip(head["seq"], head["label"])):
+        last, part = stretch
+        settled = cut_lineage(kinds.settle(part))
+        upto = _first_full(settled, progress)
+        fresh = settled if upto is None else cut_lineage(settled.filter(F.col("seq") <= upto))
+        _count(fresh, progress)
+        accepted = cut_lineage(accepted.unionByName(fresh.select("seq", "label")))
+        done = last if upto is None else upto
         if progress.done():
             break
-        if progress.full(label):
-            continue
-        vector = vectors[place]
-        if chosen and (taken[: len(chosen)] @ vector).max() >= threshold:
-            continue
-        if use_minhash:
-            codes = shingle_codes(head["cleaned_text"].iloc[place])
-            if any(jaccard_of(codes, other) >= JACCARD_THRESHOLD for other in sets):
-                continue
-            sets.append(codes)
-        taken[len(chosen)] = vector
-        chosen.append(place)
-        progress.accept(int(seq), label)
-    return head.iloc[chosen]
-
-
-def _vectors(rows: pd.DataFrame) -> np.ndarray:
-    return np.stack(rows["embedding"].to_numpy()).astype(np.float64)
+        later = rows.filter((F.col("seq") > done) & F.col("label").isin(progress.open_labels()))
+        rows = cut_lineage(kinds.unlike(later, [fresh]))
+    return _ledger(candidates, accepted, progress, seeds, kinds), progress
 
 
-def _without_near_copies(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    flagged = near_duplicates(rows, "seq", "cleaned_text", index=texts)
-    return rows.join(flagged.filter(F.col("status") == "near_dup").select("seq"), "seq", "left_anti")
-
-
-def _ledger(candidates: DataFrame, progress: Progress, seeds: DataFrame | None) -> DataFrame:
+@dataclass
+class _Kinds:
+    """What makes two rows too similar: vectors, near-copied texts, equal texts."""
+
+    vectors: bool
+    near_texts: bool
+    equal_texts: bool
+    threshold: float
+
+    def columns(self) -> list[str]:
+        return ["embedding"] * self.vectors + ["cleaned_text"] * (self.near_texts or self.equal_texts)
+
+    def settle(self, rows: DataFrame) -> DataFrame:
+        """Rows that are accepted in order if no label gets full."""
+        accepted, open_rows = None, cut_lineage(rows)
+        while accepted is None or not open_rows.isEmpty():
+            held = cut_lineage(open_rows.join(self._with_earlier(open_rows), "seq", "left_semi"))
+            fresh = cut_lineage(open_rows.join(held.select("seq"), "seq", "left_anti"))
+            accepted = fresh if accepted is None else accepted.unionByName(fresh)
+            if held.isEmpty():
+                break
+            open_rows = cut_lineage(self.unlike(held, [fresh]))
+        return accepted
+
+    def _with_earlier(self, rows: DataFrame) -> DataFrame:
+        """``seq`` of rows with a similar row of smaller ``seq`` in the same table."""
+        found = []
+        if self.vectors:
+            vectors = rows.select("seq", "embedding")
+            near = top_similarity(vectors, vectors, earlier_only=True, at_least=self.threshold)
+            found.append(near.filter("max_similarity IS NOT NULL").select("seq"))
+        if self.near_texts:
+            found.append(near_duplicates(rows, "seq", "cleaned_text").filter("status = 'near_dup'").select("seq"))
+        if self.equal_texts:
+            keyed = rows.select("seq", F.sha2("cleaned_text", 256).alias("digest"))
+            first = keyed.groupBy("digest").agg(F.min("seq").alias("first"))
+            found.append(keyed.join(first, "digest").filter("seq > first").select("seq"))
+        return _union(found, rows.select("seq").filter("false"))
+
+    def unlike(self, rows: DataFrame, others: list[DataFrame]) -> DataFrame:
+        """Rows that are like none of ``others``, each with the columns it is compared by."""
+        for other in others:
+            found = []
+            if self.vectors and "embedding" in other.columns:
+                near = top_similarity(rows.select("seq", "embedding"), other, at_least=self.threshold)
+                found.append(near.filter("max_similarity IS NOT NULL").select("seq"))
+            if self.near_texts and "cleaned_text" in other.columns:
+                flagged = near_duplicates(rows, "seq", "cleaned_text", index=other)
+                found.append(flagged.filter("status = 'near_dup'").select("seq"))
+            if self.equal_texts and "cleaned_text" in other.columns:
+                found.append(_copies(rows, other).select("seq"))
+            for like in found:
+                rows = rows.join(like, "seq", "left_anti")
+        return rows
+
+
+def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
+    for frame in frames:
+        empty = empty.unionAll(frame)
+    return empty
+
+
+def _copies(rows: DataFrame, other: DataFrame) -> DataFrame:
+    known = other.select(F.sha2("cleaned_text", 256).alias("digest")).distinct()
+    return rows.select("seq", F.sha2("cleaned_text", 256).alias("digest")).join(known, "digest", "left_semi")
+
+
+def _seeds(kinds: _Kinds, seed_index: DataFrame | None, seed_texts: DataFrame | None) -> list[DataFrame]:
+    """Seed vectors and texts with numbers of their own below zero, which spread them over tiles."""
+    number = (-1 - F.monotonically_increasing_id()).alias("seq")
+    seeds = []
+    if kinds.vectors and seed_index is not None:
+        seeds.append(cut_lineage(seed_index.select(number, "embedding")))
+    if (kinds.near_texts or kinds.equal_texts) and seed_texts is not None:
+        seeds.append(cut_lineage(seed_texts.select(number, "cleaned_text")))
+    return seeds
+
+
+def _earliest(rows: DataFrame, window: int) -> tuple[int, DataFrame] | None:
+    """The last ``seq`` of about ``window`` earliest rows, and these rows."""
+    stats = rows.agg(F.count("*").alias("n"), F.max("seq").alias("last")).first()
+    if not stats["n"]:
+        return None
+    last = stats["last"]
+    if stats["n"] > window:
+        last = rows.agg(F.percentile_approx("seq", window / stats["n"], 10_000)).first()[0]
+    return last, rows.filter(F.col("seq") <= last)
+
+
+def _first_full(settled: DataFrame, progress: Progress) -> int | None:
+    """First ``seq`` at which a label, or the run, gets full with later accepted rows behind it."""
+    counts = {row["label"]: row["count"] for row in settled.groupBy("label").count().collect()}
+    places = []
+    for label, count in counts.items():
+        need = progress.quota[label] - progress.counts.get(label, 0)
+        if count > need:
+            places.append(_place(settled.filter(F.col("label") == label), need))
+    left = progress.target - sum(progress.counts.values())
+    if sum(counts.values()) > left:
+        places.append(_place(settled, left))
+    return min(places, default=None)
+
+
+def _place(rows: DataFrame, rank: int) -> int:
+    """``seq`` of the row of the given rank, by counting in ever narrower ranges."""
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
+    while True:
+        width = max(1, -(-(high - low + 1) // 4096))
+        part = F.floor((F.col("seq") - low) / width)
+        inside = rows.filter(F.col("seq").between(low, high))
+        for number, count in sorted(inside.groupBy(part.alias("part")).count().collect()):  # 4,096 counts at most
+            if rank <= count:
+                break
+            rank -= count
+        low = low + number * width
+        high = min(high, low + width - 1)
+        if low == high:
+            return low
+
+
+def _count(fresh: DataFrame, progress: Progress) -> None:
+    """Add accepted rows to the tally; note where labels and the run got full."""
+    for row in fresh.groupBy("label").agg(F.count("*").alias("n"), F.max("seq").alias("last")).collect():
+        progress.counts[row["label"]] = progress.counts.get(row["label"], 0) + row["n"]
+        if progress.full(row["label"]):
+            progress.cut[row["label"]] = row["last"]
+    if progress.done():
+        progress.stop_seq = fresh.agg(F.max("seq")).first()[0]
+
+
+def _ledger(
+    candidates: DataFrame, accepted: DataFrame, progress: Progress, seeds: list[DataFrame], kinds: _Kinds
+) -> DataFrame:
     spark = candidates.sparkSession
-    accepted = spark.createDataFrame(
-        pd.DataFrame(progress.accepted, columns=["seq", "_label"]).astype({"seq": "int64", "_label": "str"}),
-        "seq bigint, _label string",
-    ).select("seq", F.lit(True).alias("_accepted"))
     # The label table has one row per category of the quota plan.
     limits = F.broadcast(
         spark.createDataFrame(
@@ -189,28 +262,37 @@ def _ledger(candidates: DataFrame, progress: Progress, seeds: DataFrame | None)
     if progress.stop_seq is None and progress.done():
         past_target = F.lit(True)  # the target had been reached before this round
     past_cut = F.coalesce(F.col("_closed"), F.lit(True)) | F.coalesce(F.col("seq") > F.col("_cut"), F.lit(False))
+    marked = candidates.join(accepted.select("seq", F.lit(True).alias("_accepted")), "seq", "left")
+    copied = F.lit(False)
+    if kinds.equal_texts:
+        marked = marked.withColumn("_digest", F.sha2("cleaned_text", 256))
+        taken = marked.filter("_accepted").groupBy("_digest").agg(F.min("seq").alias("_first"))
+        known = _union([s.select(F.sha2("cleaned_text", 256).alias("_digest")) for s in seeds if "cleaned_text" in s.columns],
+                       taken.select("_digest").filter("false"))
+        known = known.distinct().withColumn("_seed", F.lit(True))
+        marked = marked.join(taken, "_digest", "left").join(known, "_digest", "left")
+        copied = F.coalesce(F.col("_seed"), F.col("seq") > F.col("_first"), F.lit(False))
     reason = (
         F.when(F.col("_accepted"), F.lit(None).cast("string"))
         .when(past_target, TARGET_REACHED)
         .when(past_cut, QUOTA_FULL)
-        .otherwise(F.coalesce("gate", F.lit(REDUNDANT)))
+        .when(F.col("gate").isNotNull(), F.col("gate"))
+        .when(copied, EXACT_DUPLICATE)
+        .otherwise(REDUNDANT)
     )
-    decided = (
-        candidates.select("seq", "label", "gate", "embedding")
-        .join(accepted, "seq", "left")
-        .join(limits, "label", "left")
-        .select(
-            "seq",
-            "label",
-            "embedding",
-            F.when(F.col("_accepted"), ACCEPTED).otherwise(REJECTED).alias("status"),
-            reason.alias("reason"),
-        )
+    status = F.when(F.col("_accepted"), ACCEPTED).otherwise(REJECTED)
+    vectors = ["embedding"] * kinds.vectors
+    decided = marked.join(limits, "label", "left").select(
+        "seq", "label", *vectors, status.alias("status"), reason.alias("reason")
     )
+    if not kinds.vectors:
+        return decided.withColumn("max_similarity", F.lit(None).cast("double"))
+    decided = cut_lineage(decided)
     compared = decided.filter((F.col("status") == ACCEPTED) | (F.col("reason") == REDUNDANT))
-    index = decided.filter(F.col("status") == ACCEPTED).select("seq", "embedding")
-    if seeds is not None:
-        index = index.unionByName(seeds)
+    index = _union(
+        [s.select("seq", "embedding") for s in seeds if "embedding" in s.columns],
+        decided.filter(F.col("status") == ACCEPTED).select("seq", "embedding"),
+    )
     similarity = top_similarity(compared.select("seq", "embedding"), index, earlier_only=True)
     return decided.drop("embedding").join(similarity, "seq", "left")
 
@@ -253,24 +335,34 @@ def accept_in_loops(
     seed_index: DataFrame | None = None,
     threshold: float = SEMANTIC_THRESHOLD,
     window: int = WINDOW_ROWS,
+    max_loops: int = MAX_LOOPS,
 ) -> DataFrame:
     """Decide successive response batches until the target is met or the loops run out.
 
     Each batch is gated candidates as for ``greedy_accept``; accepted rows join the index
-    of later batches. Returns the decisions of all batches that were needed, with ``loop``.
+    of later batches. Returns decisions of all batches, with ``loop``; rows of batches behind
+    the target or ``max_loops`` are rejected as ``not_reached``.
     """
     collected: dict[str, int] = {}
     decisions: DataFrame | None = None
     spark = batches[0].sparkSession
     index = spark.createDataFrame([], VECTOR_INDEX) if seed_index is None else seed_index
     index = index.select("embedding")
-    for loop, batch in enumerate(batches[:MAX_LOOPS], start=1):
-        if sum(collected.values()) >= target:
-            break
-        decided, progress = greedy_accept(batch, quota, target, index, threshold, window, collected)
-        decided = cut_lineage(decided.withColumn("loop", F.lit(loop)))
-        collected = progress.counts
-        fresh = decided.filter(F.col("status") == ACCEPTED).select("seq")
-        index = index.unionByName(batch.join(fresh, "seq", "left_semi").select("embedding"))
+    for loop, batch in enumerate(batches, start=1):
+        if loop > max_loops or sum(collected.values()) >= target:
+            decided = batch.select(
+                "seq",
+                "label",
+                F.lit(REJECTED).alias("status"),
+                F.lit(NOT_REACHED).alias("reason"),
+                F.lit(None).cast("double").alias("max_similarity"),
+                F.lit(loop).alias("loop"),
+            )
+        else:
+            decided, progress = greedy_accept(batch, quota, target, index, threshold, window, collected)
+            decided = cut_lineage(decided.withColumn("loop", F.lit(loop)))
+            collected = progress.counts
+            fresh = decided.filter(F.col("status") == ACCEPTED).select("seq")
+            index = cut_lineage(index.unionByName(batch.join(fresh, "seq", "left_semi").select("embedding")))
         decisions = decided if decisions is None else decisions.unionByName(decided)
     return decisions

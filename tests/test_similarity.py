@@ -104,8 +104,24 @@ def test_near_duplicates_of_an_index(spark, small_bucket, monkeypatch):
 def test_exact_copies(spark):
     seed = spark.createDataFrame([("a",), ("b",)], "text string")
     rows = spark.createDataFrame([(5, "c"), (3, "c"), (1, "a"), (9, "d")], "seq bigint, text string")
-    got = {r.seq: r.is_copy for r in similarity.exact_dup_guard(rows, seed).collect()}
-    assert got == {5: True, 3: False, 1: True, 9: False}
+    got = {r.seq: r.is_copy for r in similarity.seed_copies(rows, seed).collect()}
+    assert got == {5: False, 3: False, 1: True, 9: False}
+
+
+def test_first_accepted_copy_wins(spark):
+    rows = [
+        (0, "x", "low_score", "c"), (1, "x", None, "c"), (2, "x", None, "c"), (3, "x", None, "a"),
+        (4, "full", None, "d"), (5, "x", None, "d"), (6, "y", None, "d"), (7, "x", "judge_parse", "c"),
+    ]
+    df = spark.createDataFrame(rows, "seq bigint, label string, gate string, cleaned_text string")
+    seed = spark.createDataFrame([("a",), ("b",)], "cleaned_text string")
+    quota = {"x": 9, "y": 9, "full": 0}
+    decided, progress = acceptance.greedy_accept(df, quota, 9, seed_texts=seed, exact_guard=True, window=3)
+    assert {r.seq: r.reason for r in decided.collect()} == {
+        0: "low_score", 1: None, 2: "exact_duplicate", 3: "exact_duplicate",
+        4: "quota_full", 5: None, 6: "exact_duplicate", 7: "judge_parse",
+    }
+    assert progress.counts == {"x": 2}
 
 
 def unit(rng, n, d=8, clusters=12, noise=0.25):
@@ -119,15 +135,19 @@ def vector_frame(spark, vectors, start=0):
     return spark.createDataFrame(rows, "seq bigint, embedding array<float>")
 
 
-@pytest.mark.parametrize("block_bytes", [10**9, 8 * 8 * 40])
-def test_top_similarity(spark, block_bytes):
+@pytest.mark.parametrize("tile_rows", [10**9, 40])
+def test_top_similarity(spark, tile_rows):
     rng = np.random.default_rng(1)
     own, index = unit(rng, 90), unit(rng, 130)
-    got = similarity.top_similarity(vector_frame(spark, own), vector_frame(spark, index), block_bytes=block_bytes)
+    got = similarity.top_similarity(vector_frame(spark, own), vector_frame(spark, index), tile_rows=tile_rows)
     best = (own.astype(float) @ index.astype(float).T).max(axis=1)
     assert [r.max_similarity for r in got.orderBy("seq").collect()] == pytest.approx(list(best))
     rows = vector_frame(spark, own)
-    earlier = similarity.top_similarity(rows, rows, earlier_only=True, block_bytes=block_bytes).orderBy("seq").collect()
+    earlier = similarity.top_similarity(rows, rows, earlier_only=True, tile_rows=tile_rows).orderBy("seq").collect()
+    near = similarity.top_similarity(vector_frame(spark, own), vector_frame(spark, index), at_least=0.8, tile_rows=tile_rows)
+    assert {r.seq: r.max_similarity for r in near.collect()} == {
+        i: pytest.approx(b) if b >= 0.8 else None for i, b in enumerate(best)
+    }
     dots = own.astype(float) @ own.astype(float).T
     assert earlier[0].max_similarity is None
     assert [r.max_similarity for r in earlier[1:]] == pytest.approx([dots[i, :i].max() for i in range(1, 90)])
@@ -199,7 +219,22 @@ def test_greedy_equals_sequential_loop(spark, case):
             assert row.max_similarity == pytest.approx(best, abs=1e-6)
         else:
             assert row.max_similarity is None
-    assert progress.accepted == [(seq, str(labels[seq])) for seq, (reason, _) in want.items() if reason is None]
+    taken = {seq for seq, (reason, _) in want.items() if reason is None}
+    assert {seq for seq, row in got.items() if row.status == "accepted"} == taken
+    assert sum(progress.counts.values()) == len(taken) + sum((collected or {}).values())
+
+
+def test_seed_index_of_several_tiles(spark, monkeypatch):
+    """Seeds spread over tiles by numbers of their own, however many there are."""
+    monkeypatch.setattr(acceptance, "top_similarity", lambda *a, **k: similarity.top_similarity(*a, **k, tile_rows=20))
+    rng = np.random.default_rng(2)
+    vectors, seeds = unit(rng, 120, clusters=40), unit(rng, 150, clusters=40)
+    df = vector_frame(spark, vectors).withColumns({"label": F.lit("a"), "gate": F.lit(None).cast("string")})
+    decided, _ = acceptance.greedy_accept(df, {"a": 50}, 50, vector_frame(spark, seeds), 0.85, window=30)
+    want = sequential(
+        [(i, "a", None, v) for i, v in enumerate(vectors)], {"a": 50}, 50, [s.astype(float) for s in seeds], 0.85
+    )
+    assert {r.seq: r.reason for r in decided.collect()} == {seq: reason for seq, (reason, _) in want.items()}
 
 
 def test_hot_group_of_copies_takes_one_pass(spark):
@@ -209,7 +244,9 @@ def test_hot_group_of_copies_takes_one_pass(spark):
     df = vector_frame(spark, vectors).withColumns({"label": F.lit("a"), "gate": F.lit(None).cast("string")})
     decided, progress = acceptance.greedy_accept(df, {"a": 1000}, 1000, None, 0.85, window=100)
     want = sequential([(i, "a", None, v) for i, v in enumerate(vectors)], {"a": 1000}, 1000, [], 0.85)
-    assert [seq for seq, _ in progress.accepted] == [seq for seq, (reason, _) in want.items() if reason is None]
+    taken = {r.seq for r in decided.filter("status = 'accepted'").collect()}
+    assert taken == {seq for seq, (reason, _) in want.items() if reason is None}
+    assert progress.counts == {"a": len(taken)}
 
 
 def test_greedy_with_near_copy_check(spark):
@@ -241,3 +278,13 @@ def test_loops_share_index_and_counts(spark):
     assert accepted == {seq for seq, (reason, _) in want.items() if reason is None}
     progress = acceptance.loop_progress(decided).orderBy("loop").collect()
     assert progress[-1].collected == len(accepted)
+
+
+def test_batches_behind_the_limit_are_in_the_ledger(spark):
+    vectors = np.eye(25, dtype=np.float32)
+    df = vector_frame(spark, vectors).withColumns({"label": F.lit("a"), "gate": F.lit(None).cast("string")})
+    batches = [df.filter(F.col("seq") == k) for k in range(25)]
+    decided = acceptance.accept_in_loops(batches, {"a": 30}, 30, None, 0.85, max_loops=3)
+    got = {r.seq: (r.loop, r.reason) for r in decided.collect()}
+    assert got == {k: (k + 1, None if k < 3 else "not_reached") for k in range(25)}
+    assert acceptance.MAX_LOOPS == 20
