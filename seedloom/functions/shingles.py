@@ -11,16 +11,16 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 SHINGLE = 5
 NUM_PERM = 128
-BANDS = 21
-ROWS_PER_BAND = 6
 PRIME = 2_147_483_647  # 2**31 - 1
 GENERATOR = 48_271  # primitive root of PRIME; its powers give the permutation coefficients
 WORD = 2**32
@@ -79,14 +79,17 @@ def signature(codes: np.ndarray) -> np.ndarray:
     return best.astype(np.int64)
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band, distinct across bands."""
-    rows = values[: BANDS * ROWS_PER_BAND].reshape(BANDS, ROWS_PER_BAND).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in range(ROWS_PER_BAND):
-        key = (key ^ rows[:, column]) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(29)
-    return key.view(np.int64)
+def prefix_keys(codes: np.ndarray, threshold: float) -> np.ndarray:
+    """The ``n - ceil(t * n) + 1`` codes that come first in one fixed random order.
+
+    Two sets with Jaccard similarity of at least ``t`` share one of these (prefix filtering
+    holds for any common order), whatever the threshold.
+    """
+    keys = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    keys ^= keys >> np.uint64(29)
+    keys *= np.uint64(0xD6E8FEB86659FD93)
+    count = len(codes) - math.ceil(threshold * len(codes) - 1e-9) + 1
+    return np.sort(keys)[:count].view(np.int64)
 
 
 def jaccard_of(left: np.ndarray, right: np.ndarray) -> float:
@@ -108,31 +111,29 @@ def minhash_signature(text: pa.Array) -> pa.Array:
 
 
 _SKETCH = pa.struct(
-    [("n_shingles", pa.int32()), ("digest", pa.string()), ("bands", pa.list_(pa.int64()))]
-)
-
-
-@arrow_udf(
-    T.StructType()
-    .add("n_shingles", T.IntegerType())
-    .add("digest", T.StringType())
-    .add("bands", T.ArrayType(T.LongType()))
+    [("n_shingles", pa.int32()), ("digest", pa.string()), ("keys", pa.list_(pa.int64()))]
 )
-def sketch(text: pa.Array) -> pa.Array:
-    """Shingle count, digest of the shingle set, and the band keys of its signature."""
-    rows = []
-    for value in _texts(text):
-        codes = shingle_codes(value)
-        digest = hashlib.blake2b(codes.tobytes(), digest_size=16).hexdigest()
-        bands = band_keys(signature(codes)) if len(codes) else []
-        rows.append({"n_shingles": len(codes), "digest": digest, "bands": bands})
-    return pa.array(rows, _SKETCH)
 
 
-@arrow_udf(T.ArrayType(T.LongType()))
-def shingle_set(text: pa.Array) -> pa.Array:
-    """Distinct shingle codes of a text."""
-    return pa.array([shingle_codes(value) for value in _texts(text)], pa.list_(pa.int64()))
+def sketch(text: Column | str, threshold: float) -> Column:
+    """Shingle count, digest of the shingle set, and its prefix keys under ``threshold``."""
+
+    @arrow_udf(
+        T.StructType()
+        .add("n_shingles", T.IntegerType())
+        .add("digest", T.StringType())
+        .add("keys", T.ArrayType(T.LongType()))
+    )
+    def of(column: pa.Array) -> pa.Array:
+        rows = []
+        for value in _texts(column):
+            codes = shingle_codes(value)
+            digest = hashlib.blake2b(codes.tobytes(), digest_size=16).hexdigest()
+            keys = prefix_keys(codes, threshold) if len(codes) else []
+            rows.append({"n_shingles": len(codes), "digest": digest, "keys": keys})
+        return pa.array(rows, _SKETCH)
+
+    return of(text)
 
 
 @arrow_udf(T.DoubleType())

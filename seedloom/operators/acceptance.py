@@ -2,33 +2,36 @@
 
 Candidates are taken in ``seq`` order: a row is accepted unless its label is full, its
 text or judge reply is unusable, or it is too similar to a seed or to a row accepted
-before it. The same decisions are reached in rounds on the executors:
+before it. Only comparisons with accepted rows matter, so the job alternates between
 
-* rows too similar to the index leave;
-* of a stretch of the earliest undecided rows, those without a similar earlier one are
-  accepted, and the rows similar to them leave, until the stretch is settled;
-* the first place where a label or the whole run gets full is found from counts, and what
-  was settled behind it is taken up again without that label.
+* deciding a bounded window of the earliest undecided rows, in order, in one task, and
+* dropping the remaining rows too similar to the newly accepted ones, in joins of tiles.
 
-A group of near copies, however large, loses all but its first member in one round. No
-rows pass through the driver; it sees counts per label and places. Rounds grow with the
-longest chain of rows each similar to the next, and with the number of labels.
+A group of near copies, however large, loses all but its first member in one pass, no
+candidate pairs are formed, and rows behind a full label or the total target are never
+compared. The driver sees counts per label and places, no rows. The number of passes is
+about accepted rows / window.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seedloom.functions.shingles import jaccard_of, shingle_codes
 from seedloom.operators.quota import MAX_LOOPS
 from seedloom.operators.responses import is_valid_candidate
-from seedloom.operators.similarity import SEMANTIC_THRESHOLD, VECTOR_INDEX, near_duplicates, top_similarity
+from seedloom.operators.similarity import JACCARD_THRESHOLD, SEMANTIC_THRESHOLD, VECTOR_INDEX, near_duplicates, top_similarity
+from seedloom.operators.tiles import matrix
 from seedloom.session import cut_lineage
 
-#: Undecided rows taken up at a time.
-WINDOW_ROWS = 65_536
+#: Undecided rows decided at a time; they and their vectors are held by one task.
+WINDOW_ROWS = 32_768
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 QUOTA_FULL, INVALID_TEXT, JUDGE_PARSE, LOW_SCORE = "quota_full", "invalid_text", "judge_parse", "low_score"
@@ -99,19 +102,14 @@ def greedy_accept(
         rows = cut_lineage(kinds.unlike(rows, seeds))
     accepted: DataFrame = candidates.filter("false").select("seq", "label")
     while not progress.done():
-        stretch = _earliest(rows, window)
-        if stretch is None:
-            break
-        last, part = stretch
-        settled = cut_lineage(kinds.settle(part))
-        upto = _first_full(settled, progress)
-        fresh = settled if upto is None else cut_lineage(settled.filter(F.col("seq") <= upto))
+        decided = cut_lineage(kinds.decide(rows.orderBy("seq").limit(window), progress))
+        stats = decided.agg(F.count("*").alias("n"), F.max("seq").alias("last")).first()
+        fresh = decided.filter("_taken").drop("_taken")
         _count(fresh, progress)
-        accepted = cut_lineage(accepted.unionByName(fresh.select("seq", "label")))
-        done = last if upto is None else upto
-        if progress.done():
+        accepted = accepted.unionByName(fresh.select("seq", "label"))
+        if stats["n"] < window or progress.done():
             break
-        later = rows.filter((F.col("seq") > done) & F.col("label").isin(progress.open_labels()))
+        later = rows.filter((F.col("seq") > stats["last"]) & F.col("label").isin(progress.open_labels()))
         rows = cut_lineage(kinds.unlike(later, [fresh]))
     return _ledger(candidates, accepted, progress, seeds, kinds), progress
 
@@ -128,32 +126,31 @@ class _Kinds:
     def columns(self) -> list[str]:
         return ["embedding"] * self.vectors + ["cleaned_text"] * (self.near_texts or self.equal_texts)
 
-    def settle(self, rows: DataFrame) -> DataFrame:
-        """Rows that are accepted in order if no label gets full."""
-        accepted, open_rows = None, cut_lineage(rows)
-        while accepted is None or not open_rows.isEmpty():
-            held = cut_lineage(open_rows.join(self._with_earlier(open_rows), "seq", "left_semi"))
-            fresh = cut_lineage(open_rows.join(held.select("seq"), "seq", "left_anti"))
-            accepted = fresh if accepted is None else accepted.unionByName(fresh)
-            if held.isEmpty():
-                break
-            open_rows = cut_lineage(self.unlike(held, [fresh]))
-        return accepted
-
-    def _with_earlier(self, rows: DataFrame) -> DataFrame:
-        """``seq`` of rows with a similar row of smaller ``seq`` in the same table."""
-        found = []
-        if self.vectors:
-            vectors = rows.select("seq", "embedding")
-            near = top_similarity(vectors, vectors, earlier_only=True, at_least=self.threshold)
-            found.append(near.filter("max_similarity IS NOT NULL").select("seq"))
-        if self.near_texts:
-            found.append(near_duplicates(rows, "seq", "cleaned_text").filter("status = 'near_dup'").select("seq"))
-        if self.equal_texts:
-            keyed = rows.select("seq", F.sha2("cleaned_text", 256).alias("digest"))
-            first = keyed.groupBy("digest").agg(F.min("seq").alias("first"))
-            found.append(keyed.join(first, "digest").filter("seq > first").select("seq"))
-        return _union(found, rows.select("seq").filter("false"))
+    def decide(self, head: DataFrame, progress: Progress) -> DataFrame:
+        """Mark the accepted rows (``_taken``) of a bounded table that is one sorted partition."""
+        quota, counts, target = dict(progress.quota), dict(progress.counts), progress.target
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = _Accepted(self)
+            tally, total = dict(counts), sum(counts.values())
+            for batch in batches:
+                taken = np.zeros(batch.num_rows, bool)
+                vectors = matrix(batch.column("embedding")) if self.vectors else None
+                texts = batch.column("cleaned_text").to_pylist() if self.near_texts or self.equal_texts else None
+                for row, label in enumerate(batch.column("label").to_pylist()):
+                    if total >= target:
+                        break
+                    if tally.get(label, 0) >= quota[label]:
+                        continue
+                    vector, text = None if vectors is None else vectors[row], texts and texts[row]
+                    if index.take(vector, text):
+                        taken[row] = True
+                        tally[label] = tally.get(label, 0) + 1
+                        total += 1
+                yield batch.append_column("_taken", pa.array(taken))
+
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in head.schema)
+        return head.mapInArrow(run, f"{columns}, _taken boolean")
 
     def unlike(self, rows: DataFrame, others: list[DataFrame]) -> DataFrame:
         """Rows that are like none of ``others``, each with the columns it is compared by."""
@@ -172,6 +169,38 @@ class _Kinds:
         return rows
 
 
+class _Accepted:
+    """Rows accepted within one window, and whether another is like one of them."""
+
+    def __init__(self, kinds: _Kinds):
+        self.kinds, self.count = kinds, 0
+        self.vectors: np.ndarray | None = None
+        self.sets: list[np.ndarray] = []
+        self.texts: set[str] = set()
+
+    def take(self, vector: np.ndarray | None, text: str | None) -> bool:
+        kinds = self.kinds
+        if kinds.equal_texts and text in self.texts:
+            return False
+        if kinds.vectors and self.count and (self.vectors[: self.count] @ vector).max() >= kinds.threshold:
+            return False
+        if kinds.near_texts:
+            codes = shingle_codes(text)
+            if any(jaccard_of(codes, other) >= JACCARD_THRESHOLD for other in self.sets):
+                return False
+            self.sets.append(codes)
+        if kinds.equal_texts:
+            self.texts.add(text)
+        if kinds.vectors:
+            if self.vectors is None:
+                self.vectors = np.empty((64, len(vector)))
+            if self.count == len(self.vectors):
+                self.vectors = np.concatenate([self.vectors, np.empty_like(self.vectors)])
+            self.vectors[self.count] = vector
+        self.count += 1
+        return True
+
+
 def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
     for frame in frames:
         empty = empty.unionAll(frame)
@@ -194,48 +223,6 @@ def _seeds(kinds: _Kinds, seed_index: DataFrame | None, seed_texts: DataFrame |
     return seeds
 
 
-def _earliest(rows: DataFrame, window: int) -> tuple[int, DataFrame] | None:
-    """The last ``seq`` of about ``window`` earliest rows, and these rows."""
-    stats = rows.agg(F.count("*").alias("n"), F.max("seq").alias("last")).first()
-    if not stats["n"]:
-        return None
-    last = stats["last"]
-    if stats["n"] > window:
-        last = rows.agg(F.percentile_approx("seq", window / stats["n"], 10_000)).first()[0]
-    return last, rows.filter(F.col("seq") <= last)
-
-
-def _first_full(settled: DataFrame, progress: Progress) -> int | None:
-    """First ``seq`` at which a label, or the run, gets full with later accepted rows behind it."""
-    counts = {row["label"]: row["count"] for row in settled.groupBy("label").count().collect()}
-    places = []
-    for label, count in counts.items():
-        need = progress.quota[label] - progress.counts.get(label, 0)
-        if count > need:
-            places.append(_place(settled.filter(F.col("label") == label), need))
-    left = progress.target - sum(progress.counts.values())
-    if sum(counts.values()) > left:
-        places.append(_place(settled, left))
-    return min(places, default=None)
-
-
-def _place(rows: DataFrame, rank: int) -> int:
-    """``seq`` of the row of the given rank, by counting in ever narrower ranges."""
-    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
-    while True:
-        width = max(1, -(-(high - low + 1) // 4096))
-        part = F.floor((F.col("seq") - low) / width)
-        inside = rows.filter(F.col("seq").between(low, high))
-        for number, count in sorted(inside.groupBy(part.alias("part")).count().collect()):  # 4,096 counts at most
-            if rank <= count:
-                break
-            rank -= count
-        low = low + number * width
-        high = min(high, low + width - 1)
-        if low == high:
-            return low
-
-
 def _count(fresh: DataFrame, progress: Progress) -> None:
     """Add accepted rows to the tally; note where labels and the run got full."""
     for row in fresh.groupBy("label").agg(F.count("*").alias("n"), F.max("seq").alias("last")).collect():

@@ -125,6 +125,11 @@ VECTOR_TEXT = (
 )
 SEMANTIC_THRESHOLD = 0.35  # no pair of the test vectors reaches the production value
 ACCEPT_TARGET = 120
+#: Vectors of this class stand in for the seed index.
+SEED_CLASS = "class_0"
+#: Every third generated row has a label with a small quota.
+GUARD_LABEL = "CASE WHEN doc_id % 3 = 2 THEN 'few' ELSE 'many' END"
+GUARD_FEW = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -296,10 +296,26 @@ SELECT doc_id, {rounded('fidelity', 'naturalness', 'utility', 'overall_score')},
 # --- similarity ---------------------------------------------------------------------
 
 ORACLES["exact_dup_guard"] = f"""
-WITH {_ROLES}
-SELECT doc_id AS seq, text IN (SELECT text FROM seed) OR row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS is_copy
-FROM synthetic
-"""
+WITH RECURSIVE {_ROLES},
+offered AS (
+  SELECT doc_id AS seq, {data.GUARD_LABEL} AS label, text AS cleaned_text, {data.judge_reply('doc_id')} AS judge_raw_output
+  FROM synthetic),
+{_judged('offered', 'seq, label, cleaned_text, judge_raw_output')},
+gated AS (SELECT *, NOT ({_VALID_TEXT}) OR judge_status <> 'ok' AS gate, cleaned_text IN (SELECT text FROM seed) AS of_seed FROM scored),
+usable AS (
+  SELECT seq, label, md5(cleaned_text) AS d, row_number() OVER (ORDER BY seq) AS i FROM gated WHERE NOT gate AND NOT of_seed),
+steps AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS texts, CAST([] AS BIGINT[]) AS taken, 0 AS few
+  UNION ALL
+  SELECT u.i, CASE WHEN {{ok}} THEN list_append(texts, d) ELSE texts END,
+         CASE WHEN {{ok}} THEN list_append(taken, seq) ELSE taken END, few + CAST({{ok}} AND label = 'few' AS INTEGER)
+  FROM steps s JOIN usable u ON u.i = s.i + 1),
+final AS (SELECT unnest(taken) AS seq FROM steps WHERE i = (SELECT max(i) FROM steps)),
+firsts AS (SELECT cleaned_text, min(seq) AS first FROM gated SEMI JOIN final USING (seq) GROUP BY cleaned_text),
+cut AS (SELECT CASE WHEN count(*) >= {data.GUARD_FEW} THEN max(seq) END AS last FROM gated SEMI JOIN final USING (seq) WHERE label = 'few')
+SELECT seq, NOT gate AND NOT coalesce(label = 'few' AND seq > last, false) AND (of_seed OR coalesce(seq > first, false)) AS is_copy
+FROM gated LEFT JOIN firsts USING (cleaned_text), cut
+""".replace("{ok}", f"(NOT list_contains(texts, d) AND (label <> 'few' OR few < {data.GUARD_FEW}))")
 
 _CLEAN = "lower(regexp_replace(text, '[^a-zA-Z0-9ก-๙]', '', 'g'))"
 
@@ -340,8 +356,8 @@ FROM documents LEFT JOIN signed USING (doc_id)
 """
 
 
-def _near_pairs(left: str, right: str, condition: str) -> str:
-    """CTEs up to ``flagged``: rows of ``left`` with a row of ``right`` at Jaccard >= 0.9."""
+def _near_pairs(left: str, right: str, condition: str, tenths: int = 9) -> str:
+    """CTEs up to ``flagged``: rows of ``left`` with the smallest row of ``right`` at Jaccard >= tenths / 10."""
     return f"""
 sizes_l AS (SELECT doc_id, count(*) AS n FROM {left} GROUP BY doc_id),
 sizes_r AS (SELECT doc_id, count(*) AS n FROM {right} GROUP BY doc_id),
@@ -352,29 +368,32 @@ ranked_l AS (
 ranked_r AS (
   SELECT s.doc_id, g, n, row_number() OVER (PARTITION BY s.doc_id ORDER BY df, g) AS rank
   FROM {right} s JOIN frequency USING (g) JOIN sizes_r USING (doc_id)),
-prefix_l AS (SELECT * FROM ranked_l WHERE rank <= n - ceil(n * 9 / 10.0) + 1),
-prefix_r AS (SELECT * FROM ranked_r WHERE rank <= n - ceil(n * 9 / 10.0) + 1),
+prefix_l AS (SELECT * FROM ranked_l WHERE rank <= n - ceil(n * {tenths} / 10.0) + 1),
+prefix_r AS (SELECT * FROM ranked_r WHERE rank <= n - ceil(n * {tenths} / 10.0) + 1),
 pairs AS (
   SELECT DISTINCT l.doc_id AS a, r.doc_id AS b, l.n AS na, r.n AS nb
   FROM prefix_l l JOIN prefix_r r ON l.g = r.g AND {condition}
-  WHERE 10 * least(l.n, r.n) >= 9 * greatest(l.n, r.n)),
+  WHERE 10 * least(l.n, r.n) >= {tenths} * greatest(l.n, r.n)),
 shared AS (
   SELECT a, b, na, nb, count(*) AS common
   FROM pairs JOIN {left} s ON s.doc_id = a JOIN {right} t ON t.doc_id = b AND t.g = s.g GROUP BY a, b, na, nb),
-flagged AS (SELECT DISTINCT a AS doc_id FROM shared WHERE 10 * common >= 9 * (na + nb - common))
+flagged AS (
+  SELECT a AS doc_id, min(b) AS dup_of, arg_min(common / CAST(na + nb - common AS DOUBLE), b) AS similarity
+  FROM shared WHERE 10 * common >= {tenths} * (na + nb - common) GROUP BY a)
 """
 
 
 def _near_status(source: str) -> str:
     return f"""
 SELECT doc_id, CASE WHEN {_CLEAN} = '' THEN 'no_signal' WHEN doc_id IN (SELECT doc_id FROM flagged) THEN 'near_dup'
-                    ELSE 'unique' END AS status
-FROM {source}
+                    ELSE 'unique' END AS status, dup_of, round(similarity, 6) AS similarity
+FROM {source} LEFT JOIN flagged USING (doc_id)
 """
 
 
-ORACLES["near_dup_flags"] = f"""
-WITH {_shingles('documents', 'sh')}, {_near_pairs('sh', 'sh', 'r.doc_id < l.doc_id')} {_near_status('documents')}
+for _name, _tenths in (("near_dup_flags", 9), ("near_dup_flags_70", 7)):
+    ORACLES[_name] = f"""
+WITH {_shingles('documents', 'sh')}, {_near_pairs('sh', 'sh', 'r.doc_id < l.doc_id', _tenths)} {_near_status('documents')}
 """
 ORACLES["near_dup_of_seed"] = f"""
 WITH {_ROLES}, {_shingles('synthetic', 'sh_l')}, {_shingles('seed', 'sh_r')},
@@ -425,6 +444,11 @@ accepted AS (SELECT seq, label FROM usable WHERE seq IN (SELECT unnest(taken) FR
     f"len(s.taken) < {_T} AND len(list_filter(s.taken_labels, lambda x: x = n.label)) < n.quota "
     "AND NOT list_has_any(s.taken, coalesce(n.near, []))",
 )
+ORACLES["greedy_accept_with_seeds"] = "WITH RECURSIVE " + _GREEDY.replace(
+    "WHERE gate IS NULL)",
+    f"""WHERE gate IS NULL AND label <> '{data.SEED_CLASS}' AND NOT EXISTS (
+      SELECT 1 FROM candidates s WHERE s.label = '{data.SEED_CLASS}' AND list_inner_product(gated.v, s.v) >= {_THRESHOLD}))""",
+) + " SELECT seq, label FROM accepted"
 ORACLES["greedy_accept"] = f"WITH RECURSIVE {_GREEDY} SELECT seq, label FROM accepted"
 ORACLES["greedy_accept_all"] = f"""
 WITH RECURSIVE

@@ -269,8 +269,20 @@ def judge_scores(spark, sf_dir):
 
 @query
 def exact_dup_guard(spark, sf_dir):
-    rows = data.synthetic_rows(spark, sf_dir).withColumnRenamed("doc_id", "seq")
-    return similarity.exact_dup_guard(rows, data.seed_rows(spark, sf_dir)).select("seq", "is_copy")
+    """Copies of a seed row or of an accepted row, among judged rows of two labels."""
+    rows = data.synthetic_rows(spark, sf_dir).select(
+        F.col("doc_id").alias("seq"),
+        F.expr(data.GUARD_LABEL).alias("label"),
+        F.col("text").alias("cleaned_text"),
+        F.expr(data.judge_reply("doc_id")).alias("judge_raw_output"),
+    )
+    gated = acceptance.gate_reason(responses.judge_scores(rows))
+    seeds = data.seed_rows(spark, sf_dir).select(F.col("text").alias("cleaned_text"))
+    n = rows.count()
+    decided, _ = acceptance.greedy_accept(
+        gated, {"many": n, "few": data.GUARD_FEW}, n, seed_texts=seeds, exact_guard=True
+    )
+    return decided.select("seq", F.coalesce(F.col("reason") == acceptance.EXACT_DUPLICATE, F.lit(False)).alias("is_copy"))
 
 
 def _signatures(spark, sf_dir):
@@ -287,14 +299,22 @@ def minhash_signature_rows(spark, sf_dir):
 @query
 def near_dup_flags(spark, sf_dir):
     flags = similarity.near_duplicates(data.documents(spark, sf_dir), "doc_id", "text")
-    return flags.select("doc_id", "status")
+    return flags.select("doc_id", "status", "dup_of", *rounded("similarity"))
+
+
+@query
+def near_dup_flags_70(spark, sf_dir):
+    flags = similarity.near_duplicates(data.documents(spark, sf_dir), "doc_id", "text", threshold=0.7)
+    return flags.select("doc_id", "status", "dup_of", *rounded("similarity"))
 
 
 @query
 def near_dup_of_seed(spark, sf_dir):
     """Generated rows that nearly copy a seed row."""
     rows, seeds = data.synthetic_rows(spark, sf_dir), data.seed_rows(spark, sf_dir)
-    return similarity.near_duplicates(rows, "doc_id", "text", index=seeds).select("doc_id", "status")
+    return similarity.near_duplicates(rows, "doc_id", "text", index=seeds).select(
+        "doc_id", "status", "dup_of", *rounded("similarity")
+    )
 
 
 def _vectors(spark, sf_dir):
@@ -331,6 +351,17 @@ def greedy_accept(spark, sf_dir):
     return _decided(spark, sf_dir, _gated(spark, sf_dir)).filter("status = 'accepted'").select("seq", "label")
 
 
+@query
+def greedy_accept_with_seeds(spark, sf_dir):
+    """One class of vectors is the seed index, the others are offered."""
+    gated = _gated(spark, sf_dir)
+    seeds = gated.filter(F.col("label") == data.SEED_CLASS).select("embedding")
+    rows = gated.filter(F.col("label") != data.SEED_CLASS)
+    quotas = _accept_quota(spark, sf_dir)
+    decided, _ = acceptance.greedy_accept(rows, quotas, data.ACCEPT_TARGET, seeds, data.SEMANTIC_THRESHOLD)
+    return decided.filter("status = 'accepted'").select("seq", "label")
+
+
 @query
 def greedy_accept_all(spark, sf_dir):
     """Every vector with a free quota: redundancy alone decides."""
