@@ -128,27 +128,8 @@ class _Kinds:
 
     def decide(self, head: DataFrame, progress: Progress) -> DataFrame:
         """Mark the accepted rows (``_taken``) of a bounded table that is one sorted partition."""
-        quota, counts, target = dict(progress.quota), dict(progress.counts), progress.target
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = _Accepted(self)
-            tally, total = dict(counts), sum(counts.values())
-            for batch in batches:
-                taken = np.zeros(batch.num_rows, bool)
-                vectors = matrix(batch.column("embedding")) if self.vectors else None
-                texts = batch.column("cleaned_text").to_pylist() if self.near_texts or self.equal_texts else None
-                for row, label in enumerate(batch.column("label").to_pylist()):
-                    if total >= target:
-                        break
-                    if tally.get(label, 0) >= quota[label]:
-                        continue
-                    vector, text = None if vectors is None else vectors[row], texts and texts[row]
-                    if index.take(vector, text):
-                        taken[row] = True
-                        tally[label] = tally.get(label, 0) + 1
-                        total += 1
-                yield batch.append_column("_taken", pa.array(taken))
-
+        flags = (self.vectors, self.near_texts, self.equal_texts, self.threshold)
+        run = _decider(flags, dict(progress.quota), dict(progress.counts), progress.target)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in head.schema)
         return head.mapInArrow(run, f"{columns}, _taken boolean")
 
@@ -172,26 +153,26 @@ class _Kinds:
 class _Accepted:
     """Rows accepted within one window, and whether another is like one of them."""
 
-    def __init__(self, kinds: _Kinds):
-        self.kinds, self.count = kinds, 0
+    def __init__(self, by_vectors: bool, by_near_texts: bool, by_equal_texts: bool, threshold: float):
+        self.by_vectors, self.by_near_texts, self.by_equal_texts = by_vectors, by_near_texts, by_equal_texts
+        self.threshold, self.count = threshold, 0
         self.vectors: np.ndarray | None = None
         self.sets: list[np.ndarray] = []
         self.texts: set[str] = set()
 
     def take(self, vector: np.ndarray | None, text: str | None) -> bool:
-        kinds = self.kinds
-        if kinds.equal_texts and text in self.texts:
+        if self.by_equal_texts and text in self.texts:
             return False
-        if kinds.vectors and self.count and (self.vectors[: self.count] @ vector).max() >= kinds.threshold:
+        if self.by_vectors and self.count and (self.vectors[: self.count] @ vector).max() >= self.threshold:
             return False
-        if kinds.near_texts:
+        if self.by_near_texts:
             codes = shingle_codes(text)
             if any(jaccard_of(codes, other) >= JACCARD_THRESHOLD for other in self.sets):
                 return False
             self.sets.append(codes)
-        if kinds.equal_texts:
+        if self.by_equal_texts:
             self.texts.add(text)
-        if kinds.vectors:
+        if self.by_vectors:
             if self.vectors is None:
                 self.vectors = np.empty((64, len(vector)))
             if self.count == len(self.vectors):
@@ -201,6 +182,31 @@ class _Accepted:
         return True
 
 
+def _decider(flags: tuple[bool, bool, bool, float], quota: dict[str, int], counts: dict[str, int], target: int):
+    """Function over the sorted batches of a window; it holds nothing that belongs to a session."""
+    by_vectors, by_near_texts, by_equal_texts, _ = flags
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _Accepted(*flags)
+        tally, total = dict(counts), sum(counts.values())
+        for batch in batches:
+            taken = np.zeros(batch.num_rows, bool)
+            vectors = matrix(batch.column("embedding")) if by_vectors else None
+            texts = batch.column("cleaned_text").to_pylist() if by_near_texts or by_equal_texts else None
+            for row, label in enumerate(batch.column("label").to_pylist()):
+                if total >= target:
+                    break
+                if tally.get(label, 0) >= quota[label]:
+                    continue
+                if index.take(None if vectors is None else vectors[row], texts and texts[row]):
+                    taken[row] = True
+                    tally[label] = tally.get(label, 0) + 1
+                    total += 1
+            yield batch.append_column("_taken", pa.array(taken))
+
+    return run
+
+
 def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
     for frame in frames:
         empty = empty.unionAll(frame)

@@ -32,6 +32,7 @@ class DatasetRun:
     ledger: DataFrame
     split_rows: DataFrame | None
     labels: list[str]
+    shortfall: str | None = None
 
 
 @step(inputs=["generated_text"], outputs=["cleaned_text", "candidate_pos"])
@@ -40,16 +41,23 @@ def clean_texts(generated: DataFrame) -> DataFrame:
     return responses.explode_candidates(generated)
 
 
-def run_intake(spark: SparkSession, input_path: str, base_dir: str, task_type: str = "classification") -> DataFrame:
-    """Read, map, validate; write the valid rows, the quarantine and the intake report."""
+def run_intake(
+    spark: SparkSession,
+    input_path: str,
+    base_dir: str,
+    task_type: str = "classification",
+    unknown_share: float = quota.UNKNOWN_SHARE,
+) -> DataFrame:
+    """Read, map, validate; write the valid rows, the quarantine, the intake report and the gate."""
     operators = task_operators(task_type)
     raw = seed_files.read_seed(spark, input_path)
     checked = cut_lineage(operators.validate(raw, *operators.discover(raw, in_file_order=True)))
     valid = intake.valid_rows(checked)
-    flat = valid.select("text", "label", "extra")
-    sinks.write_jsonl(flat, f"{base_dir}/input/seed_raw.jsonl")
+    sinks.write_flat_jsonl(valid, ["text", "label"], "extra", f"{base_dir}/input/seed_raw.jsonl")
     sinks.write_jsonl(intake.quarantined_rows(checked), f"{base_dir}/input/quarantine.jsonl")
     sinks.write_report(intake.intake_metadata(checked), f"{base_dir}/input/task_request.json")
+    gate = intake.intake_gate(checked, include_unknown=unknown_share > 0, unknown_ratio=unknown_share)
+    sinks.write_report(gate, f"{base_dir}/input/seed_validation_report.json")
     return valid
 
 
@@ -80,6 +88,8 @@ def run_generation(
     unknown_rules: Sequence[str] = quota.FALLBACK_UNKNOWN_RULES,
     unknown_share: float = quota.UNKNOWN_SHARE,
     constants: Mapping[str, str] | None = None,
+    threshold: float = similarity.SEMANTIC_THRESHOLD,
+    use_minhash: bool = False,
 ) -> DataFrame:
     """Issue requests and decide candidates, round by round, until the target is met.
 
@@ -109,19 +119,40 @@ def run_generation(
         candidates = order_candidates(answer(requests), requests, first_seq)
         first_seq += candidates.count()
         first_request += requests.count()
-        guarded = similarity.exact_dup_guard(candidates, _known_texts(seed_texts, ledgers), text="cleaned_text", seed_text="text")
-        gated = cut_lineage(acceptance.gate_reason(responses.judge_scores(guarded)))
-        decided, progress = operators.accept(gated, targets, target, index, collected=collected)
+        gated = cut_lineage(acceptance.gate_reason(responses.judge_scores(candidates)))
+        known = _known_texts(seed_texts, ledgers).withColumnRenamed("text", "cleaned_text")
+        decided, progress = operators.accept(
+            gated,
+            targets,
+            target,
+            index,
+            threshold=threshold,
+            collected=collected,
+            use_minhash=use_minhash,
+            seed_texts=known,
+            exact_guard=True,
+        )
         provenance = ["loop", "difficulty", "diversity_rule", "fidelity", "naturalness", "utility", "reasoning"]
         fixed = {name: F.lit(value) for name, value in (constants or {}).items()}
         ledger = cut_lineage(acceptance.candidate_ledger(gated, decided, provenance).withColumns(fixed))
         ledgers.append(ledger)
         collected = progress.counts
         accepted = acceptance.accepted_rows(ledger).select("seq")
-        index = index.unionByName(gated.join(accepted, "seq", "left_semi").select("embedding"))
+        index = cut_lineage(index.unionByName(gated.join(accepted, "seq", "left_semi").select("embedding")))
     return _union_all(ledgers)
 
 
+def run_report(ledger: DataFrame, target: int, max_loops: int) -> DataFrame:
+    """One row: target, accepted rows, loops used, and why the target was missed (or NULL)."""
+    accepted = F.count(F.when(F.col("status") == acceptance.ACCEPTED, 1))
+    loops = F.coalesce(F.max("loop"), F.lit(0))
+    counts = ledger.agg(F.lit(target).alias("target"), accepted.alias("n_accepted"), loops.alias("loops"))
+    missed = F.concat(
+        F.col("n_accepted"), F.lit(f" of {target} rows after "), F.col("loops"), F.lit(f" of {max_loops} loops")
+    )
+    return counts.withColumn("shortfall", F.when(F.col("n_accepted") < target, missed))
+
+
 def _known_texts(seed_texts: DataFrame, ledgers: list[DataFrame]) -> DataFrame:
     known = seed_texts.select("text")
     for ledger in ledgers:
@@ -183,16 +214,25 @@ def run_dataset_job(
     models: Mapping[str, str] | None = None,
     rules: Sequence[str] = quota.FALLBACK_RULES,
     unknown_rules: Sequence[str] = quota.FALLBACK_UNKNOWN_RULES,
+    unknown_share: float = quota.UNKNOWN_SHARE,
+    max_loops: int = MAX_LOOPS,
+    threshold: float = similarity.SEMANTIC_THRESHOLD,
+    use_minhash: bool = False,
+    val_ratio: float = 0.1,
+    test_ratio: float = 0.1,
     **prompt_options: str,
 ) -> DatasetRun:
     """The whole build: seed file in, chat-format splits out.
 
+    ``unknown_share=0`` leaves the unknown class out. A run that ends below its target says so
+    in ``synthetic/run_report.json`` and in ``shortfall``.
+
     ``answer`` supplies candidates for requests and ``embed_seed`` the ``embedding`` of
     seed rows, both as tables. ``models`` names the generator, judge and rule models for
     the ledger.
     """
     base_dir = base_dir or f"runs/{run_id}"
-    seed = cut_lineage(run_intake(spark, input_path, base_dir, task_type))
+    seed = cut_lineage(run_intake(spark, input_path, base_dir, task_type, unknown_share))
     constants = {"run_id": run_id, "task_type": task_type, "source": "synthetic", **(models or {})}
     ledger = run_generation(
         seed,
@@ -205,14 +245,28 @@ def run_dataset_job(
         rules=rules,
         unknown_rules=unknown_rules,
         constants=constants,
+        max_loops=max_loops,
+        unknown_share=unknown_share,
+        threshold=threshold,
+        use_minhash=use_minhash,
     )
     sinks.write_ledger(ledger, f"{base_dir}/synthetic/ledger")
     accepted = acceptance.accepted_rows(ledger)
     sinks.write_jsonl(accepted.select("text", "label"), f"{base_dir}/synthetic/generated.jsonl")
     sinks.write_jsonl(acceptance.manifest(ledger), f"{base_dir}/synthetic/manifest.jsonl")
+    report = run_report(ledger, target_count, max_loops)
+    sinks.write_report(report, f"{base_dir}/synthetic/run_report.json")
     synthetic = accepted.select(F.concat(F.lit("g"), "seq").alias("row_id"), "text", "label")
     seed_rows = seed.select(F.concat(F.lit("s"), "row_idx").alias("row_id"), "text", "label")
     rows, labels = run_split(
-        synthetic, seed_rows, base_dir, run_id, random_seed=random_seed, task_type=task_type, **prompt_options
+        synthetic,
+        seed_rows,
+        base_dir,
+        run_id,
+        val_ratio=val_ratio,
+        test_ratio=test_ratio,
+        random_seed=random_seed,
+        task_type=task_type,
+        **prompt_options,
     )
-    return DatasetRun(seed, ledger, rows, labels)
+    return DatasetRun(seed, ledger, rows, labels, report.first()["shortfall"])

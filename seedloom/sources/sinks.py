@@ -13,6 +13,16 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select(F.to_json(F.struct("*"), _KEEP_NULLS).alias("value")).write.mode(mode).text(path)
 
 
+def write_flat_jsonl(df: DataFrame, columns: list[str], extra: str, path: str, mode: str = "overwrite") -> None:
+    """JSON lines of string ``columns`` and, beside them, the entries of the map ``extra``.
+
+    A column wins over an entry of the same name.
+    """
+    own = F.create_map(*[part for name in columns for part in (F.lit(name), F.col(name))])
+    rest = F.map_filter(F.coalesce(extra, F.create_map().cast("map<string,string>")), lambda key, _: ~key.isin(columns))
+    df.select(F.to_json(F.map_concat(own, rest), _KEEP_NULLS).alias("value")).write.mode(mode).text(path)
+
+
 def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write all splits in one pass as ``path/split=<name>/`` folders of JSON lines."""
     columns = [name for name in df.columns if name != "split"]

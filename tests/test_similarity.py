@@ -66,39 +66,34 @@ def test_signature_estimates_jaccard():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.07
 
 
-@pytest.mark.parametrize("small_bucket", [1, 64])
-def test_near_duplicates_match_brute_force(spark, small_bucket, monkeypatch):
-    monkeypatch.setattr(similarity, "_SMALL_BUCKET", small_bucket)
+@pytest.mark.parametrize("threshold", [0.5, 0.7, 0.8, 0.9])
+def test_near_duplicates_match_brute_force(spark, threshold):
     texts = corpus()
     sets = [grams(text) for text in texts]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
-    got = {r.id: r for r in similarity.near_duplicates(df, "id", "text").collect()}
+    got = {r.id: r for r in similarity.near_duplicates(df, "id", "text", threshold=threshold).collect()}
     assert len(got) == len(texts)
     for i, own in enumerate(sets):
-        earlier = [j for j in range(i) if jaccard(own, sets[j]) >= 0.9]
+        earlier = [j for j in range(i) if jaccard(own, sets[j]) >= threshold]
         expected = "no_signal" if not own else "near_dup" if earlier else "unique"
         assert got[i].status == expected, (i, texts[i])
+        assert got[i].dup_of == min(earlier, default=None)
         if earlier:
-            assert got[i].dup_of in earlier
-            assert got[i].similarity == pytest.approx(jaccard(own, sets[got[i].dup_of]))
-        else:
-            assert got[i].dup_of is None
+            assert got[i].similarity == pytest.approx(jaccard(own, sets[min(earlier)]))
 
 
-@pytest.mark.parametrize("small_bucket", [1, 64])
-def test_near_duplicates_of_an_index(spark, small_bucket, monkeypatch):
-    monkeypatch.setattr(similarity, "_SMALL_BUCKET", small_bucket)
+def test_near_duplicates_of_an_index(spark):
     texts = corpus()
-    index, rows = texts[::2], texts[1::2]
+    rows, index = texts[::2], texts[1::2]
+    rows_df = spark.createDataFrame(list(enumerate(rows)), "id bigint, text string")
     index_df = spark.createDataFrame(list(enumerate(index)), "id bigint, text string")
-    df = spark.createDataFrame(list(enumerate(rows)), "id bigint, text string")
-    got = {r.id: r for r in similarity.near_duplicates(df, "id", "text", index=index_df).collect()}
+    got = {r.id: r for r in similarity.near_duplicates(rows_df, "id", "text", index=index_df).collect()}
     sets = [grams(text) for text in index]
     for i, text in enumerate(rows):
         hits = [j for j, other in enumerate(sets) if jaccard(grams(text), other) >= 0.9]
         expected = "no_signal" if not grams(text) else "near_dup" if hits else "unique"
         assert got[i].status == expected
-        assert got[i].dup_of in hits if hits else got[i].dup_of is None
+        assert got[i].dup_of == min(hits, default=None)
 
 
 def test_exact_copies(spark):
