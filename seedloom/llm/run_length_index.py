@@ -59,22 +59,26 @@ class RunLengthIndex:
         n = len(text)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, bool)
+        # First by a few bytes at once; what follows a separator counts for nothing, its place does.
         separators = int((~inside).sum())
-        rank = text + separators
-        rank[~inside] = np.arange(separators)
-        reach, order, kept, kept_reach = 1, None, None, 0
+        reach = min(length, 6 if separators < 30_000 else 4)
+        key, open_, tie = np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n, np.int64)
+        number = np.cumsum(~inside)
+        for k in range(reach):
+            symbol, here, place = (np.append(x[k:], np.zeros(k, x.dtype)) for x in (text, inside, number))
+            key = key * 257 + np.where(open_, symbol, 0)
+            tie = np.where(open_ & ~here, place, tie)
+            open_ &= here
+        _, rank, _ = RunLengthIndex._ranks(key * (separators + 1) + tie)
+        kept, kept_reach = None, 0
         while True:
             if reach <= length < 2 * reach:
-                kept, kept_reach = rank.copy(), reach
+                kept, kept_reach = rank, reach
             later = np.full(n, -1, np.int64)
             later[: n - reach] = rank[reach:]
-            key = rank * (max(n, 300) + separators + 1) + later + 1
-            order = np.argsort(key, kind="stable")
-            fresh = np.concatenate([[False], key[order[1:]] != key[order[:-1]]])
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh)
+            order, rank, fresh = RunLengthIndex._ranks(rank * (n + 1) + later + 1)
             reach *= 2
-            if fresh.sum() == n - 1 and kept is not None:
+            if fresh == n - 1 and kept is not None:
                 break
         shift = length - kept_reach
         second = np.full(n, -1, np.int64)
@@ -84,6 +88,15 @@ class RunLengthIndex:
         )
         return order, same
 
+    @staticmethod
+    def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Order of the keys, dense rank of each, and the largest rank."""
+        order = np.argsort(key, kind="stable")
+        rank = np.empty(len(key), np.int64)
+        dense = np.cumsum(np.concatenate([[False], key[order[1:]] != key[order[:-1]]]))
+        rank[order] = dense
+        return order, rank, int(dense[-1])
+
     def step_back(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the suffixes one byte longer (LF mapping on runs), and the bytes' symbols."""
         run = np.searchsorted(self.heads, rows, side="right") - 1

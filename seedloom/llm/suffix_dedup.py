@@ -5,9 +5,10 @@ Strings are judged on the input; matches never cross documents.
 
 How one run-length index serves a corpus that no machine can hold:
 
+0. Equal texts are one text: all but the document of smallest id lose everything.
 1. Every window of ``length`` bytes has an anchor, the least hash among its ``GRAM``-byte
    strings; equal windows have equal anchors. Anchors are shared out by value, as packed blocks,
-   to find those that two documents have. An anchor met twice in one slice is settled there, so
+   to find those that two texts have. An anchor met twice in one slice is settled there, so
    a frequent anchor costs one entry a slice.
 2. Runs of windows with one shared anchor are cut out as segments. Equal segments become one,
    with the smallest id. Segments of one anchor go to one shard; anchors with very many
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from seedloom.llm.arrays import ragged, text_slices, utf8_bytes
 from seedloom.llm.run_length_index import RunLengthIndex
 from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, mix
-from seedloom.session import ensure_checkpoint_dir
+from seedloom.llm.tables import written
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 #: Anchors in one packed bucket, windows in one segment, bytes of segments in one shard.
 BUCKET_ANCHORS = 3_000_000
 SEGMENT_WINDOWS = 2_000
@@ -108,28 +108,27 @@ def anchor_runs(
 
 
 def _anchor_blocks(buckets: int, length: int, gram: int):
-    """Distinct anchors of each slice's documents, packed by bucket."""
+    """Distinct anchors of each slice's different texts, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            data, offsets = utf8_bytes(batch.column("text"))
-            ids = np.asarray(batch.column("doc_id"), np.int64)
-            contents = np.asarray(batch.column("content"), np.int64)
+            contents, first = np.unique(np.asarray(batch.column("content"), np.int64), return_index=True)
+            data, offsets = utf8_bytes(batch.column("text").take(pa.array(first)))
             owner, _, _, value = anchor_runs(data, offsets, length, gram)
             order = np.lexsort((value, owner))
             owner, value = owner[order], value[order]
             keep = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])[: len(value)]
             owner, value = owner[keep], value[keep]
-            yield blocks(value, owner, np.zeros(len(value), np.uint8), ids, contents, buckets)
+            yield blocks(value, owner, np.zeros(len(value), np.uint8), contents, contents, buckets)
 
     return run
 
 
-_SHARED = "doc_id long, content long, anchors array<long>, hot long"
+_SHARED = "content long, anchors array<long>, hot long"
 
 
 def _shared_anchors(hot_limit: int):
-    """Per bucket: each document's anchors that another document has too; anchors with very many documents."""
+    """Per bucket: each text's anchors that another text has too; anchors with very many documents."""
 
     def resolve(table: pa.Table) -> pa.Table:
         found = Resolved(table)
@@ -141,8 +140,7 @@ def _shared_anchors(hot_limit: int):
         none = pa.nulls(len(hot), pa.int64())
         return pa.table(
             {
-                "doc_id": pa.concat_arrays([pa.array(found.ids[docs[begin]]), none]),
-                "content": pa.concat_arrays([pa.array(found.others[docs[begin]]), none]),
+                "content": pa.concat_arrays([pa.array(found.ids[docs[begin]]), none]),
                 "anchors": pa.concat_arrays([lists, pa.nulls(len(hot), lists.type)]),
                 "hot": pa.concat_arrays([pa.nulls(len(begin), pa.int64()), pa.array(hot.astype(np.int64))]),
             }
@@ -260,17 +258,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``doc_id, content, start, stop``: byte ranges held by a document with a smaller id; they may overlap.
+def repeated_spans(firsts: DataFrame, docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``content, start, stop``: byte ranges of texts that a document with a smaller id holds; they may overlap.
 
-    ``docs`` has ``doc_id`` (long), ``content`` (hash of the text) and ``text``.
+    ``docs`` has ``doc_id`` (long), ``content`` (hash of the text) and ``text``; ``firsts`` the
+    smallest ``doc_id`` of each ``content``.
     """
     spark = docs.sparkSession
     usable = docs.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
@@ -278,8 +270,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     expected = 2 * bytes_in // (length - gram + 2)
     buckets = max(1, math.ceil(expected / BUCKET_ANCHORS))
     hot_limit = max(HOT_DOCUMENTS, expected // HOT_SHARE)
-    shared = _written(
-        usable.select("doc_id", "content", "text")
+    shared = written(
+        usable.select("content", "text")
         .mapInArrow(_anchor_blocks(buckets, length, gram), BLOCKS)
         .groupBy("bucket")
         .applyInArrow(_shared_anchors(hot_limit), _SHARED),
@@ -287,39 +279,34 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     )
     # At most HOT_SHARE anchors can have more documents than that share of them.
     hot = np.array(sorted(row[0] for row in shared.select("hot").filter("hot IS NOT NULL").collect()), np.uint64)
-    anchors = (
-        shared.filter("hot IS NULL")
-        .groupBy("doc_id", "content")
-        .agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
-    )
-    segments = _written(
+    anchors = shared.filter("hot IS NULL").groupBy("content").agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
+    # The first document of a text stands for its copies.
+    segments = written(
         usable.select("doc_id", "content", "text")
-        .join(anchors, ["doc_id", "content"])
+        .join(anchors.join(firsts, "content"), ["doc_id", "content"])
         .mapInArrow(_segments(spark.sparkContext.broadcast(hot), length, gram), _SEGMENTS),
         "segments",
     )
-    distinct = (
+    distinct = written(
         segments.filter("segment IS NOT NULL")
         .groupBy("key")
-        .agg(F.first("segment").alias("segment"), F.min("first").alias("first"), F.first("anchor").alias("anchor"))
+        .agg(F.first("segment").alias("segment"), F.min("first").alias("first"), F.first("anchor").alias("anchor")),
+        "distinct-segments",
     )
-    distinct = _written(distinct, "distinct-segments")
     total = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = max(1, math.ceil(total / SHARD_BYTES))
-    marks = (
+    marks = written(
         distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         .groupBy("shard")
-        .applyInArrow(_index_shard(length), _MARKS)
-    )
-    runs = F.filter(
-        F.arrays_zip("starts", "stops", "firsts"), lambda r: r["firsts"] < F.col("doc_id")
+        .applyInArrow(_index_shard(length), _MARKS),
+        "marks",
     )
+    runs = F.filter(F.arrays_zip("starts", "stops", "firsts"), lambda r: r["firsts"] < F.col("doc_id"))
     return (
         segments.select("key", "doc_id", "content", "place")
         .join(marks, "key")
-        .select("doc_id", "content", "place", F.explode(runs).alias("run"))
+        .select("content", "place", F.explode(runs).alias("run"))
         .select(
-            "doc_id",
             "content",
             (F.col("place") + F.col("run.starts")).alias("start"),
             (F.col("place") + F.col("run.stops")).alias("stop"),
@@ -333,11 +320,25 @@ def remove_repeats(
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs``."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    ).withColumn("content", F.xxhash64("text"))
+    ).withColumn("content", F.xxhash64("text", F.md5("text")))
+    named = rows.filter("doc_id IS NOT NULL").select("doc_id", "content", F.octet_length("text").alias("size"))
+    firsts = written(named.groupBy("content").agg(F.min("doc_id").alias("doc_id")), "first-of-text")
     spans = (
-        repeated_spans(rows, length, gram)
-        .groupBy("doc_id", "content")
+        repeated_spans(firsts, rows, length, gram)
+        .groupBy("content")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
+    first = firsts.withColumnRenamed("doc_id", "first")
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("size").cast("int").alias("stop")))
+    # Written first, so that its shuffles are gone when the texts are shuffled to it.
+    fates = written(
+        named.filter(F.col("size") >= length)
+        .distinct()
+        .join(first, "content")
+        .join(spans, "content", "left")
+        .select("doc_id", "content", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("spans")).alias("spans"))
+        .filter("spans IS NOT NULL"),
+        "fates",
+    )
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return rows.join(spans, ["doc_id", "content"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, schema)
+    return rows.join(fates, ["doc_id", "content"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, schema)
