@@ -16,9 +16,9 @@ segments of a band. The larger set chooses: it skips its costliest segments (emp
 subsets that many sets of its slice have) and makes up for each by ``t = 1`` in one of the first.
 Whatever it chooses keeps the sum, so the choice never costs a pair.
 
-Keys meet by value (``shared_keys``). A key's sets are first verified against its smallest; sets
-that are then in one component need no further comparison, others are verified against all sets
-of the key. A histogram of shingle hashes bounds the intersection from above and drops hopeless
+Keys meet by value (``shared_keys``). A key's sets are first verified against single ones of them;
+sets that are then in one component need no further comparison, others are verified against all
+sets of the key in other components. A histogram of shingle hashes bounds the intersection from above and drops hopeless
 pairs; what is left is verified on the full sets. Equal sets are one set from the start, so
 groups of copies cost nothing; no pairs inside a settled group are made.
 
@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,16 +45,20 @@ from pyspark.sql import functions as F
 from seedloom.llm.arrays import ragged, text_slices
 from seedloom.llm.components import connected_components
 from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, mix
-from seedloom.session import cut_lineage, ensure_checkpoint_dir
+from seedloom.llm.tables import written
 
 WORDS = 4
 PERCENT = 85
 BUCKET_KEYS = 3_000_000
-SKETCH_BINS = 128
+SKETCH_BINS = 512
 #: Bits of an entry: subset in the index, subset looked up, one-deletion in the index, looked up.
 INDEX, PROBE, INDEX_LESS, PROBE_LESS = 1, 2, 4, 8
 #: A segment counts as costly when this many sets of one slice have its subset.
 COSTLY = 4
+#: Most rounds against single sets of open keys; more rounds only mean fewer pairs afterwards.
+ROUNDS = 1
+#: Keys of more sets than this are compared in tiles of about so many sets.
+CROWDED, TILE_SETS = 64, 512
 #: A one-deletion neighbourhood needs this many shingles, so that what is left says something.
 LEAST_FOR_DELETION = 3
 
@@ -119,7 +122,7 @@ def set_id(shingles: np.ndarray) -> int:
 def sketch(shingles: np.ndarray) -> bytes | None:
     """Histogram of shingle hashes; the sum of its minima with another is at least the intersection."""
     bins = np.bincount((mix(shingles * _SEED[1]) % np.uint64(SKETCH_BINS)).astype(np.int64), minlength=SKETCH_BINS)
-    return bins.astype("<u2").tobytes() if bins.max() < 1 << 16 else None
+    return bins.astype(np.uint8).tobytes() if bins.max() < 256 else None
 
 
 def entries(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -243,12 +246,6 @@ def _reduce(buckets: int):
     return run
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _hopeful(percent: int):
     """Pairs whose histograms leave room for a link."""
 
@@ -259,7 +256,7 @@ def _hopeful(percent: int):
             both = np.flatnonzero(np.asarray(pc.and_(pc.is_valid(one), pc.is_valid(other)).to_numpy(zero_copy_only=False)))
             for at in range(0, len(both), 20_000):
                 rows = pa.array(both[at : at + 20_000])
-                a, b = (np.frombuffer(b"".join(c.take(rows).to_pylist()), "<u2").reshape(len(rows), -1) for c in (one, other))
+                a, b = (np.frombuffer(b"".join(c.take(rows).to_pylist()), np.uint8).reshape(len(rows), -1) for c in (one, other))
                 most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
                 total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
                 keep[both[at : at + 20_000]] = 100 * most >= percent * (total - most)
@@ -268,6 +265,55 @@ def _hopeful(percent: int):
     return run
 
 
+_TILE = "key long, tile int, ids array<long>, sizes array<long>, flags array<int>, components array<long>, known array<boolean>, sketches binary"
+
+
+def _pack_tile(table: pa.Table) -> pa.Table:
+    sketches = table.column("sketch").to_pylist()
+    blank = bytes(SKETCH_BINS)
+    lists = [
+        [table.column(c).to_pylist()] for c in ("set_id", "n", "flags", "component")
+    ] + [[[s is not None for s in sketches]]]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+    columns = [pa.array(values, pa.list_(kind)) for values, kind in zip(lists, kinds, strict=True)]
+    names = ["ids", "sizes", "flags", "components", "known"]
+    packed = pa.array([b"".join(s or blank for s in sketches)], pa.binary())
+    first = table.slice(0, 1)
+    return pa.table([first.column("key"), first.column("tile"), *columns, packed], names=["key", "tile", *names, "sketches"])
+
+
+def _tile_pairs(percent: int):
+    """Pairs of two tiles' sets that entries make and sizes, components and histograms allow."""
+
+    def side(batch: pa.RecordBatch, row: int, end: str) -> dict[str, np.ndarray]:
+        found = {c: np.array(batch.column(c + end)[row].as_py()) for c in ("ids", "sizes", "flags", "components", "known")}
+        sketches = np.frombuffer(batch.column("sketches" + end)[row].as_py(), np.uint8).reshape(-1, SKETCH_BINS)
+        return found | {"sketches": sketches}
+
+    def meets(f: np.ndarray, g: np.ndarray) -> np.ndarray:
+        f, g = f[:, None], g[None, :]
+        return ((f & INDEX > 0) & (g & (PROBE | PROBE_LESS) > 0)) | ((f & INDEX_LESS > 0) & (g & PROBE > 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one, other = side(batch, row, ""), side(batch, row, "2")
+                sizes, sizes2 = one["sizes"][:, None], other["sizes"][None, :]
+                keep = meets(one["flags"], other["flags"]) | meets(other["flags"], one["flags"]).T
+                keep &= one["components"][:, None] != other["components"][None, :]
+                keep &= 100 * np.minimum(sizes, sizes2) >= percent * np.maximum(sizes, sizes2)
+                most = np.zeros(keep.shape, np.int32)
+                for bin_ in range(SKETCH_BINS):
+                    most += np.minimum(one["sketches"][:, bin_, None], other["sketches"][None, :, bin_])
+                known = one["known"][:, None] & other["known"][None, :]
+                keep &= ~known | (100 * most >= percent * (sizes + sizes2 - most))
+                i, j = np.nonzero(keep)
+                a, b = one["ids"][i], other["ids"][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return run
+
+
 def _exact_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -305,7 +351,7 @@ class _Join:
         n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         # A key for about three words of text, and six bytes a word.
         buckets = max(1, math.ceil(n_bytes / 15 / BUCKET_KEYS))
-        met = _written(
+        met = written(
             docs.mapInArrow(_map(buckets, words, percent), f"{BLOCKS}, docs array<struct<{_struct(_DOCS)}>>")
             .groupBy("bucket")
             .applyInArrow(_reduce(buckets), _MET),
@@ -315,10 +361,11 @@ class _Join:
             "doc_id", "n_shingles", F.col("doc_set").alias("set_id"), "sketch"
         )
         self.entries = met.filter("key IS NOT NULL").select("key", "set_id", "n", "flags")
-        self.sets = cut_lineage(
+        self.sets = written(
             self.documents.filter("set_id IS NOT NULL")
             .groupBy("set_id")
-            .agg(F.min("doc_id").alias("doc_id"), F.first("sketch", ignorenulls=True).alias("sketch"))
+            .agg(F.min("doc_id").alias("doc_id"), F.first("sketch", ignorenulls=True).alias("sketch")),
+            "jaccard-distinct",
         )
 
     def fitting(self, one, other):
@@ -327,10 +374,11 @@ class _Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs ``a, b`` of set ids that link."""
         sketches = self.sets.select("set_id", "sketch")
-        hopeful = cut_lineage(
+        hopeful = written(
             pairs.join(sketches.toDF("a", "sketch_a"), "a")
             .join(sketches.toDF("b", "sketch_b"), "b")
-            .mapInArrow(_hopeful(self.percent), "a long, b long")
+            .mapInArrow(_hopeful(self.percent), "a long, b long"),
+            "jaccard-hopeful",
         )
         if hopeful.isEmpty():
             return hopeful
@@ -339,32 +387,68 @@ class _Join:
         chosen = self.sets.join(wanted, "set_id").select("set_id", F.col("doc_id").alias("chosen_id"))
         texts = self.source.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id"))).select("set_id", "text")
         exact = texts.mapInArrow(_exact_sets(self.words), "set_id long, shingles binary")
-        exact = _written(exact.dropDuplicates(["set_id"]), "jaccard-sets")
-        return cut_lineage(
+        exact = written(exact.dropDuplicates(["set_id"]), "jaccard-sets")
+        return written(
             hopeful.join(exact.toDF("a", "shingles_a"), "a")
             .join(exact.toDF("b", "shingles_b"), "b")
             .mapInArrow(_exact(self.percent), "a long, b long")
-            .distinct()
+            .distinct(),
+            "jaccard-links",
         )
 
     def links(self) -> DataFrame:
-        """Enough links to connect every component: against the smallest set of each key, then the rest."""
+        """Enough links to connect every component.
+
+        First the sets of each key are verified against one of them. While a key's sets are in
+        several components, those outside two of them are verified against one set of each;
+        this takes as many pairs as there are entries, and stops when it finds nothing new.
+        Only then are sets verified against all sets of other components.
+        """
         hubs = self.entries.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("hub"))
-        pairs = (
+        found = self.verified(
             self.entries.join(hubs, "key")
             .filter((F.col("set_id") != F.col("hub.set_id")) & self.fitting(F.col("n"), F.col("hub.n")))
             .select(F.col("hub.set_id").alias("a"), F.col("set_id").alias("b"))
             .distinct()
         )
-        first = self.verified(pairs)
-        components = connected_components(first)
-        placed = self.entries.join(components.withColumnRenamed("id", "set_id"), "set_id", "left").select(
+        placed = self.open_entries(self.entries, found)
+        for number in range(ROUNDS):
+            order = F.xxhash64("set_id", F.lit(number))
+            chosen = F.struct(order.alias("order"), "set_id", "n", "component")
+            ends = placed.groupBy("key").agg(
+                F.min(F.when(F.col("component") == F.col("least"), chosen)).alias("one"),
+                F.min(F.when(F.col("component") == F.col("most"), chosen)).alias("other"),
+            )
+            pairs = (
+                placed.join(ends, "key")
+                .select("set_id", "n", "component", F.explode(F.array("one", "other")).alias("hub"))
+                .filter(F.col("component") != F.col("hub.component"))
+                .filter(self.fitting(F.col("n"), F.col("hub.n")))
+                .select(F.least("set_id", "hub.set_id").alias("a"), F.greatest("set_id", "hub.set_id").alias("b"))
+                .distinct()
+            )
+            new = self.verified(pairs)
+            if new.isEmpty():
+                break
+            found = found.unionAll(new)
+            placed = self.open_entries(placed.select("key", "set_id", "n", "flags"), found)
+        return found.unionAll(self.verified(self.cross_pairs(placed).unionAll(self.crowded_pairs(placed)).distinct()))
+
+    def open_entries(self, entries: DataFrame, links: DataFrame) -> DataFrame:
+        """Entries of keys whose sets are in several components, with the key's least and greatest."""
+        components = connected_components(links).withColumnRenamed("id", "set_id")
+        placed = entries.join(components, "set_id", "left").select(
             "key", "set_id", "n", "flags", F.coalesce("component_id", "set_id").alias("component")
         )
-        per_key = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        open_keys = per_key.filter("least <> most").select("key", "least")
-        placed = cut_lineage(placed.join(open_keys, "key"))
-        strays = placed.filter("component <> least").select(
+        ends = placed.groupBy("key").agg(
+            F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size")
+        )
+        return written(placed.join(ends.filter("least <> most"), "key"), "jaccard-open")
+
+    def cross_pairs(self, placed: DataFrame) -> DataFrame:
+        """Pairs of sets in different components that entries of a key of at most ``CROWDED`` sets make."""
+        rows = placed.filter(F.col("size") <= CROWDED)
+        strays = rows.filter("component <> least").select(
             "key", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "n", "flags", "component")]
         )
         one, other = F.col("flags_a"), F.col("flags")
@@ -373,14 +457,22 @@ class _Join:
             index_and_probe = (x.bitwiseAND(INDEX) != 0) & (y.bitwiseAND(PROBE | PROBE_LESS) != 0)
             return index_and_probe | ((x.bitwiseAND(INDEX_LESS) != 0) & (y.bitwiseAND(PROBE) != 0))
 
-        rest = (
-            strays.join(placed, "key")
+        return (
+            strays.join(rows, "key")
             .filter(F.col("component_a") != F.col("component"))
             .filter(self.fitting(F.col("n_a"), F.col("n")) & (meets(one, other) | meets(other, one)))
             .select(F.least("set_id_a", "set_id").alias("a"), F.greatest("set_id_a", "set_id").alias("b"))
-            .distinct()
         )
-        return first.unionAll(self.verified(rest))
+
+    def crowded_pairs(self, placed: DataFrame) -> DataFrame:
+        """The same for larger keys: tiles of sets are compared by their histograms as matrices, and
+        only pairs that may link become rows."""
+        tile = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("size") / TILE_SETS)).cast("int")
+        rows = placed.filter(F.col("size") > CROWDED).withColumn("tile", tile)
+        sketched = rows.join(self.sets.select("set_id", "sketch"), "set_id")
+        tiles = written(sketched.groupBy("key", "tile").applyInArrow(_pack_tile, _TILE), "jaccard-tiles")
+        other = tiles.select("key", *[F.col(c).alias(f"{c}2") for c in tiles.columns if c != "key"])
+        return tiles.join(other, "key").filter("tile <= tile2").mapInArrow(_tile_pairs(self.percent), "a long, b long")
 
 
 def _struct(fields: str) -> str:

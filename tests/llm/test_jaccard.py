@@ -27,8 +27,11 @@ def near_copies(seed, sizes):
     return made
 
 
-@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
-def test_against_brute_force(spark, words, percent):
+@pytest.mark.parametrize(("words", "percent", "crowded"), [(4, 85, 64), (5, 80, 64), (4, 85, 1)])
+def test_against_brute_force(spark, monkeypatch, words, percent, crowded):
+    monkeypatch.setattr(J, "CROWDED", crowded)
+    monkeypatch.setattr(J, "TILE_SETS", 3 if crowded == 1 else 512)
+    monkeypatch.setattr(J, "ROUNDS", 0 if crowded == 1 else 3)
     made = near_copies(words, [6, 9, 14, 25, 45, 70, 120, 300, 900])
     rng = random.Random(1)
     ids = rng.sample(range(10_000), len(made))
