@@ -91,7 +91,7 @@ class RunLengthIndex:
     @staticmethod
     def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """Order of the keys, dense rank of each, and the largest rank."""
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys get one rank, so their order does not matter
         rank = np.empty(len(key), np.int64)
         dense = np.cumsum(np.concatenate([[False], key[order[1:]] != key[order[:-1]]]))
         rank[order] = dense

@@ -44,7 +44,7 @@ GRAM = 24
 #: Anchors in one packed bucket, windows in one segment, bytes of segments in one shard.
 BUCKET_ANCHORS = 3_000_000
 SEGMENT_WINDOWS = 2_000
-SHARD_BYTES = 1_000_000
+SHARD_BYTES = 200_000
 #: An anchor with more documents than this, and than one in HOT_SHARE of all anchors, is divided.
 HOT_DOCUMENTS = 20_000
 HOT_SHARE = 1_000_000
