@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from seedloom.llm.arrays import ragged, text_slices
 from seedloom.llm.components import connected_components
-from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, mix
+from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, first_turn, mix
 from seedloom.llm.tables import written
 
 WORDS = 4
@@ -191,7 +191,7 @@ def _map(buckets: int, words: int, percent: int):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for turn, batch in enumerate(text_slices(batches), first_turn()):
             sets = shingle_sets(batch.column("text"), words)
             ids = [set_id(s) if len(s) else None for s in sets]
             first: dict[int, int] = {}
@@ -204,10 +204,10 @@ def _map(buckets: int, words: int, percent: int):
                 key, owner, flags = entries(distinct, percent)
                 numbers = np.fromiter(first, np.int64, len(first))
                 sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
-                packed = blocks(key, owner, flags, numbers, sizes, buckets)
+                packed = blocks(key, owner, flags, numbers, sizes, buckets, turn)
                 yield packed.append_column("docs", pa.nulls(packed.num_rows, doc_type))
             # Documents pass by their slice, in a bucket of their own kind.
-            where = -1 - buckets - (abs(ids[0] or 0) % buckets)
+            where = -1 - buckets - turn % buckets
             fields = [pa.array(c, f.type) for c, f in zip(zip(*docs, strict=True), doc_type.value_type, strict=True)]
             listed = pa.ListArray.from_arrays([0, len(docs)], pa.StructArray.from_arrays(fields, fields=list(doc_type.value_type)))
             empty = [pa.array([b""], pa.binary())] * 3 + [pa.array([[]], pa.list_(pa.int64()))] * 2 + [pa.array([b""], pa.binary())] * 2

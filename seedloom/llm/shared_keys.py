@@ -3,14 +3,16 @@
 A slice of rows gives ``(key, owner)`` pairs; ``blocks`` packs them into a few binary rows, one
 per bucket of key values. A key that two owners of the slice have is known to be shared: its
 pairs travel apart, in buckets below zero, and its own bucket gets one mark per slice. So a
-bucket holds a frequent key once a slice, not once an owner. ``resolve`` turns a bucket back
-into the pairs of shared keys.
+bucket holds a frequent key once a slice, not once an owner. Buckets below zero need no key in
+common, so slices take them in turn, whatever they hold. ``resolve`` turns a bucket back into the
+pairs of shared keys.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 KEY_BITS = 48
 _BYTES = KEY_BITS // 8
@@ -30,6 +32,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def first_turn() -> int:
+    """Turn of a task's first slice; the others count on. A task that runs again gives the same turns."""
+    context = TaskContext.get()
+    return context.partitionId() if context else 0
+
+
 def _pack(keys: np.ndarray) -> bytes:
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes()
 
@@ -46,9 +54,12 @@ def _starts(values: np.ndarray) -> np.ndarray:
 
 
 def blocks(
-    value: np.ndarray, owner: np.ndarray, flags: np.ndarray, ids: np.ndarray, others: np.ndarray, buckets: int
+    value: np.ndarray, owner: np.ndarray, flags: np.ndarray, ids: np.ndarray, others: np.ndarray, buckets: int, turn: int
 ) -> pa.RecordBatch:
-    """Rows of ``BLOCKS`` for keys ``value`` (below 2^48) of ``owner``, a place in ``ids`` and ``others``."""
+    """Rows of ``BLOCKS`` for keys ``value`` (below 2^48) of ``owner``, a place in ``ids`` and ``others``.
+
+    ``turn`` is the slice's, see ``first_turn``.
+    """
     order = np.lexsort((owner, value))
     value, owner, flags = value[order], owner[order], flags[order]
     begin = _starts(value)
@@ -76,7 +87,7 @@ def blocks(
         row(int(b), part, heads[slice(*np.searchsorted(bucket[heads], [b, b + 1]))])
     if several.any():
         part = np.flatnonzero(several)
-        row(-1 - int(value[part[0]] % np.uint64(buckets)), part, part[:0])
+        row(-1 - turn % buckets, part, part[:0])
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _NAMES]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from seedloom.llm.arrays import ragged, text_slices, utf8_bytes
 from seedloom.llm.run_length_index import RunLengthIndex
-from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, mix
+from seedloom.llm.shared_keys import BLOCKS, KEY_BITS, Resolved, blocks, first_turn, mix
 from seedloom.llm.tables import written
 
 LENGTH = 50
@@ -111,7 +111,7 @@ def _anchor_blocks(buckets: int, length: int, gram: int):
     """Distinct anchors of each slice's different texts, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for turn, batch in enumerate(text_slices(batches), first_turn()):
             contents, first = np.unique(np.asarray(batch.column("content"), np.int64), return_index=True)
             data, offsets = utf8_bytes(batch.column("text").take(pa.array(first)))
             owner, _, _, value = anchor_runs(data, offsets, length, gram)
@@ -119,7 +119,7 @@ def _anchor_blocks(buckets: int, length: int, gram: int):
             owner, value = owner[order], value[order]
             keep = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])[: len(value)]
             owner, value = owner[keep], value[keep]
-            yield blocks(value, owner, np.zeros(len(value), np.uint8), contents, contents, buckets)
+            yield blocks(value, owner, np.zeros(len(value), np.uint8), contents, contents, buckets, turn)
 
     return run
 

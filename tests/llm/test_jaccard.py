@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from seedloom.llm import jaccard as J
@@ -81,6 +82,22 @@ def test_costly_segments_are_made_up_for():
     assert (flags & J.PROBE_LESS).any() and (flags == J.INDEX).any()
 
 
+def test_slices_that_start_alike_spread_over_buckets():
+    """A hot set at the start of every slice, or wordless texts there, fill no bucket with all slices."""
+    hot = [" ".join(f"w{k}" for k in range(n)) for n in (60, 61)]
+    for start in (hot, [""] + hot):
+        batches = [
+            pa.RecordBatch.from_pydict({"doc_id": [10 * i + k for k in range(len(start) + 1)], "text": [*start, f"one more text {i}"]})
+            for i in range(32)
+        ]
+        runs = [[b.column("bucket").to_pylist() for b in J._map(8, 4, 85)(iter(batches))] for _ in range(2)]
+        where = [b for found in runs[0] for b in found]
+        assert runs[0] == runs[1]
+        for low, high in ((-16, -9), (-8, -1)):  # documents; keys that a slice shares
+            count = [where.count(b) for b in range(low, high + 1)]
+            assert count == [4] * 8
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (3, "A b C d E"), (4, "x"), (4, "y z")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
