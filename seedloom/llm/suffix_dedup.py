@@ -12,10 +12,12 @@ How one run-length index serves a corpus that no machine can hold:
    a frequent anchor costs one entry a slice.
 2. Runs of windows with one shared anchor are cut out as segments. Equal segments become one,
    with the smallest id. Segments of one anchor go to one shard; anchors with very many
-   documents are divided by a second hash order first (``HOT_SHARE`` bounds that list).
+   documents are divided by a second hash order first (``HOT_SHARE`` bounds that list). An anchor
+   whose segments still exceed ``SHARD_BYTES`` has several shards, dealt by segment.
 3. Each shard builds a run-compressed Burrows-Wheeler transform of its segments with sampled run
    ends (``RunLengthIndex``), streams all segments through it, and gives for each window the
-   smallest id that holds it.
+   smallest id that holds it. Shards of one anchor give away their distinct windows, named by 128
+   bits, with these ids, and get back the windows that another of them knows with a smaller one.
 4. Windows whose smallest id is below the document's own mark its bytes.
 
 Defined cases: a null or empty text has no bytes; texts shorter than ``length`` lose nothing;
@@ -57,8 +59,18 @@ def window_anchors(data: np.ndarray, length: int, gram: int, order: int = 0) ->
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    current, span, rest, value, taken = _BYTE_HASH[order][data], 1, gram, None, 0
-    while True:  # hashes of spans 1, 2, 4, ... put together to ``gram`` bytes
+    least, width, seen = span_hashes(data, gram, order) >> np.uint64(64 - KEY_BITS), length - gram + 1, 1
+    while seen < width:
+        more = min(seen, width - seen)
+        least = np.minimum(least[:-more], least[more:])
+        seen += more
+    return least[:n]
+
+
+def span_hashes(data: np.ndarray, size: int, order: int = 0) -> np.ndarray:
+    """64-bit hash of every string of ``size`` bytes in ``data``, which is no shorter."""
+    current, span, rest, value, taken = _BYTE_HASH[order][data], 1, size, None, 0
+    while True:  # hashes of spans 1, 2, 4, ... put together to ``size`` bytes
         if rest & 1:
             if value is None:
                 value = current
@@ -71,12 +83,7 @@ def window_anchors(data: np.ndarray, length: int, gram: int, order: int = 0) ->
             break
         current = mix(current[:-span] * np.uint64(0xD6E8FEB86659FD93) + current[span:])
         span *= 2
-    least, width, seen = value >> np.uint64(64 - KEY_BITS), length - gram + 1, 1
-    while seen < width:
-        more = min(seen, width - seen)
-        least = np.minimum(least[:-more], least[more:])
-        seen += more
-    return least[:n]
+    return value
 
 
 def anchor_runs(
@@ -200,32 +207,116 @@ def _segments(hot, length: int, gram: int):
 
 
 _MARKS = "key binary, starts array<int>, stops array<int>, firsts array<long>"
+_WINDOWS = "shard long, name binary, first long"
 
 
-def _index_shard(length: int):
+def in_shards(distinct: DataFrame) -> DataFrame:
+    """``key, segment, first, shard, split``: shards of about ``SHARD_BYTES``; ``split`` if others hold the anchor too."""
+    each = distinct.groupBy("anchor").agg(F.sum(F.octet_length("segment")).alias("n_bytes"))
+    each = written(each, "anchor-bytes")
+    total = each.agg(F.sum("n_bytes")).first()[0] or 0
+    shards = max(1, math.ceil(total / SHARD_BYTES))
+    # At most ``shards`` anchors are that heavy.
+    heavy = F.broadcast(each.filter(F.col("n_bytes") > SHARD_BYTES))
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n_bytes") / SHARD_BYTES))
+    split = F.col("n_bytes").isNotNull()
+    return distinct.join(heavy, "anchor", "left").select(
+        "key",
+        "segment",
+        "first",
+        F.when(split, F.xxhash64("anchor", part)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"),
+        split.alias("split"),
+    )
+
+
+def _first_owners(table: pa.Table, length: int) -> list[np.ndarray]:
+    segments = table.column("segment").to_pylist()
+    return RunLengthIndex(segments, np.asarray(table.column("first"), np.int64), length).first_owners()
+
+
+def _marks(table: pa.Table, owners: list[np.ndarray], length: int) -> pa.Table:
     """Runs of windows with one smallest id, for every distinct segment of a shard."""
+    starts, stops, firsts = [], [], []
+    for found in owners:
+        begin = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        starts.append(begin.astype(np.int32))
+        stops.append((np.append(begin[1:], len(found)) + length - 1).astype(np.int32))
+        firsts.append(found[begin])
+    return pa.table(
+        {
+            "key": table.column("key"),
+            "starts": pa.array(starts, pa.list_(pa.int32())),
+            "stops": pa.array(stops, pa.list_(pa.int32())),
+            "firsts": pa.array(firsts, pa.list_(pa.int64())),
+        }
+    )
+
+
+def _window_names(segments: list[bytes], length: int) -> np.ndarray:
+    """16 bytes for every window of all segments, one after the other."""
+    sizes = np.fromiter(map(len, segments), np.int64, len(segments))
+    places = ragged(np.cumsum(sizes) - sizes, sizes - length + 1)
+    data = np.frombuffer(b"".join(segments), np.uint8)
+    halves = [span_hashes(data, length, order)[places].astype("<u8") for order in (0, 1)]
+    return np.stack(halves, axis=1).reshape(-1).view("S16")
 
+
+def _index_shard(length: int):
     def run(table: pa.Table) -> pa.Table:
-        segments = table.column("segment").to_pylist()
-        owners = np.asarray(table.column("first"), np.int64)
-        starts, stops, firsts = [], [], []
-        for found in RunLengthIndex(segments, owners, length).first_owners():
-            begin = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-            starts.append(begin.astype(np.int32))
-            stops.append((np.append(begin[1:], len(found)) + length - 1).astype(np.int32))
-            firsts.append(found[begin])
-        return pa.table(
-            {
-                "key": table.column("key"),
-                "starts": pa.array(starts, pa.list_(pa.int32())),
-                "stops": pa.array(stops, pa.list_(pa.int32())),
-                "firsts": pa.array(firsts, pa.list_(pa.int64())),
-            }
-        )
+        return _marks(table, _first_owners(table, length), length)
 
     return run
 
 
+def _shard_windows(length: int):
+    """Distinct windows of a shard with their smallest ids."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names = _window_names(table.column("segment").to_pylist(), length)
+        owners = np.concatenate(_first_owners(table, length))
+        _, once = np.unique(names, return_index=True)
+        shown = np.frombuffer(names[once].tobytes(), np.uint8)
+        named = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(once), [None, pa.py_buffer(shown)])
+        shard = pa.array(np.full(len(once), table.column("shard")[0].as_py(), np.int64))
+        return pa.table({"shard": shard, "name": named.cast(pa.binary()), "first": owners[once]})
+
+    return run
+
+
+def _index_split_shard(length: int):
+    """The same marks, where ``known`` has windows that another shard of the anchor knows with a smaller id."""
+
+    def run(table: pa.Table, known: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _marks(table, [], length)
+        owners = _first_owners(table, length)
+        if known.num_rows:
+            names = np.array(known.column("name").to_pylist(), "S16")
+            order = np.argsort(names)
+            names, least = names[order], np.asarray(known.column("least"), np.int64)[order]
+            wanted = _window_names(table.column("segment").to_pylist(), length)
+            at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+            flat = np.where(names[at] == wanted, least[at], np.concatenate(owners))
+            owners = np.split(flat, np.cumsum([len(o) for o in owners])[:-1])
+        return _marks(table, owners, length)
+
+    return run
+
+
+def shard_marks(distinct: DataFrame, length: int) -> DataFrame:
+    """``_MARKS`` of distinct segments ``key, segment, first, anchor``."""
+    dealt = written(in_shards(distinct), "shards")
+    marks = dealt.filter("NOT split").groupBy("shard").applyInArrow(_index_shard(length), _MARKS)
+    split = dealt.filter("split")
+    if split.isEmpty():
+        return marks
+    windows = written(split.groupBy("shard").applyInArrow(_shard_windows(length), _WINDOWS), "shard-windows")
+    least = windows.groupBy("name").agg(F.min("first").alias("least"), F.max("first").alias("most")).filter("least < most")
+    known = windows.join(least, "name").filter("least < first").select("shard", "name", "least")
+    more = split.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_index_split_shard(length), _MARKS)
+    return marks.unionAll(more)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         data, offsets = utf8_bytes(batch.column("text"))
@@ -293,14 +384,7 @@ def repeated_spans(firsts: DataFrame, docs: DataFrame, length: int = LENGTH, gra
         .agg(F.first("segment").alias("segment"), F.min("first").alias("first"), F.first("anchor").alias("anchor")),
         "distinct-segments",
     )
-    total = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
-    shards = max(1, math.ceil(total / SHARD_BYTES))
-    marks = written(
-        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        .groupBy("shard")
-        .applyInArrow(_index_shard(length), _MARKS),
-        "marks",
-    )
+    marks = written(shard_marks(distinct, length), "marks")
     runs = F.filter(F.arrays_zip("starts", "stops", "firsts"), lambda r: r["firsts"] < F.col("doc_id"))
     return (
         segments.select("key", "doc_id", "content", "place")

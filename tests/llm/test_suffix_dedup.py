@@ -63,6 +63,25 @@ def test_ties_nulls_and_hot_anchors(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_hot_passage_in_different_surroundings(spark, monkeypatch):
+    """Segments that reach beyond the passage never fold; no index holds all of an anchor's."""
+
+    class Bounded(RunLengthIndex):
+        def __init__(self, strings, owners, length):
+            assert sum(map(len, strings)) <= 8_000, "shard too large"
+            super().__init__(strings, owners, length)
+
+    monkeypatch.setattr(S, "RunLengthIndex", Bounded)
+    monkeypatch.setattr(S, "SHARD_BYTES", 2_000)
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = noise(90)
+    rows = [(i, noise(rng.randint(0, 70)) + passage + noise(rng.randint(0, 70))) for i in range(300)]
+    rows += [(1000 + i, rows[i * 7][1][5:-5]) for i in range(30)]
+    rng.shuffle(rows)
+    check(spark, rows)
+
+
 def test_empty_table(spark):
     check(spark, [])
     check(spark, [(1, None), (2, "")])
