@@ -9,7 +9,7 @@ weigh as the rarest.
 1. Each item gives away its *anchors*: shingles with more than ``1 - threshold`` of its weight.
    A window similar enough must hold one, so one pass over the documents against the anchors
    loses nothing. Anchors go out in blocks of bounded size, each broadcast.
-2. Every hit places windows: the aligned one and its neighbours up to a quarter of the item.
+2. Every hit places all windows that hold it, wherever the item has the shingle.
 3. Windows and items get 64-bit SimHash fingerprints, cut into ``radius + 1`` blocks. A pair is
    a candidate if one block agrees, so every pair within the radius is one.
 4. Candidates within the radius are verified by exact weighted similarity.
@@ -36,6 +36,8 @@ from seedloom.session import cut_lineage
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 23
+#: Hits are gathered by stretches of a document of this many items' length.
+STRETCH = 4
 #: Anchor rows in one broadcast: at most about 16 MB.
 ANCHORS_PER_BLOCK = 250_000
 
@@ -112,10 +114,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def anchors_of(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``shingle, item, offset``: the rarest shingles, up to more than ``1 - threshold`` of the weight.
-
-    ``offset`` is the place of the shingle's first word in the item.
-    """
+    """``shingle, item``: the rarest shingles, up to more than ``1 - threshold`` of the weight."""
     pairs = F.arrays_zip(F.col("weights").alias("w"), F.col("item_shingles").alias("s"))
     ranked = F.array_sort(F.transform(pairs, lambda p: F.struct((-p["w"]).alias("w"), p["s"].alias("s"))))
     total = F.aggregate("weights", F.lit(0.0), lambda t, w: t + w)
@@ -129,14 +128,8 @@ def anchors_of(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.when(enough, s["chosen"]).otherwise(F.concat(s["chosen"], F.array(p["s"]))).alias("chosen"),
         )
 
-    chosen = items.select(
-        "item",
-        shingles_of(F.col("item_hashes")).alias("in_order"),
-        F.aggregate(ranked, start, step, lambda s: s["chosen"]).alias("chosen"),
-    )
-    return chosen.select("item", F.posexplode("in_order").alias("offset", "shingle"), "chosen").filter(
-        F.array_contains("chosen", F.col("shingle"))
-    ).select("shingle", "item", "offset")
+    chosen = F.aggregate(ranked, start, step, lambda s: s["chosen"])
+    return items.select(F.explode(chosen).alias("shingle"), "item")
 
 
 def _hits(docs: DataFrame, anchors: DataFrame, per_block: int) -> DataFrame:
@@ -177,42 +170,37 @@ def find_leaks(
         longer = hashed.filter(F.size("hashes") > size)
         exploded.append(longer.select("doc", "hashes", F.posexplode(runs).alias("at", "shingle")))
     n, words = F.col("item_words"), F.size("hashes")
-    slack = F.ceil(n / 4).cast("int")
-    last = F.greatest(words - n, F.lit(0))
-    aligned = F.col("at") - F.col("offset")
-    first = F.least(F.greatest(aligned - slack, F.lit(0)), last)
-    final = F.greatest(F.least(aligned + slack, last), first)
+    stretch = F.floor(F.col("at") / (STRETCH * n)).cast("int")
+    begin = F.greatest(stretch * STRETCH * n - n, F.lit(0))
     hits = reduce(DataFrame.unionAll, [_hits(part, anchors, anchors_per_block) for part in exploded])
-    placed = hits.select(
-        "doc",
-        "item",
-        n.alias("item_words"),
-        first.cast("int").alias("first"),
-        (final - first + 1).cast("int").alias("windows"),
-        F.slice("hashes", first + 1, final - first + n).alias("part"),
-    )
-    # Anchors of one passage mostly agree on the place; rows that do are one.
-    placed = placed.groupBy("doc", "item", "item_words", "first", "windows").agg(F.first("part").alias("part"))
-    windows = placed.select(
-        "doc",
-        "item",
-        "first",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.col("windows") - 1),
-                lambda o: F.struct(o.alias("o"), F.slice("part", o + 1, F.col("item_words")).alias("words")),
-            )
-        ).alias("window"),
-    )
-    windows = windows.select(
-        "doc",
-        "item",
-        (F.col("first") + F.col("window.o")).alias("start"),
-        F.array_distinct(shingles_of(F.col("window.words"))).alias("shingles"),
+    # A stretch has the words of all windows that hold an anchor starting in it.
+    placed = (
+        hits.select(
+            "doc",
+            "item",
+            "item_words",
+            "at",
+            stretch.alias("stretch"),
+            begin.alias("begin"),
+            F.greatest(words - n, F.lit(0)).alias("last"),
+            F.slice("hashes", begin + 1, (STRETCH + 2) * n).alias("part"),
+        )
+        .groupBy("doc", "item", "item_words", "stretch", "begin", "last")
+        .agg(F.sort_array(F.collect_set("at")).alias("ats"), F.first("part").alias("part"))
     )
-    joined = with_computed(
-        windows.join(items.drop("item_words", "item_hashes"), "item"), {"print": simhash(F.col("shingles"))}
+
+    def starts(at: Column, i: Column) -> Column:
+        """Starts of windows that hold the anchor at ``at`` and begin behind the one before."""
+        first = F.greatest(at + F.least(n, F.lit(SHINGLE)) - n, F.coalesce(F.get("ats", i - 1) + 1, F.lit(0)), F.lit(0))
+        final = F.least(at, F.col("last"))
+        return F.when(first <= final, F.sequence(first, final)).otherwise(F.array().cast("array<int>"))
+
+    windows = placed.join(items.drop("item_words", "item_hashes"), "item").withColumn(
+        "start", F.explode(F.flatten(F.transform("ats", starts)))
     )
+    windows = windows.withColumn("words", F.slice("part", F.col("start") - F.col("begin") + 1, n)).drop("part", "ats")
+    joined = with_computed(windows, {"shingles": F.array_distinct(shingles_of(F.col("words")))})
+    joined = with_computed(joined, {"print": simhash(F.col("shingles"))})
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     near = joined.filter(blocks_agree(F.col("print"), F.col("item_print"), radius)).filter(distance <= radius)
     scored = with_computed(near, {"similarity": weighted_similarity()}).filter(F.col("similarity") >= threshold - 1e-12)

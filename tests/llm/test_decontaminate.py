@@ -68,6 +68,21 @@ def test_against_brute_force(spark):
     assert got == want and len(want) > 15 and min(s for *_, s in want) < 0.95
 
 
+def test_reordered_passages_against_brute_force(spark):
+    rng = random.Random(21)
+    prose = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    items = [(i, " ".join(prose(n))) for i, n in enumerate((100, 100, 140, 100))]
+    docs = []
+    for item_id, text in items:
+        part = text.split()
+        half, third = len(part) // 2, len(part) // 3
+        docs.append((item_id, " ".join([*prose(150), *part[half:], *part[:half], *prose(150)])))
+        docs.append((10 + item_id, " ".join([*prose(399), *part[2 * third :], *part[third : 2 * third], *part[:third], *prose(80)])))
+        docs.append((20 + item_id, " ".join([*part[half:], *part[:half]])))
+    want = brute(docs, items)
+    assert found(spark, docs, items) == want and len(want) == 12
+
+
 def test_blocks_of_anchors_and_repeats(spark):
     docs, items = made()
     docs = docs[15:30]
