@@ -10,12 +10,11 @@ weigh as the rarest.
    A window similar enough must hold one, so one pass over the documents against the anchors
    loses nothing. Anchors go out in blocks of bounded size, each broadcast.
 2. Every hit places all windows that hold it, wherever the item has the shingle.
-3. Windows and items get 64-bit SimHash fingerprints, cut into ``radius + 1`` blocks. A pair is
-   a candidate if one block agrees, so every pair within the radius is one.
-4. Candidates within the radius are verified by exact weighted similarity.
+3. Every such window is verified by exact weighted similarity.
 
-With the default radius a pair at the threshold is lost with a chance of about 1e-5 (expected
-distance 9.7 bits, deviation 2.9); closer pairs less often.
+Anchors take the place of the SimHash fingerprints and Hamming blocks this search was laid out
+with: unweighted fingerprints in a radius can lose pairs that the weighted similarity accepts.
+``simhash`` and ``blocks_agree`` stay as functions; ``find_leaks`` does not use them.
 
 Defined cases: null or wordless texts and items match nothing; an item of fewer than five words
 is one shingle; a document shorter than an item is one window; repeated documents each get
@@ -87,7 +86,7 @@ def blocks_agree(one: Column, other: Column, radius: int) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item_words, item_shingles, weights, rarest, item_print`` of items with words."""
+    """``item, item_words, item_shingles, weights, rarest`` of items with words."""
     rows = benchmark.select("item_id", word_hashes(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
     rows = with_computed(rows, {"item_shingles": F.array_distinct(shingles_of(F.col("hashes")))})
     # Repeated items (same id, same words) keep a row of their own.
@@ -108,8 +107,6 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
         F.col("pairs.shingle").alias("item_shingles"),
         F.col("pairs.w").alias("weights"),
         "rarest",
-        simhash(F.col("item_shingles")).alias("item_print"),
-        F.col("hashes").alias("item_hashes"),
     )
 
 
@@ -146,7 +143,6 @@ def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     threshold: float = THRESHOLD,
-    radius: int = RADIUS,
     anchors_per_block: int = ANCHORS_PER_BLOCK,
     id_col: str = "doc_id",
 ) -> DataFrame:
@@ -195,15 +191,12 @@ def find_leaks(
         final = F.least(at, F.col("last"))
         return F.when(first <= final, F.sequence(first, final)).otherwise(F.array().cast("array<int>"))
 
-    windows = placed.join(items.drop("item_words", "item_hashes"), "item").withColumn(
+    windows = placed.join(items.drop("item_words"), "item").withColumn(
         "start", F.explode(F.flatten(F.transform("ats", starts)))
     )
     windows = windows.withColumn("words", F.slice("part", F.col("start") - F.col("begin") + 1, n)).drop("part", "ats")
     joined = with_computed(windows, {"shingles": F.array_distinct(shingles_of(F.col("words")))})
-    joined = with_computed(joined, {"print": simhash(F.col("shingles"))})
-    distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    near = joined.filter(blocks_agree(F.col("print"), F.col("item_print"), radius)).filter(distance <= radius)
-    scored = with_computed(near, {"similarity": weighted_similarity()}).filter(F.col("similarity") >= threshold - 1e-12)
+    scored = with_computed(joined, {"similarity": weighted_similarity()}).filter(F.col("similarity") >= threshold - 1e-12)
     best = scored.groupBy("doc", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("place"))).alias("best")
     )

@@ -83,6 +83,19 @@ def test_reordered_passages_against_brute_force(spark):
     assert found(spark, docs, items) == want and len(want) == 12
 
 
+def test_rare_half_counts_whatever_the_common_half_says(spark):
+    """Unweighted fingerprints of such pairs are often far apart; their similarity is above the threshold."""
+    common = [f"c{k}" for k in range(100)]
+    items, docs = [], []
+    for i in range(120):
+        rare = [f"r{i}x{k}" for k in range(100)]
+        items.append((i, " ".join(rare + common)))
+        docs.append((i, " ".join(rare + rare)))
+    got = found(spark, docs, items)
+    assert sorted((d, i, at) for d, i, at, _ in got) == [(i, i, 0) for i in range(120)]
+    assert found(spark, docs[:2], items) == brute(docs[:2], items)
+
+
 def test_blocks_of_anchors_and_repeats(spark):
     docs, items = made()
     docs = docs[15:30]
