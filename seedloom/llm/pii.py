@@ -1,14 +1,15 @@
 """Format-preserving pseudonyms for personal data, with SQL functions only.
 
 Found and checked: e-mail addresses, payment card numbers (Luhn), US social security numbers
-(assigned ranges), telephone numbers, IPv4 addresses (octets up to 255) and calendar dates
-(1700 to 2099). What fails its check stays as it is.
+(assigned ranges), telephone numbers (US ones with separators, and any of E.164: a plus and 8 to
+15 digits in any groups), IPv4 addresses (octets up to 255) and calendar dates (1700 to 2099, also
+before a time, days and months of one digit too). What fails its check stays as it is.
 
 Each value is replaced by a keyed Feistel permutation of its own format: cards stay Luhn-valid
 with their length, first digit and separators, dates stay dates, and so on. A permutation is
 one-to-one, so equal values get equal pseudonyms in every document, different ones never
 collide, and no table of names is kept. Digits alone enter it, so one card or telephone number
-written with other separators stays linked too.
+written with other separators stays linked too, and a date in another notation.
 
 ``key`` is a secret. It stands in the query plan as a literal; set
 ``spark.redaction.string.regex`` where plans are logged.
@@ -30,17 +31,23 @@ KINDS = ("email", "date", "ssn", "ip", "card", "phone")
 
 _FREE = r"(?<![A-Za-z0-9])"
 _END = r"(?![A-Za-z0-9])"
+_GROUPED = r"\+[2-9]\d{0,2}(?:[ .-]\d{2,4}){2,5}"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + _END,
-    "date": rf"{_FREE}(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{2}}/\d{{2}}/\d{{4}}|\d{{2}}\.\d{{2}}\.\d{{4}}){_END}",
+    "date": (
+        rf"{_FREE}(?:\d{{4}}-\d{{1,2}}-\d{{1,2}}|\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d{{1,2}}\.\d{{1,2}}\.\d{{4}})"
+        rf"(?:{_END}|(?=[Tt]\d{{2}}))"
+    ),
     "ssn": rf"{_FREE}\d{{3}}-\d{{2}}-\d{{4}}{_END}",
     "ip": rf"(?<![A-Za-z0-9.])(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?![A-Za-z0-9]|\.\d)",
     "card": rf"{_FREE}(?:\d{{13,19}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{1,7}}|\d{{4}}([ -])\d{{6}}\2\d{{5}}){_END}",
     "phone": (
         rf"(?<![A-Za-z0-9+])(?:\+1[ .-]?)?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}{_END}"
-        rf"|(?<![A-Za-z0-9+])\+[2-9]\d{{0,2}}(?:[ .-]\d{{2,4}}){{2,5}}{_END}"
+        rf"|(?<![A-Za-z0-9+])(?:{_GROUPED}(?![ .-]?\d)|\+[1-9](?:[ .-]?[()]?[ .-]?\d){{7,14}}|{_GROUPED}){_END}"
     ),
 }
+#: Country codes of E.164; no code begins with another.
+_COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 #: Days from 1700-01-01 to 2099-12-31: 400 years always have 189 * 773 days.
 _FIRST_DAY, _DAYS = "1700-01-01", (189, 773)
@@ -185,27 +192,36 @@ def _ip(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    def change(form: str) -> Column:
-        day = F.datediff(F.try_to_date(value, form), F.lit(_FIRST_DAY).cast("date"))
+    def change(separator: str, order: str) -> Column:
+        part = {name: F.split_part(value, F.lit(separator), F.lit(i)) for i, name in enumerate(order, 1)}
+        plain = F.concat_ws("-", part["y"], F.lpad(part["m"], 2, "0"), F.lpad(part["d"], 2, "0"))
+        day = F.datediff(F.try_to_date(plain, "yyyy-MM-dd"), F.lit(_FIRST_DAY).cast("date"))
         sizes = tuple(map(F.lit, _DAYS))
         mixed = feistel_numbers(F.floor(day / _DAYS[1]), day % _DAYS[1], sizes, key, F.lit("date"))
         moved = _one(
             mixed,
-            lambda m: F.date_format(
-                F.date_add(F.lit(_FIRST_DAY).cast("date"), (m["left"] * _DAYS[1] + m["right"]).cast("int")), form
-            ),
+            lambda m: F.date_add(F.lit(_FIRST_DAY).cast("date"), (m["left"] * _DAYS[1] + m["right"]).cast("int")),
         )
-        return F.when(day.between(0, _DAYS[0] * _DAYS[1] - 1), moved)
+
+        def shown(date: Column) -> Column:
+            new = {"y": F.year(date), "m": F.month(date), "d": F.dayofmonth(date)}
+            texts = {name: number.cast("string") for name, number in new.items()}
+            # A part of one digit had no zero before it, and gets none.
+            return F.concat_ws(
+                separator, *[F.lpad(texts[n], F.greatest(F.length(part[n]), F.length(texts[n])), "0") for n in order]
+            )
+
+        return F.when(day.between(0, _DAYS[0] * _DAYS[1] - 1), _one(moved, shown))
 
     return (
-        F.when(value.contains("-"), change("yyyy-MM-dd"))
-        .when(value.contains("/"), change("MM/dd/yyyy"))
-        .otherwise(change("dd.MM.yyyy"))
+        F.when(value.contains("-"), change("-", "ymd"))
+        .when(value.contains("/"), change("/", "mdy"))
+        .otherwise(change(".", "dmy"))
     )
 
 
 def _phone(value: Column, key: str) -> Column:
-    country = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])", 0)
+    country = F.regexp_extract(value, _COUNTRY, 0)
     rest = F.substring(value, F.length(country) + 1, F.length(value))
     return F.concat(country, _refill(rest, feistel_digits(_digits(rest), key, "phone")))
 

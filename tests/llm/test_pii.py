@@ -86,6 +86,32 @@ def test_formats_stay_and_values_stay_linked(spark):
     assert run(spark, texts, "other key")[1][0] != got[1][0]
 
 
+def test_numbers_of_any_grouping_and_dates_of_any_notation(spark):
+    texts = [
+        "a +14155552671 b +1 415 555 2671 c 415-555-2671 d +1-4155552671",
+        "+44 7911 123456, +447911123456 or +44 (7911) 12-34-56.",
+        "+49 1512 3456789 and +4915123456789",
+        "at 1980-02-29T10:00:00Z or 1980-02-29 or 2/29/1980 or 29.2.1980",
+        "2/9/1980, 02/09/1980, 1980-2-9T08:15 and 9.02.1980",
+        "+49 30 1234 56789 x +44 1234 1234 1234 1234",
+        "+1234567 +1234567890123456 13/9/1980 1980-02-29X 1980-2-30T10:00",
+    ]
+    got = run(spark, texts)
+    assert [got[i][1] for i in range(7)] == [["phone"] * 4, ["phone"] * 3, ["phone"] * 2, ["date"] * 4, ["date"] * 4, ["phone"] * 2, []]
+    assert got[6][0] == texts[6]
+    for i, country, rest in ((0, "1", "4155552671"), (1, "44", "7911123456"), (2, "49", "15123456789")):
+        moved = digits(rest, "phone")
+        shapes = [re.sub(r"\d", "#", t) for t in (texts[i], got[i][0])]
+        assert shapes[0] == shapes[1] and rest not in re.sub(r"\D", "", got[i][0])
+        assert re.sub(r"\D", "", got[i][0]).replace(country + moved, "").replace(moved, "") == ""
+    assert not re.search("1234|56789", got[5][0])
+    for i in (3, 4):
+        found = re.findall(r"(\d+)([-/.])(\d+)[-/.](\d+)", got[i][0])
+        order = {"-": (0, 2, 3), "/": (3, 0, 2), ".": (3, 2, 0)}
+        assert len(found) == 4 and len({tuple(int(f[k]) for k in order[f[1]]) for f in found}) == 1
+    assert "T10:00:00Z" in got[3][0] and "1980" not in got[3][0] + got[4][0]
+
+
 def test_permutations_are_one_to_one(spark):
     frame = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     moved = frame.select(pii.feistel_digits(F.col("d"), KEY, "x").alias("m"), "d")
