@@ -20,10 +20,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each group of near copies (five words, 0.8)."""
-    groups = jaccard.similar_documents(docs, words=5, percent=80)
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """Keep one row of each group of near copies (five words, 0.8): the one of smallest id.
+
+    Texts are told apart by id and text, so a clean text stays when another one has its id. A null
+    id comes after all others; rows of one id go by hash of text, then of all columns, and of rows
+    that are the same throughout one stays. Texts without a word are nobody's copies and all stay.
+    """
+    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), F.sha2("text", 256))
+    row = F.sha2(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}), 256)
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
+    rows = docs.filter(worded).select(F.struct(*docs.columns).alias("doc"), key.alias("key"), row.alias("row"))
+    groups = jaccard.similar_documents(rows.select("key", "doc.text"), words=5, percent=80, id_col="key")
+    place = F.struct(F.col("doc.doc_id").isNull().alias("nameless"), "doc.doc_id", "key", "row")
+    kept = (
+        rows.select("key", place.alias("place"))
+        .join(groups.select(F.col("doc_id").alias("key"), "component_id").distinct(), "key")
+        .groupBy("component_id")
+        .agg(F.min("place").alias("place"))
+        .select("place.key", "place.row")
+        .distinct()
+    )
+    chosen = rows.join(kept, ["key", "row"]).dropDuplicates(["key", "row"])
+    return chosen.select("doc.*").unionAll(docs.filter(~worded))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

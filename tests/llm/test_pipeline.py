@@ -36,6 +36,19 @@ def test_stages_keep_columns_and_clean_documents(spark):
     assert 10_003 in left and "372-555-7739" not in left[10_003]
 
 
+def test_near_duplicates_with_repeated_and_null_ids(spark):
+    one, clean, other = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [
+        (1, one), (2, one + " more"), (2, clean), (3, other), (3, other), (None, other), (None, one),
+        (4, "alone with words"), (4, "alone with words"), (None, "nameless words"), (None, "nameless words"), (7, ""), (8, None),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], table(spark, SF, "documents").schema)
+    left = corpus_pipeline.near_duplicates(spark, frame.repartition(3), SF)
+    assert left.columns == frame.columns
+    want = [(1, one), (2, clean), (3, other), (4, "alone with words"), (None, "nameless words"), (7, ""), (8, None)]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(rows[0].asDict())
