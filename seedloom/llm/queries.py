@@ -16,6 +16,7 @@ from seedloom.llm import (
     embeddings,
     jaccard,
     language,
+    packing,
     pii,
     secret_scan,
     suffix_dedup,
@@ -109,3 +110,9 @@ def op9_embeddings(spark, sf_dir):
 @query
 def op2_jaccard(spark, sf_dir):
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_packing(spark, sf_dir):
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
