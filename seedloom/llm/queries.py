@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedloom.llm import (
+    alignment,
     byte_bpe,
     chat,
     decontaminate,
@@ -116,3 +117,12 @@ def op2_jaccard(spark, sf_dir):
 def op13_packing(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    return alignment.align_corpus(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
