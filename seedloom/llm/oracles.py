@@ -110,3 +110,101 @@ FROM docs LEFT JOIN shown USING (r)"""
 
 
 ORACLES["op10_secret_scan"] = _secrets()
+
+
+def _cheapest(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _edit(state: str, cost: str, initial: str, line: str = "''") -> str:
+    """SQL of a state after one more edit; null stays null."""
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN {{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{initial}', "
+        f"'out': {state}.out || {line}}} END"
+    )
+
+
+#: States: 0 nothing yet, 1 after a system turn, 2 after a user, 3 after an assistant; each the least
+#: (cost, audit, repaired lines). An inserted turn comes before the next row or at the end.
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+    FROM conversations
+),
+coded AS (
+    SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x: ord(x)::BIGINT), lambda sum, byte:
+        list_reduce(list_transform(range(8), lambda i: i::BIGINT), lambda c, i:
+            CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, xor(sum, byte)), 4294967295::BIGINT),
+        4294967295::BIGINT) % 20 AS fault
+    FROM named
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM coded, range(CASE WHEN fault = 3 THEN 2 ELSE 1 END) WHERE fault <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+        NOT regexp_matches(text, '[^ 	-]') AS is_blank,
+        NOT regexp_matches(text, '[.!?][ 	-]*\z') AS is_open
+    FROM damaged
+),
+judged AS (
+    SELECT conv_id, turn, role, text, place, left(role, 1) AS initial, is_blank,
+        NOT is_blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS is_copy, is_open,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before
+    FROM placed
+),
+facts AS (
+    SELECT conv_id, count(*) AS n,
+        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_copy) AS duplicate,
+        count(*) FILTER (is_open AND NOT is_blank AND NOT is_copy) AS truncated,
+        count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+),
+steps AS (
+    SELECT conv_id, 0 AS place, {{'cost': 0, 'audit': '', 'out': ''}} AS s0,
+        CASE WHEN false THEN {{'cost': 0, 'audit': '', 'out': ''}} END AS s1,
+        CASE WHEN false THEN {{'cost': 0, 'audit': '', 'out': ''}} END AS s2,
+        CASE WHEN false THEN {{'cost': 0, 'audit': '', 'out': ''}} END AS s3
+    FROM facts
+    UNION ALL
+    SELECT conv_id, place, {_edit("s0", "4", "D")},
+        {_cheapest(_edit("s1", "4", "D"), f"CASE WHEN stays AND initial = 's' THEN {_edit('s0', 'extra', 'K', 'line')} END")},
+        {_cheapest(
+            _edit("r2", "4", "D"),
+            *[f"CASE WHEN stays AND initial = 'u' THEN {_edit(s, 'extra', 'K', 'line')} END" for s in ("s0", "s1", "r3")],
+            *[f"CASE WHEN stays THEN {_edit(s, 'extra + 3', 'R', 'as_user')} END" for s in ("s0", "s1", "r3")],
+        )},
+        {_cheapest(
+            _edit("r3", "4", "D"),
+            f"CASE WHEN stays AND initial = 'a' THEN {_edit('r2', 'extra', 'K', 'line')} END",
+            f"CASE WHEN stays THEN {_edit('r2', 'extra + 3', 'R', 'as_assistant')} END",
+        )}
+    FROM (
+        SELECT *, {_cheapest("s3", _edit("r2", "3", "I", "chr(10) || 'assistant:'"))} AS r3
+        FROM (
+            SELECT j.conv_id, j.place, j.initial, NOT (is_blank OR is_copy) AS stays,
+                CASE WHEN is_open THEN 3 ELSE 0 END AS extra, chr(10) || role || ':' || text AS line,
+                chr(10) || 'user:' || text AS as_user, chr(10) || 'assistant:' || text AS as_assistant, s0, s1, s3,
+                {_cheapest("s2", *[_edit(s, "3", "I", "chr(10) || 'user:'") for s in ("s0", "s1", "s3")])} AS r2
+            FROM steps s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.place = s.place + 1
+        )
+    )
+),
+ended AS (
+    SELECT s.conv_id, s0, s3, {_cheapest("s2", *[_edit(s, "3", "I", "chr(10) || 'user:'") for s in ("s0", "s1", "s3")])} AS r2
+    FROM steps s JOIN facts f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.place = f.n
+),
+best AS (
+    SELECT conv_id, {_cheapest("s0", "s3", _edit("r2", "3", "I", "chr(10) || 'assistant:'"))} AS b FROM ended
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+    coalesce(b.audit, '') AS audit, sha256(coalesce(b.out[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id
+"""

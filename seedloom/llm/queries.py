@@ -13,6 +13,7 @@ from seedloom.llm import (
     alignment,
     byte_bpe,
     chat,
+    conversation_repair,
     decontaminate,
     embeddings,
     jaccard,
@@ -126,3 +127,9 @@ def op12_alignment(spark, sf_dir):
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
     )
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit_conversations(damaged, absent="gone")
