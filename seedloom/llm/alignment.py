@@ -3,9 +3,9 @@
 A text with a space before it is tokenised whole by a byte-level BPE (A) and by a piece model
 (B), which adds that space itself. Offsets where a token of A and one of B both end, verified on
 the bytes, cut the tokens into groups. Of these shared ends, those before tokens that start with
-a space on both sides are anchors: they cut a document into windows of a few ids, and a window is
-aligned once for its tuple of A ids and tuple of B ids. Two tokens are linked when their byte
-ranges overlap; inside a window that is a walk over both sides' ends.
+a space on both sides are anchors: they cut a document into windows of a few ids, and of the windows
+of a slice of documents, each tuple of A ids and tuple of B ids is aligned once. Two tokens are
+linked when their byte ranges overlap: one link for each stretch between neighbouring ends.
 
 Counts go in two steps. A task folds the documents of a block (bounded in bytes) into the block's
 distinct id pairs, each with the number of documents that hold it; Spark adds these up by pair
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +35,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedloom.llm.arrays import PieceMemo, Table, byte_characters, encode_each, ragged, text_slices
+from seedloom.llm.arrays import PieceMemo, Table, byte_characters, ragged, text_slices
 from seedloom.llm.byte_bpe import join_words
 from seedloom.llm.tables import written
 
 #: The pattern that ``ByteLevel`` pre-tokenisation stands for.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 BLOCK_BYTES = 16_000_000
-#: Window alignments a Python worker remembers; beyond that it starts anew. Never changes a result.
-WINDOWS_KEPT = 600_000
+#: Pieces of text whose ids a Python worker remembers. Never changes a result.
+PIECES_KEPT = 250_000
 
 _SIDE_B = np.uint32(1 << 31)
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
+
+
 class Tokenizers:
     """Both tokenizers of a Python worker; pieces of text (cut before spaces) are remembered."""
 
@@ -69,9 +75,11 @@ class Tokenizers:
         self.b_spaced = np.array([piece[:1] == b" " for piece in pieces])
         # Merges of B stay between spaces if no piece has a space after another character.
         self.b_splits = not any(b" " in piece.lstrip(b" ") for piece in pieces)
+        #: Each id with a comma, a bar or a semicolon after it.
+        self.shown_ids = Table([b"%d%s" % (n, mark) for n in range(max(len(tokens), len(pieces))) for mark in (b",", b"|", b";")])
         self._plain = regex.compile(BYTE_LEVEL_PATTERN)
         self._shown = byte_characters()
-        self.memo = PieceMemo(self._encode_pieces, limit=400_000)
+        self.memo = PieceMemo(self._encode_pieces, limit=PIECES_KEPT)
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -79,22 +87,30 @@ class Tokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def _direct(self, piece: str) -> list[int] | None:
-        if not piece or max(piece) > "ɏ" or self._plain.match(piece).end() < len(piece):
-            return None
-        return [token.id for token in self.a.model.tokenize("".join([self._shown[x] for x in piece.encode()]))]
-
-    def _rest(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.a.encode_batch(pieces, add_special_tokens=False)]
-        ids = np.array([number for part in found for number in part], np.uint32)
-        return ids, np.fromiter(map(len, found), np.int64, len(found))
+    def _of_a(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of A. Latin pieces are cut by the pattern here and go straight to the merges: on the
+        classes of these characters every Unicode version agrees."""
+        merge, cut, shown = self.a.model.tokenize, self._plain.findall, self._shown
+        found: list[list[int]] = []
+        others = []
+        for place, piece in enumerate(pieces):
+            if max(piece) > "\u024f":
+                others.append(place)
+                found.append([])
+            elif piece.isascii() and piece.isprintable():
+                found.append([t.id for m in cut(piece) for t in merge(m.replace(" ", shown[32]))])
+            else:
+                found.append([t.id for m in cut(piece) for t in merge("".join([shown[x] for x in m.encode()]))])
+        encoded = self.a.encode_batch([pieces[place] for place in others], add_special_tokens=False)
+        for place, encoding in zip(others, encoded, strict=True):
+            found[place] = encoding.ids
+        return found
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A and then, marked, of B for texts that follow a space."""
-        a_ids, a_counts = encode_each([" " + piece for piece in pieces], self._direct, self._rest)
-        found = self.b.encode(pieces, num_threads=1)
-        b_counts = np.fromiter(map(len, found), np.int64, len(found))
-        b_ids = np.fromiter((number for part in found for number in part), np.uint32, int(b_counts.sum())) | _SIDE_B
+        a_ids, a_counts = _flat(self._of_a([" " + piece for piece in pieces]))
+        b_ids, b_counts = _flat(self.b.encode(pieces, num_threads=1))
+        b_ids |= _SIDE_B
         counts = a_counts + b_counts
         ids = np.empty(int(counts.sum()), np.uint32)
         starts = np.cumsum(counts) - counts
@@ -139,54 +155,34 @@ class Tokenizers:
         return ids[~of_b].astype(np.int64), a_counts, (ids[of_b] ^ _SIDE_B).astype(np.int64), b_counts
 
 
-def align_window(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]):
-    """Groups as ``[(A ids, B ids)]`` and links as ``[(A id, B id)]`` of ids with the same bytes."""
-    groups, links = [], []
-    i = j = first_i = first_j = 0
-    a_end, b_end = a_lengths[0], b_lengths[0]
-    while True:
-        links.append((a[i], b[j]))
-        if a_end == b_end:
-            groups.append((a[first_i : i + 1], b[first_j : j + 1]))
-            i, j = i + 1, j + 1
-            first_i, first_j = i, j
-            if i == len(a):
-                return groups, links
-            a_end, b_end = a_end + a_lengths[i], b_end + b_lengths[j]
-        elif a_end < b_end:
-            i += 1
-            a_end += a_lengths[i]
-        else:
-            j += 1
-            b_end += b_lengths[j]
-
-
-class WindowMemo:
-    """Alignments by (A ids, B ids): number of groups, shown groups and links of each window."""
-
-    def __init__(self, tokenizers: Tokenizers):
-        self.a_lengths, self.b_lengths = tokenizers.a_bytes.lengths, tokenizers.b_bytes.lengths
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows: dict[tuple[bytes, bytes], int] = {}
-        self.n_groups: list[int] = []
-        self.shown: list[bytes] = []
-        self.links: list[bytes] = []
-
-    def look_up(self, a: np.ndarray, b: np.ndarray) -> int:
-        key = (a.tobytes(), b.tobytes())
-        row = self.rows.get(key)
-        if row is None:
-            row = self.rows[key] = len(self.shown)
-            groups, links = align_window(
-                a.tolist(), b.tolist(), self.a_lengths[a].tolist(), self.b_lengths[b].tolist()
-            )
-            self.n_groups.append(len(groups))
-            shown = (",".join(map(str, own)) + "|" + ",".join(map(str, other)) + ";" for own, other in groups)
-            self.shown.append("".join(shown).encode())
-            self.links.append(b"".join(((x << 32) | y).to_bytes(8, "little") for x, y in links))
-        return row
+class Alignments:
+    """Groups and links of distinct windows, given as A ids and B ids that cover the same bytes.
+
+    ``shown`` holds the groups of all windows as text, ``links`` the id pairs (A id times 2**32
+    plus B id) whose byte ranges overlap; both one window after the other.
+    """
+
+    def __init__(self, own: Tokenizers, a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray):
+        a_ends, b_ends = np.cumsum(own.a_bytes.lengths[a]), np.cumsum(own.b_bytes.lengths[b])
+        window = np.repeat(np.arange(len(a_sizes)), a_sizes)
+        # Between two neighbouring ends, of either side, lies one token of each: a link.
+        ends = np.union1d(a_ends, b_ends)
+        of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        self.links = (a[of_a] << 32) | b[of_b]
+        self.link_counts = np.bincount(window[of_a], minlength=len(a_sizes))
+        closes_a, closes_b = np.isin(a_ends, b_ends), np.isin(b_ends, a_ends)
+        self.n_groups = np.bincount(window[closes_a], minlength=len(a_sizes))
+        # Text: the A ids of a group, then its B ids; the last one of a side has another mark.
+        group_a = np.cumsum(closes_a) - closes_a
+        group_b = np.cumsum(closes_b) - closes_b
+        count_a = np.bincount(group_a)
+        count_b = np.bincount(group_b)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + (np.cumsum(count_b) - count_b)[group_a]] = 3 * a + closes_a
+        order[np.arange(len(b)) + np.cumsum(count_a)[group_b]] = 3 * b + 2 * closes_b
+        self.shown, sizes = own.shown_ids.join(order)
+        text_ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(a_sizes + b_sizes)]
+        self.shown_sizes = np.diff(text_ends, prepend=0)
 
 
 def _mixed(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, salt: int) -> np.ndarray:
@@ -216,8 +212,12 @@ class Windows:
         self.b_starts, self.b_sizes = _runs(at[self.cuts] + 1)
         self.document = np.searchsorted(np.cumsum(a_counts), self.cuts, side="right")
 
-    def distinct(self, memo: WindowMemo) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of ``memo`` for the distinct windows, and the place of each window among them."""
+    def aligned(self, own: Tokenizers) -> tuple[Alignments, np.ndarray]:
+        """Alignments of the distinct windows, and the place of each window among them.
+
+        Windows are looked up by their tuples of ids: a hash finds the first like it, and all ids
+        are compared with that one's.
+        """
         mixed = _mixed(self.a, self.a_starts, self.a_sizes, 1) * np.uint64(3)
         mixed += _mixed(self.b, self.b_starts, self.b_sizes, 7)
         _, first, place = np.unique(mixed, return_index=True, return_inverse=True)
@@ -225,20 +225,11 @@ class Windows:
         same = (self.a_sizes[found] == self.a_sizes).all() and (self.b_sizes[found] == self.b_sizes).all()
         same = same and np.array_equal(self.a[ragged(self.a_starts[found], self.a_sizes)], self.a)
         same = same and np.array_equal(self.b[ragged(self.b_starts[found], self.b_sizes)], self.b)
-        if not same:  # two windows with one hash
+        if not same:  # two windows with one hash: align each
             first = place = np.arange(len(self.cuts))
-        a, b = self.a.astype(np.uint32), self.b.astype(np.uint32)
-        rows = [
-            memo.look_up(a[s : s + n], b[t : t + m])
-            for s, n, t, m in zip(
-                self.a_starts[first].tolist(),
-                self.a_sizes[first].tolist(),
-                self.b_starts[first].tolist(),
-                self.b_sizes[first].tolist(),
-                strict=True,
-            )
-        ]
-        return np.array(rows, np.int64), place
+        a_sizes, b_sizes = self.a_sizes[first], self.b_sizes[first]
+        a, b = self.a[ragged(self.a_starts[first], a_sizes)], self.b[ragged(self.b_starts[first], b_sizes)]
+        return Alignments(own, a, a_sizes, b, b_sizes), place
 
 
 def _runs(stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +260,7 @@ def _verified(own: Tokenizers, text: pa.Array, a, a_counts, b, b_counts) -> np.n
 class SliceAlignment:
     """Columns of the documents of one slice; links as (document, id pair, how often)."""
 
-    def __init__(self, own: Tokenizers, memo: WindowMemo, text: pa.Array):
+    def __init__(self, own: Tokenizers, text: pa.Array):
         a, a_counts, b, b_counts = own.encode(text)
         good = _verified(own, text, a, a_counts, b, b_counts)
         count = len(text)
@@ -283,23 +274,21 @@ class SliceAlignment:
             return
         kept = np.flatnonzero(good)
         windows = Windows(own, a, a_counts[kept], b, b_counts[kept])
-        rows, place = windows.distinct(memo)
+        found, place = windows.aligned(own)
         document = kept[windows.document]
-        n_groups = np.fromiter((memo.n_groups[row] for row in rows.tolist()), np.int64, len(rows))
-        self.n_groups = np.bincount(document, n_groups[place], count).astype(np.int64)
-        shown, sizes = Table([memo.shown[row] for row in rows]).join(place)
+        self.n_groups = np.bincount(document, found.n_groups[place], count).astype(np.int64)
+        sizes = found.shown_sizes[place]
+        shown = found.shown[ragged((np.cumsum(found.shown_sizes) - found.shown_sizes)[place], sizes)]
         ends = np.cumsum(np.bincount(document, sizes, count).astype(np.int64))
         starts = np.concatenate([[0], ends[:-1]])
         for k in kept:
             self.groups[k] = shown[starts[k] : ends[k] - 1].tobytes()
         # Windows of a document that are alike come together first, then their links.
-        links = [memo.links[row] for row in rows]
-        link_counts = np.fromiter(map(len, links), np.int64, len(links)) // 8
-        pairs, pair_of = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
-        key, often = np.unique(document * len(rows) + place, return_counts=True)
-        document, place = np.divmod(key, len(rows))
-        repeat = link_counts[place]
-        flat = pair_of[ragged((np.cumsum(link_counts) - link_counts)[place], repeat)]
+        pairs, pair_of = np.unique(found.links, return_inverse=True)
+        key, often = np.unique(document * len(sizes) + place, return_counts=True)
+        document, place = np.divmod(key, len(sizes))
+        repeat = found.link_counts[place]
+        flat = pair_of[ragged((np.cumsum(found.link_counts) - found.link_counts)[place], repeat)]
         key, back = np.unique(np.repeat(document, repeat) * len(pairs) + flat, return_inverse=True)
         self.times = np.bincount(back, np.repeat(often, repeat)).astype(np.int64)
         self.documents, numbers = np.divmod(key, len(pairs))
@@ -307,19 +296,16 @@ class SliceAlignment:
         self.n_links = np.bincount(self.documents, self.times, count).astype(np.int64)
 
 
-_workers: dict[str, tuple[Tokenizers, WindowMemo]] = {}
+_workers: dict[str, Tokenizers] = {}
 
 
-def _worker(byte_level_json: str, piece_model: bytes) -> tuple[Tokenizers, WindowMemo]:
+def _worker(byte_level_json: str, piece_model: bytes) -> Tokenizers:
+    """Tokenizers of this Python worker (one pair at a time)."""
     key = hashlib.sha256(byte_level_json.encode() + piece_model).hexdigest()
     if key not in _workers:
         _workers.clear()
-        own = Tokenizers(byte_level_json, piece_model)
-        _workers[key] = own, WindowMemo(own)
-    own, memo = _workers[key]
-    if len(memo.shown) > WINDOWS_KEPT:
-        memo.clear()
-    return own, memo
+        _workers[key] = Tokenizers(byte_level_json, piece_model)
+    return _workers[key]
 
 
 def _inputs(docs: DataFrame, byte_level_file: str, piece_file: str):
@@ -337,7 +323,7 @@ def align_documents(docs: DataFrame, byte_level_file: str, piece_file: str) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, SLICE_BYTES):
-            found = SliceAlignment(*_worker(*model.value), batch.column("text"))
+            found = SliceAlignment(_worker(*model.value), batch.column("text"))
             groups = pa.array([shown.decode() for shown in found.groups], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), groups], ["doc_id", "shown"])
 
@@ -371,7 +357,7 @@ def _block(number: int, found: list[tuple[pa.Array, SliceAlignment]]) -> pa.Reco
     steps = np.diff(places, prepend=0)
     steps[starts] = places[starts]  # each document's pairs ascend: keep the steps
     press = zstandard.ZstdCompressor(level=1).compress
-    sums = [hashlib.sha256(shown).hexdigest() if shown else "" for _, part in found for shown in part.groups]
+    sums = [shown for _, part in found for shown in part.groups]
     doc_ids = pa.chunked_array([ids for ids, _ in found]).combine_chunks()
 
     def row(values) -> pa.Array:
@@ -397,7 +383,9 @@ def _blocks(rows: DataFrame, model) -> DataFrame:
         number, found, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in text_slices(batches, SLICE_BYTES):
             text = batch.column("text")
-            found.append((batch.column("doc_id"), SliceAlignment(*_worker(*model.value), text)))
+            aligned = SliceAlignment(_worker(*model.value), text)
+            aligned.groups = [hashlib.sha256(shown).hexdigest() if shown else "" for shown in aligned.groups]
+            found.append((batch.column("doc_id"), aligned))
             size += pc.sum(pc.binary_length(text)).as_py() + 100 * len(text)
             if size >= BLOCK_BYTES:
                 yield _block(number, found)

@@ -102,7 +102,7 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
 
     def found():
         own = alignment.Tokenizers(open(BYTES, encoding="utf-8").read(), open(PIECES, "rb").read())
-        part = alignment.SliceAlignment(own, alignment.WindowMemo(own), text)
+        part = alignment.SliceAlignment(own, text)
         return part.groups, part.n_links.tolist(), part.pairs.tolist(), part.times.tolist()
 
     plain = found()
