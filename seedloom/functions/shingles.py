@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -79,17 +79,38 @@ def signature(codes: np.ndarray) -> np.ndarray:
     return best.astype(np.int64)
 
 
-def prefix_keys(codes: np.ndarray, threshold: float) -> np.ndarray:
-    """The ``n - ceil(t * n) + 1`` codes that come first in one fixed random order.
-
-    Two sets with Jaccard similarity of at least ``t`` share one of these (prefix filtering
-    holds for any common order), whatever the threshold.
-    """
+def mixed_codes(codes: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of codes to 64 bits."""
     keys = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     keys ^= keys >> np.uint64(29)
-    keys *= np.uint64(0xD6E8FEB86659FD93)
-    count = len(codes) - math.ceil(threshold * len(codes) - 1e-9) + 1
-    return np.sort(keys)[:count].view(np.int64)
+    return keys * np.uint64(0xD6E8FEB86659FD93)
+
+
+def prefix_lengths(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """``n - ceil(t * n) + 1``: two sets with Jaccard similarity of at least ``t`` share one of so
+    many first elements, in any order that both follow."""
+    return sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
+
+
+def parity_bitmaps(codes: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
+    """A row of ``words`` 64-bit words per set: parities of its elements by hash.
+
+    Bits in which two sets differ are at most the elements in which they differ.
+    """
+    width = 64 * words
+    place = (mixed_codes(codes) >> np.uint64(20)) % np.uint64(width)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    bits = np.bincount(owner * width + place.astype(np.int64), minlength=len(counts) * width) & 1
+    return np.packbits(bits.astype(np.uint8).reshape(len(counts), width), axis=1).view(np.uint64)
+
+
+def pack_codes(codes: np.ndarray) -> bytes:
+    """Sorted codes as compressed steps."""
+    return zlib.compress(np.diff(codes, prepend=0).astype("<u8").tobytes(), 1)
+
+
+def unpack_codes(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), "<u8").astype(np.int64))
 
 
 def jaccard_of(left: np.ndarray, right: np.ndarray) -> float:
@@ -110,35 +131,25 @@ def minhash_signature(text: pa.Array) -> pa.Array:
     return pa.array([signature(codes) if len(codes) else None for codes in sets], pa.list_(pa.int64()))
 
 
-_SKETCH = pa.struct(
-    [("n_shingles", pa.int32()), ("digest", pa.string()), ("keys", pa.list_(pa.int64()))]
-)
-
+_SKETCH = pa.struct([("n_shingles", pa.int64()), ("digest", pa.string()), ("codes", pa.binary())])
 
-def sketch(text: Column | str, threshold: float) -> Column:
-    """Shingle count, digest of the shingle set, and its prefix keys under ``threshold``."""
 
-    @arrow_udf(
-        T.StructType()
-        .add("n_shingles", T.IntegerType())
-        .add("digest", T.StringType())
-        .add("keys", T.ArrayType(T.LongType()))
-    )
-    def of(column: pa.Array) -> pa.Array:
-        rows = []
-        for value in _texts(column):
-            codes = shingle_codes(value)
-            digest = hashlib.blake2b(codes.tobytes(), digest_size=16).hexdigest()
-            keys = prefix_keys(codes, threshold) if len(codes) else []
-            rows.append({"n_shingles": len(codes), "digest": digest, "keys": keys})
-        return pa.array(rows, _SKETCH)
-
-    return of(text)
+@arrow_udf(
+    T.StructType().add("n_shingles", T.LongType()).add("digest", T.StringType()).add("codes", T.BinaryType())
+)
+def sketch(text: pa.Array) -> pa.Array:
+    """Shingle count, digest of the shingle set, and the packed set of a text."""
+    rows = []
+    for value in _texts(text):
+        codes = shingle_codes(value)
+        digest = hashlib.blake2b(codes.tobytes(), digest_size=16).hexdigest()
+        rows.append({"n_shingles": len(codes), "digest": digest, "codes": pack_codes(codes)})
+    return pa.array(rows, _SKETCH)
 
 
 @arrow_udf(T.DoubleType())
-def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Exact Jaccard similarity of the shingle sets of two texts."""
-    codes = functools.lru_cache(maxsize=512)(shingle_codes)  # the same texts recur in a batch
-    scores = [jaccard_of(codes(a), codes(b)) for a, b in zip(_texts(left), _texts(right))]
+def packed_jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Exact Jaccard similarity of two packed shingle sets."""
+    codes = functools.lru_cache(maxsize=512)(unpack_codes)  # the same sets recur in a batch
+    scores = [jaccard_of(codes(a), codes(b)) for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True)]
     return pa.array(scores, pa.float64())

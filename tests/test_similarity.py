@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seedloom.functions import shingles
-from seedloom.operators import acceptance, similarity
+from seedloom.operators import acceptance, near_copies, similarity
 
 WORDS = [f"w{i:03d}" for i in range(400)]
 
@@ -82,6 +82,27 @@ def test_near_duplicates_match_brute_force(spark, threshold):
             assert got[i].similarity == pytest.approx(jaccard(own, sets[min(earlier)]))
 
 
+@pytest.mark.parametrize(("crowded", "proposals", "keys"), [(3, 1, 200), (4096, 1, 50), (0, 8, 600_000)])
+def test_near_duplicates_in_rounds_and_under_crowded_keys(spark, monkeypatch, crowded, proposals, keys):
+    monkeypatch.setattr(near_copies, "CROWDED", crowded)
+    monkeypatch.setattr(near_copies, "PROPOSALS", proposals)
+    monkeypatch.setattr(near_copies, "KEYS_PER_BUCKET", keys)
+    test_near_duplicates_match_brute_force(spark, 0.7)
+    test_near_duplicates_of_an_index(spark)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(1, "abcdefgh"), (1, "abcdefgh"), (3, None), (4, "y" * 200_000 + "z"), (5, "y" * 9 + "z"), (6, "ABCDEFGH")]
+    df = spark.createDataFrame([(*r, "x", 0) for r in rows], "id bigint, text string, digest string, codes int")
+    got = sorted((r.id, r.status, r.dup_of) for r in similarity.near_duplicates(df, "id", "text").collect())
+    assert got == [
+        (1, "unique", None), (1, "unique", None), (3, "no_signal", None),
+        (4, "unique", None), (5, "near_dup", 4), (6, "near_dup", 1),
+    ]
+    assert similarity.near_duplicates(df.limit(0), "id", "text").count() == 0
+    assert similarity.near_duplicates(df, "id", "text", index=df.limit(0)).filter("status = 'near_dup'").count() == 0
+
+
 def test_near_duplicates_of_an_index(spark):
     texts = corpus()
     rows, index = texts[::2], texts[1::2]
