@@ -2,19 +2,24 @@
 
 Candidates are taken in ``seq`` order: a row is accepted unless its label is full, its
 text or judge reply is unusable, or it is too similar to a seed or to a row accepted
-before it. Only comparisons with accepted rows matter, so the job alternates between
-
-* deciding a bounded window of the earliest undecided rows, in order, in one task, and
-* dropping the remaining rows too similar to the newly accepted ones, in joins of tiles.
-
-A group of near copies, however large, loses all but its first member in one pass, no
-candidate pairs are formed, and rows behind a full label or the total target are never
-compared. The driver sees counts per label and places, no rows. The number of passes is
-about accepted rows / window.
+before it. What the loop would take one by one is decided in parallel rounds. Without
+quotas, the accepted rows are the lexicographically first independent set of the
+similarity relation: in a round every undecided row finds its first similar undecided
+row before it; rows without one are accepted, rows whose first is accepted leave, and the
+few others are compared with what the round accepted. No pair is a row anywhere: a row
+keeps the smallest ``seq`` it meets, so a group of near copies, however large, is decided in
+one round. Rounds grow with the longest chain of rows that only hold each other; the last
+rows (``LAST_ROWS``) are decided in order.
+
+Quotas cut labels at the place of their last accepted row, found by counts over prefixes of
+``seq``. Rows that only a cut-off row had held come up again; the loop goes back to the first of
+them, and all decisions before it stand. Work goes in windows of ``seq``, so rows behind a full
+target are never compared. The driver sees counts per label and places, no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,13 +30,23 @@ from pyspark.sql import functions as F
 
 from seedloom.functions.shingles import jaccard_of, shingle_codes
 from seedloom.operators.quota import MAX_LOOPS
+from seedloom.operators.ranking import cutoff_keys
 from seedloom.operators.responses import is_valid_candidate
-from seedloom.operators.similarity import JACCARD_THRESHOLD, SEMANTIC_THRESHOLD, VECTOR_INDEX, near_duplicates, top_similarity
+from seedloom.operators.similarity import (
+    JACCARD_THRESHOLD,
+    SEMANTIC_THRESHOLD,
+    VECTOR_INDEX,
+    first_similar,
+    near_duplicates,
+    top_similarity,
+)
 from seedloom.operators.tiles import matrix
 from seedloom.session import cut_lineage
 
-#: Undecided rows decided at a time; they and their vectors are held by one task.
-WINDOW_ROWS = 32_768
+#: Undecided rows, about, that are taken up at a time: the earliest ones.
+WINDOW_ROWS = 1_000_000
+#: Rows of a window that are decided in order once rounds have left no more.
+LAST_ROWS = 512
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 QUOTA_FULL, INVALID_TEXT, JUDGE_PARSE, LOW_SCORE = "quota_full", "invalid_text", "judge_parse", "low_score"
@@ -48,6 +63,8 @@ class Progress:
     counts: dict[str, int] = field(default_factory=dict)
     cut: dict[str, int] = field(default_factory=dict)
     stop_seq: int | None = None
+    #: Undecided and newly accepted rows of every round.
+    rounds: list[tuple[int, int]] = field(default_factory=list)
 
     def full(self, label: str) -> bool:
         return self.counts.get(label, 0) >= self.quota.get(label, 0)
@@ -102,18 +119,88 @@ def greedy_accept(
         rows = cut_lineage(kinds.unlike(rows, seeds))
     accepted: DataFrame = candidates.filter("false").select("seq", "label")
     while not progress.done():
-        decided = cut_lineage(kinds.decide(rows.orderBy("seq").limit(window), progress))
-        stats = decided.agg(F.count("*").alias("n"), F.max("seq").alias("last")).first()
-        fresh = decided.filter("_taken").drop("_taken")
+        head, last = _earliest(rows, window)
+        fresh = _decide_window(head, kinds, progress)
         _count(fresh, progress)
         accepted = accepted.unionByName(fresh.select("seq", "label"))
-        if stats["n"] < window or progress.done():
+        if last is None or progress.done():
             break
-        later = rows.filter((F.col("seq") > stats["last"]) & F.col("label").isin(progress.open_labels()))
+        later = rows.filter((F.col("seq") > last) & F.col("label").isin(progress.open_labels()))
         rows = cut_lineage(kinds.unlike(later, [fresh]))
     return _ledger(candidates, accepted, progress, seeds, kinds), progress
 
 
+def _earliest(rows: DataFrame, window: int) -> tuple[DataFrame, int | None]:
+    """Rows up to a ``seq`` that about ``window`` rows reach, and that place (None: all rows)."""
+    n = rows.count()
+    if n <= window:
+        return rows, None
+    last = rows.agg(F.percentile_approx("seq", window / n, 1000)).first()[0]
+    return rows.filter(F.col("seq") <= last), last
+
+
+def _decide_window(rows: DataFrame, kinds: _Kinds, progress: Progress) -> DataFrame:
+    """Rows that the loop accepts among ``rows``, given what was accepted before."""
+    before: DataFrame | None = None
+    while True:
+        taken = kinds.independent(rows, progress)
+        if before is not None:
+            taken = before.unionByName(taken)
+        cuts, stop = _cuts(taken, progress)
+        if not cuts and stop is None:
+            return taken
+        open_place = F.lit(True)
+        for label, place in cuts.items():  # a cut per category of the quota plan
+            open_place = open_place & ((F.col("label") != label) | (F.col("seq") <= place))
+        if stop is not None:
+            open_place = open_place & (F.col("seq") <= stop)
+        kept = taken.filter(open_place)
+        cut_off = taken.filter(~open_place).agg(F.min("seq")).first()[0]
+        if cut_off is None:
+            return kept
+        # Rows behind a cut-off row that were left out, and that no kept row before them holds.
+        left_out = rows.filter((F.col("seq") > cut_off) & open_place).join(taken.select("seq"), "seq", "left_anti")
+        left_out = cut_lineage(left_out)
+        if left_out.isEmpty():
+            return kept
+        freed = kinds.free(left_out, kept).agg(F.min("seq")).first()[0]
+        if freed is None:
+            return kept
+        before = cut_lineage(kept.filter(F.col("seq") < freed))
+        counts = dict(progress.counts)
+        for row in before.groupBy("label").count().collect():
+            counts[row["label"]] = counts.get(row["label"], 0) + row["count"]
+        open_labels = [label for label, n in progress.quota.items() if counts.get(label, 0) < n]
+        rest = rows.filter((F.col("seq") >= freed) & F.col("label").isin(open_labels))
+        rows = cut_lineage(kinds.unlike(rest, [before]))
+
+
+def _cuts(taken: DataFrame, progress: Progress) -> tuple[dict[str, int], int | None]:
+    """Place of the last row each overfull label may accept, and of the last one the target allows."""
+    counts = {row["label"]: row["count"] for row in taken.groupBy("label").count().collect()}
+    room = {label: progress.quota[label] - progress.counts.get(label, 0) for label in counts}
+    cuts = _places(taken, {label: room[label] for label, n in counts.items() if n > room[label]})
+    kept = sum(min(n, room[label]) for label, n in counts.items())
+    left = progress.target - sum(progress.counts.values())
+    if kept <= left:
+        return cuts, None
+    within = F.lit(True)
+    for label, place in cuts.items():
+        within = within & ((F.col("label") != label) | (F.col("seq") <= place))
+    everything = taken.filter(within).withColumn("label", F.lit("all"))
+    return cuts, _places(everything, {"all": left})["all"]
+
+
+def _places(rows: DataFrame, ranks: dict[str, int]) -> dict[str, int]:
+    """``seq`` of the n-th row of each label in ``ranks``."""
+    if not ranks:
+        return {}
+    shift = 1 << 62
+    keyed = rows.select("label", F.lpad(F.hex(F.col("seq") + shift), 16, "0").alias("key"))
+    found = cutoff_keys(keyed, "label", "key", {label: [n] for label, n in ranks.items()}).collect()
+    return {row["label"]: int(row["cutoff"], 16) - shift for row in found}
+
+
 @dataclass
 class _Kinds:
     """What makes two rows too similar: vectors, near-copied texts, equal texts."""
@@ -126,42 +213,80 @@ class _Kinds:
     def columns(self) -> list[str]:
         return ["embedding"] * self.vectors + ["cleaned_text"] * (self.near_texts or self.equal_texts)
 
-    def decide(self, head: DataFrame, progress: Progress) -> DataFrame:
-        """Mark the accepted rows (``_taken``) of a bounded table that is one sorted partition."""
-        flags = (self.vectors, self.near_texts, self.equal_texts, self.threshold)
-        run = _decider(flags, dict(progress.quota), dict(progress.counts), progress.target)
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in head.schema)
-        return head.mapInArrow(run, f"{columns}, _taken boolean")
+    def first_like(self, rows: DataFrame, other: DataFrame | None = None) -> DataFrame | None:
+        """``seq, first``: of rows that are like one of ``other``, the smallest ``seq`` of those; without
+        ``other``, of rows that are like an earlier row. None if nothing can be compared."""
+        found, against = [], rows if other is None else other
+        if self.vectors and "embedding" in against.columns:
+            own = rows.select("seq", "embedding")
+            found.append(first_similar(own, None if other is None else other.select("seq", "embedding"), self.threshold))
+        if self.near_texts and "cleaned_text" in against.columns:
+            flagged = near_duplicates(rows, "seq", "cleaned_text", index=other)
+            found.append(flagged.filter("status = 'near_dup'").select("seq", F.col("dup_of").alias("first")))
+        if self.equal_texts and "cleaned_text" in against.columns:
+            digest = F.sha2("cleaned_text", 256).alias("digest")
+            firsts = against.groupBy(digest).agg(F.min("seq").alias("first"))
+            met = rows.select("seq", digest).join(firsts, "digest")
+            found.append(met.filter("first < seq" if other is None else "true").select("seq", "first"))
+        if not found:
+            return None
+        return _union(found[1:], found[0]).groupBy("seq").agg(F.min("first").alias("first"))
 
     def unlike(self, rows: DataFrame, others: list[DataFrame]) -> DataFrame:
         """Rows that are like none of ``others``, each with the columns it is compared by."""
         for other in others:
-            found = []
-            if self.vectors and "embedding" in other.columns:
-                near = top_similarity(rows.select("seq", "embedding"), other, at_least=self.threshold)
-                found.append(near.filter("max_similarity IS NOT NULL").select("seq"))
-            if self.near_texts and "cleaned_text" in other.columns:
-                flagged = near_duplicates(rows, "seq", "cleaned_text", index=other)
-                found.append(flagged.filter("status = 'near_dup'").select("seq"))
-            if self.equal_texts and "cleaned_text" in other.columns:
-                found.append(_copies(rows, other).select("seq"))
-            for like in found:
-                rows = rows.join(like, "seq", "left_anti")
+            like = self.first_like(rows, other)
+            rows = rows if like is None else rows.join(like, "seq", "left_anti")
         return rows
 
+    def free(self, rows: DataFrame, other: DataFrame) -> DataFrame:
+        """Rows that are like none of ``other`` before them."""
+        like = self.first_like(rows, other)
+        return rows if like is None else rows.join(like.filter("first < seq"), "seq", "left_anti")
+
+    def independent(self, rows: DataFrame, progress: Progress) -> DataFrame:
+        """The rows that a loop without quotas accepts: like no accepted row before them."""
+        accepted: list[DataFrame] = []
+        while n := rows.count():
+            if n <= LAST_ROWS:
+                accepted.append(cut_lineage(self.in_order(rows)))
+                progress.rounds.append((n, accepted[-1].count()))
+                break
+            held = self.first_like(rows)
+            if held is None:
+                accepted.append(rows)
+                progress.rounds.append((n, n))
+                break
+            held = cut_lineage(held)
+            fresh = cut_lineage(rows.join(held, "seq", "left_anti"))
+            accepted.append(fresh)
+            progress.rounds.append((n, n - held.count()))
+            # Rows whose first is accepted are settled; the others may still be like another one.
+            unsettled = cut_lineage(held.join(fresh.select(F.col("seq").alias("first")), "first", "left_anti").select("seq"))
+            if unsettled.isEmpty():
+                break
+            rows = cut_lineage(self.unlike(rows.join(unsettled, "seq", "left_semi"), [fresh]))
+        return _union(accepted, rows.filter("false"))
+
+    def in_order(self, rows: DataFrame) -> DataFrame:
+        """``independent`` of a bounded table, row by row in one task."""
+        flags = (self.vectors, self.near_texts, self.equal_texts, self.threshold)
+        return rows.coalesce(1).sortWithinPartitions("seq").mapInArrow(_decider(flags), rows.schema)
+
 
 class _Accepted:
-    """Rows accepted within one window, and whether another is like one of them."""
+    """Rows accepted in order, and whether another is like one of them."""
 
     def __init__(self, by_vectors: bool, by_near_texts: bool, by_equal_texts: bool, threshold: float):
         self.by_vectors, self.by_near_texts, self.by_equal_texts = by_vectors, by_near_texts, by_equal_texts
         self.threshold, self.count = threshold, 0
         self.vectors: np.ndarray | None = None
         self.sets: list[np.ndarray] = []
-        self.texts: set[str] = set()
+        self.texts: set[bytes] = set()
 
     def take(self, vector: np.ndarray | None, text: str | None) -> bool:
-        if self.by_equal_texts and text in self.texts:
+        digest = hashlib.sha256((text or "").encode()).digest() if self.by_equal_texts else b""
+        if digest in self.texts:
             return False
         if self.by_vectors and self.count and (self.vectors[: self.count] @ vector).max() >= self.threshold:
             return False
@@ -171,7 +296,7 @@ class _Accepted:
                 return False
             self.sets.append(codes)
         if self.by_equal_texts:
-            self.texts.add(text)
+            self.texts.add(digest)
         if self.by_vectors:
             if self.vectors is None:
                 self.vectors = np.empty((64, len(vector)))
@@ -182,27 +307,19 @@ class _Accepted:
         return True
 
 
-def _decider(flags: tuple[bool, bool, bool, float], quota: dict[str, int], counts: dict[str, int], target: int):
-    """Function over the sorted batches of a window; it holds nothing that belongs to a session."""
+def _decider(flags: tuple[bool, bool, bool, float]):
+    """Function over the sorted batches of a bounded table; it holds nothing that belongs to a session."""
     by_vectors, by_near_texts, by_equal_texts, _ = flags
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Accepted(*flags)
-        tally, total = dict(counts), sum(counts.values())
         for batch in batches:
-            taken = np.zeros(batch.num_rows, bool)
             vectors = matrix(batch.column("embedding")) if by_vectors else None
             texts = batch.column("cleaned_text").to_pylist() if by_near_texts or by_equal_texts else None
-            for row, label in enumerate(batch.column("label").to_pylist()):
-                if total >= target:
-                    break
-                if tally.get(label, 0) >= quota[label]:
-                    continue
-                if index.take(None if vectors is None else vectors[row], texts and texts[row]):
-                    taken[row] = True
-                    tally[label] = tally.get(label, 0) + 1
-                    total += 1
-            yield batch.append_column("_taken", pa.array(taken))
+            taken = [
+                index.take(None if vectors is None else vectors[row], texts and texts[row]) for row in range(batch.num_rows)
+            ]
+            yield batch.filter(pa.array(taken, pa.bool_()))
 
     return run
 
@@ -213,11 +330,6 @@ def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
     return empty
 
 
-def _copies(rows: DataFrame, other: DataFrame) -> DataFrame:
-    known = other.select(F.sha2("cleaned_text", 256).alias("digest")).distinct()
-    return rows.select("seq", F.sha2("cleaned_text", 256).alias("digest")).join(known, "digest", "left_semi")
-
-
 def _seeds(kinds: _Kinds, seed_index: DataFrame | None, seed_texts: DataFrame | None) -> list[DataFrame]:
     """Seed vectors and texts with numbers of their own below zero, which spread them over tiles."""
     number = (-1 - F.monotonically_increasing_id()).alias("seq")

@@ -128,9 +128,36 @@ def best_products(one: Tiles, other: Tiles, earlier_only: bool = False, at_least
     With ``earlier_only`` a row meets rows of smaller ``seq``. With ``at_least`` rows whose best
     is lower are left out; rows that meet nothing always are.
     """
+
+    def best(dots: np.ndarray, seqs: np.ndarray, seqs2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if earlier_only:
+            dots[seqs2[None, :] >= seqs[:, None]] = -np.inf
+        found = dots.max(axis=1)
+        keep = np.isfinite(found) if at_least is None else found >= at_least
+        return seqs[keep], found[keep]
+
+    found = _products(one, other, at_least, best, "max_similarity double")
+    return found.groupBy("seq").agg(F.max("max_similarity").alias("max_similarity"))
+
+
+def first_alike(one: Tiles, other: Tiles, at_least: float, earlier_only: bool = False) -> DataFrame:
+    """``seq, first``: smallest ``seq`` of ``other`` with an inner product of at least ``at_least``;
+    rows without one are left out. With ``earlier_only`` only rows of smaller ``seq`` count."""
+    nothing = np.iinfo(np.int64).max
+
+    def first(dots: np.ndarray, seqs: np.ndarray, seqs2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = np.where(dots >= at_least, seqs2[None, :], nothing).min(axis=1)
+        keep = found < (seqs if earlier_only else nothing)
+        return seqs[keep], found[keep]
+
+    return _products(one, other, at_least, first, "first bigint").groupBy("seq").agg(F.min("first").alias("first"))
+
+
+def _products(one: Tiles, other: Tiles, at_least: float | None, reduce, column: str) -> DataFrame:
+    """``reduce(products, seqs, seqs of other)`` of all pairs of tiles that can reach ``at_least``."""
     spark = one.frame.sparkSession
     if not one.cells or not other.cells:
-        return spark.createDataFrame([], "seq bigint, max_similarity double")
+        return spark.createDataFrame([], f"seq bigint, {column}")
     cells = F.array(
         *[
             F.struct(
@@ -148,6 +175,7 @@ def best_products(one: Tiles, other: Tiles, earlier_only: bool = False, at_least
     )
     heavy = one.frame.select("cell", "tile", "seqs", "data")
     heavy2 = other.frame.select(*[F.col(name).alias(f"{name}2") for name in ("cell", "tile", "seqs", "data")])
+    names = ["seq", column.split()[0]]
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,21 +183,11 @@ def best_products(one: Tiles, other: Tiles, earlier_only: bool = False, at_least
                 seqs, seqs2 = (batch.column(c)[row].values.to_numpy() for c in ("seqs", "seqs2"))
                 data, data2 = (np.frombuffer(batch.column(c)[row].as_buffer()) for c in ("data", "data2"))
                 vectors, vectors2 = data.reshape(len(seqs), -1), data2.reshape(len(seqs2), -1)
-                best = np.full(len(seqs), -np.inf)
                 for at in range(0, len(seqs), 1024):
                     part = slice(at, at + 1024)
-                    dots = vectors[part] @ vectors2.T
-                    if earlier_only:
-                        dots[seqs2[None, :] >= seqs[part, None]] = -np.inf
-                    best[part] = dots.max(axis=1)
-                keep = np.isfinite(best) if at_least is None else best >= at_least
-                yield pa.RecordBatch.from_arrays([pa.array(seqs[keep]), pa.array(best[keep])], ["seq", "max_similarity"])
+                    reduced = reduce(vectors[part] @ vectors2.T, seqs[part], seqs2)
+                    yield pa.RecordBatch.from_arrays([pa.array(values) for values in reduced], names)
 
     spread = pairs.repartition(shuffle_width(spark), "cell", "tile", "cell2", "tile2")
     products = spread.join(heavy, ["cell", "tile"]).join(heavy2, ["cell2", "tile2"])
-    return (
-        products.select("seqs", "data", "seqs2", "data2")
-        .mapInArrow(multiply, "seq bigint, max_similarity double")
-        .groupBy("seq")
-        .agg(F.max("max_similarity").alias("max_similarity"))
-    )
+    return products.select("seqs", "data", "seqs2", "data2").mapInArrow(multiply, f"seq bigint, {column}")

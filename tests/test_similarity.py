@@ -240,6 +240,47 @@ def test_greedy_equals_sequential_loop(spark, case):
     assert sum(progress.counts.values()) == len(taken) + sum((collected or {}).values())
 
 
+@pytest.mark.parametrize(("case", "window"), [(1, 100_000), (2, 60), (3, 100_000)])
+def test_parallel_rounds_equal_sequential_loop(spark, monkeypatch, case, window):
+    """Hardly a row is left to be decided in order; cut labels free rows again."""
+    monkeypatch.setattr(acceptance, "LAST_ROWS", 2)
+    decide = acceptance.greedy_accept
+    logs = []
+
+    def with_window(*args, **named):
+        decided, progress = decide(*args, **{**named, "window": window})
+        logs.extend(progress.rounds)
+        return decided, progress
+
+    monkeypatch.setattr(acceptance, "greedy_accept", with_window)
+    test_greedy_equals_sequential_loop(spark, case)
+    assert any(n > 2 and 0 < taken < n for n, taken in logs)
+
+
+def test_cut_label_frees_rows(spark, monkeypatch):
+    """Row 2 is full, so what it held (4, which held 5) is decided anew."""
+    monkeypatch.setattr(acceptance, "LAST_ROWS", 0)
+    corner = np.eye(8)
+    mix = lambda *parts: sum(parts) / np.linalg.norm(sum(parts))
+    vectors = [corner[0], corner[1], corner[2], corner[3], mix(3 * corner[2], corner[4]), mix(3 * corner[2], 2 * corner[4])]
+    labels = ["a", "a", "a", "b", "b", "b"]
+    df = spark.createDataFrame(
+        [(i, label, None, [float(x) for x in v]) for i, (label, v) in enumerate(zip(labels, vectors))],
+        "seq bigint, label string, gate string, embedding array<float>",
+    )
+    decided, progress = acceptance.greedy_accept(df, {"a": 2, "b": 9}, 9, None, 0.85)
+    assert {r.seq: r.reason for r in decided.collect()} == {
+        0: None, 1: None, 2: "quota_full", 3: None, 4: None, 5: "redundant",
+    }
+    assert progress.cut == {"a": 1}
+
+
+def test_near_copies_and_equal_texts_in_parallel_rounds(spark, monkeypatch):
+    monkeypatch.setattr(acceptance, "LAST_ROWS", 2)
+    test_greedy_with_near_copy_check(spark)
+    test_first_accepted_copy_wins(spark)
+
+
 def test_seed_index_of_several_tiles(spark, monkeypatch):
     """Seeds spread over tiles by numbers of their own, however many there are."""
     monkeypatch.setattr(acceptance, "top_similarity", lambda *a, **k: similarity.top_similarity(*a, **k, tile_rows=20))

@@ -465,6 +465,27 @@ final AS (SELECT taken FROM steps ORDER BY i DESC LIMIT 1)
 SELECT vec_id AS seq, CASE WHEN vec_id IN (SELECT unnest(taken) FROM final) THEN 'accepted' ELSE 'rejected' END AS status
 FROM embeddings
 """
+_OWN_PAIRS = re.sub(
+    r"\b(sizes_l|sizes_r|frequency|ranked_l|ranked_r|prefix_l|prefix_r|pairs|shared|flagged)\b",
+    r"own_\1",
+    _near_pairs("sh_l", "sh_l", "r.doc_id < l.doc_id"),
+)
+ORACLES["greedy_accept_texts"] = f"""
+WITH RECURSIVE {_ROLES}, {_shingles('synthetic', 'sh_l')}, {_shingles('seed', 'sh_r')},
+{_near_pairs('sh_l', 'sh_r', 'true')}, {_OWN_PAIRS},
+ordered AS MATERIALIZED (
+  SELECT doc_id, doc_id IN (SELECT doc_id FROM flagged) AS of_seed, row_number() OVER (ORDER BY doc_id) AS i FROM synthetic),
+held AS MATERIALIZED (SELECT a, list(b) AS near FROM own_shared WHERE 10 * common >= 9 * (na + nb - common) GROUP BY a),
+steps AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS taken
+  UNION ALL
+  SELECT o.i, CASE WHEN of_seed OR list_has_any(s.taken, coalesce(h.near, [])) THEN s.taken
+                   ELSE list_append(s.taken, o.doc_id) END
+  FROM steps s JOIN ordered o ON o.i = s.i + 1 LEFT JOIN held h ON h.a = o.doc_id),
+final AS (SELECT taken FROM steps ORDER BY i DESC LIMIT 1)
+SELECT doc_id AS seq, CASE WHEN doc_id IN (SELECT unnest(taken) FROM final) THEN 'accepted' ELSE 'rejected' END AS status
+FROM synthetic
+"""
 _LEDGER = f"""
 {_GREEDY},
 cuts AS (

@@ -371,6 +371,21 @@ def greedy_accept_all(spark, sf_dir):
     return decided.select("seq", "status")
 
 
+@query
+def greedy_accept_texts(spark, sf_dir):
+    """Near-copied texts alone decide (no vectors), with the seed texts as index."""
+    rows = data.synthetic_rows(spark, sf_dir).select(
+        F.col("doc_id").alias("seq"),
+        F.lit("any").alias("label"),
+        F.lit(None).cast("string").alias("gate"),
+        F.col("text").alias("cleaned_text"),
+    )
+    seeds = data.seed_rows(spark, sf_dir).select(F.col("text").alias("cleaned_text"))
+    n = rows.count()
+    decided, _ = acceptance.greedy_accept(rows, {"any": n}, n, use_minhash=True, seed_texts=seeds)
+    return decided.select("seq", "status")
+
+
 def _ledger(spark, sf_dir):
     gated = _gated(spark, sf_dir)
     return acceptance.candidate_ledger(gated, _decided(spark, sf_dir, gated), ["fidelity", "naturalness", "utility"])
