@@ -15,6 +15,10 @@ from seedloom.operators.responses import parse_evaluation_response, snap_label
 from seedloom.session import cut_lineage
 
 
+#: Ground-truth labels a dense confusion matrix may have: four million cells in one row.
+MAX_DENSE_LABELS = 2_000
+
+
 def ground_truth_content(messages: Column) -> Column:
     """Content of the first assistant turn strictly between the first and the last turn."""
     between = F.slice(messages, F.lit(2), F.greatest(F.size(messages) - 2, F.lit(0)))
@@ -80,9 +84,31 @@ def eval_pairs(predictions: DataFrame, labels: list[str], compat: bool = False)
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
-    """The (ground truth, prediction) count table of the usable pairs."""
+    """The (ground truth, prediction) count table of the usable pairs.
+
+    ``n_json`` counts pairs whose prediction was read as JSON (null without ``parse_status``).
+    """
     usable = pairs.filter(F.col("defect").isNull()) if "defect" in pairs.columns else pairs
-    return usable.groupBy("gt", "pred").agg(F.count("*").alias("n"))
+    is_json = F.lit(None).cast("bigint")
+    if "parse_status" in pairs.columns:
+        is_json = F.when(F.col("parse_status") == "json", 1).otherwise(0).cast("bigint")
+    return usable.groupBy("gt", "pred").agg(F.count("*").alias("n"), F.sum(is_json).alias("n_json"))
+
+
+def outcome_rates(counts: DataFrame) -> DataFrame:
+    """``invalid_json_rate`` (null if replies were not parsed here) and ``unknown_rate`` of all rows."""
+    unknown = F.sum(F.when(F.col("pred") == UNKNOWN, F.col("n")).otherwise(0))
+    rates = counts.agg(
+        F.sum("n").alias("n_rows"),
+        (1 - F.sum("n_json") / F.sum("n")).alias("invalid_json_rate"),
+        (unknown / F.sum("n")).alias("unknown_rate"),
+    )
+    return rates.filter(F.col("n_rows") > 0).drop("n_rows")
+
+
+def confusion_cells(counts: DataFrame) -> DataFrame:
+    """``actual, predicted, n`` of the cells that occur, predictions outside the ground truth included."""
+    return counts.select(F.col("gt").alias("actual"), F.col("pred").alias("predicted"), "n")
 
 
 def accuracy(counts: DataFrame) -> DataFrame:
@@ -153,11 +179,16 @@ def macro_f1(counts: DataFrame) -> DataFrame:
 
 
 def eval_report(pairs: DataFrame) -> DataFrame:
-    """One-row report: accuracy, macro F1, per-label metrics, dense confusion matrix, labels.
+    """One-row report: accuracy, macro F1, outcome rates, per-label metrics, dense confusion matrix, labels.
 
-    The count table (labels x labels rows) is materialised, so the pairs are scanned once.
+    The count table is materialised, so the pairs are scanned once. A dense matrix of more than
+    ``MAX_DENSE_LABELS`` ground-truth labels is no cell of a report: that raises, and
+    ``confusion_cells`` has the cells that occur.
     """
     counts = cut_lineage(pair_counts(pairs))
+    n_labels = counts.agg(F.count_distinct("gt")).first()[0]
+    if n_labels > MAX_DENSE_LABELS:
+        raise ValueError(f"{n_labels} labels are too many for a dense matrix; use confusion_cells")
     metrics = label_metrics(counts).agg(
         F.map_from_entries(
             F.array_sort(F.collect_list(F.struct("label", F.struct("precision", "recall", "f1", "support").alias("m"))))
@@ -176,6 +207,8 @@ def eval_report(pairs: DataFrame) -> DataFrame:
     return metrics.filter(F.size("labels") > 0).select(
         accuracy(counts).select("accuracy").scalar().alias("accuracy"),
         macro_f1(counts).select("macro_f1").scalar().alias("macro_f1"),
+        outcome_rates(counts).select("invalid_json_rate").scalar().alias("invalid_json_rate"),
+        outcome_rates(counts).select("unknown_rate").scalar().alias("unknown_rate"),
         "label_metrics",
         matrix.scalar().alias("confusion_matrix"),
         "labels",

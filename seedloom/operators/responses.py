@@ -5,8 +5,14 @@ Every parser adds a status column, so outcome rates are plain aggregations.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from seedloom.functions.columns import with_computed
 from seedloom.functions.jsontext import (
@@ -35,6 +41,9 @@ MIN_QUOTED_LENGTH = 10
 SHORT_ANSWER_WORDS = 5
 PARSE_FAILED = "ERROR: Parsing Failed"
 
+#: Labels compared one by one inside an expression; longer lists are searched by automaton.
+LISTED_LABELS = 100
+
 _STRING_LISTS = ("ARRAY<STRING>", "ARRAY<VOID>")
 _NO_TEXTS = "array<string>"
 
@@ -165,20 +174,89 @@ def snap_label(raw: Column | str, labels: list[str], compat: bool = False) -> Co
     it or is contained in it (case-insensitive), else ``unknown``.
 
     A white-space label is ``unknown``; ``compat=True`` snaps it to the first label,
-    because the empty string is part of every label.
+    because the empty string is part of every label. Longer label lists than ``LISTED_LABELS``
+    are searched by automaton in Arrow batches; shorter ones stay in one expression.
     """
     raw = as_column(raw)
     low = F.lower(strip(raw))
     if not labels:
         return F.lit(UNKNOWN)
+    unusable = F.coalesce(raw, F.lit("")) == "" if compat else is_blank(raw)
+    if len(labels) > LISTED_LABELS:
+        snapped = F.coalesce(label_finder(labels)(low), F.lit(UNKNOWN))
+        return F.when(unusable, F.lit(UNKNOWN)).otherwise(snapped)
     pairs = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(v.lower()).alias("low")) for v in labels])
     exact = F.get(F.filter(pairs, lambda p: p["low"] == low), F.lit(0))["v"]
     partial = F.get(F.filter(pairs, lambda p: F.contains(p["low"], low) | F.contains(low, p["low"])), F.lit(0))["v"]
     snapped = F.coalesce(exact, partial, F.lit(UNKNOWN))
-    unusable = F.coalesce(raw, F.lit("")) == "" if compat else is_blank(raw)
     return F.when(unusable, F.lit(UNKNOWN)).otherwise(snapped)
 
 
+class LabelSearch:
+    """First label, in list order, equal to a text, else containing it or contained in it.
+
+    Labels inside the text are found by one pass of an Aho-Corasick automaton over it. Labels
+    around it: all labels stand one after the other in one string, so the first place where it
+    occurs there is in the first such label. Texts are remembered up to a bound.
+    """
+
+    REMEMBERED = 100_000
+
+    def __init__(self, labels: list[str]):
+        import ahocorasick
+
+        low = [label.lower() for label in labels]
+        self.first = {}
+        for number, label in enumerate(low):
+            self.first.setdefault(label, number)
+        used = set("".join(low))
+        self.gap = next(chr(code) for code in range(0xE000, 0xF8FF) if chr(code) not in used)
+        self.joined = self.gap.join(low)
+        self.starts = list(accumulate((len(label) + 1 for label in low), initial=0))
+        self.automaton = ahocorasick.Automaton()
+        for label, number in self.first.items():
+            if label:
+                self.automaton.add_word(label, number)
+        self.automaton.make_automaton()
+        self.known: dict[str, int | None] = {}
+
+    def find(self, text: str) -> int | None:
+        if text in self.first:
+            return self.first[text]
+        if text not in self.known:
+            if len(self.known) >= self.REMEMBERED:
+                self.known.clear()
+            inside = (number for _, number in self.automaton.iter(text)) if len(self.automaton) else ()
+            found = min(inside, default=self.first.get(""))
+            if "" in self.first and found is not None:
+                found = min(found, self.first[""])
+            at = -1 if self.gap in text else self.joined.find(text)
+            if at >= 0:
+                around = bisect_right(self.starts, at) - 1
+                found = around if found is None else min(found, around)
+            self.known[text] = found
+        return self.known[text]
+
+
+_searches: dict[int, LabelSearch] = {}
+
+
+def label_finder(labels: list[str]):
+    """Column function from a lower-case text to its label, or NULL."""
+    key = hash(tuple(labels))
+
+    @arrow_udf(StringType())
+    def find(low: pa.Array) -> pa.Array:
+        if key not in _searches:  # one list of labels per Python worker
+            _searches.clear()
+            _searches[key] = LabelSearch(labels)
+        search = _searches[key]
+        found = [None if text is None else search.find(text) for text in low.to_pylist()]
+        return pa.array([None if number is None else labels[number] for number in found], pa.string())
+
+    return find
+
+
 def _label_of(obj: Column) -> Column:
     """Text of the object's ``label`` value; NULL when there is no such key."""
     entry = F.try_element_at(entries_for(obj, "label"), F.lit(-1))

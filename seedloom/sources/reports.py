@@ -12,7 +12,7 @@ from seedloom.sources.seed import path_exists
 MESSAGES = "array<struct<role:string,content:string>>"
 
 EVALUATION_REPORT = (
-    "accuracy double, macro_f1 double, "
+    "accuracy double, macro_f1 double, invalid_json_rate double, unknown_rate double, "
     "label_metrics map<string,struct<precision:double,recall:double,f1:double,support:bigint>>, "
     "confusion_matrix array<array<bigint>>, labels array<string>"
 )
@@ -37,6 +37,8 @@ def fill_evaluation_defaults(reports: DataFrame) -> DataFrame:
     defaults = {
         "accuracy": F.lit(0.0),
         "macro_f1": F.lit(0.0),
+        "invalid_json_rate": F.lit(0.0),
+        "unknown_rate": F.lit(0.0),
         "label_metrics": F.create_map(),
         "confusion_matrix": F.array(),
         "labels": F.array(),
@@ -61,6 +63,7 @@ def read_trials(spark: SparkSession, candidates: list[str], run_id: str) -> Data
 
 def trial_paths(run_id: str) -> list[str]:
     """Places a tuning run may leave its trials table, in order of preference."""
+    # File name and folders.
     name = "trials_results.csv"
     return [f"runs/{run_id}/training/output/{name}", f"output/{name}", f"runs/{run_id}/output/{name}"]
 

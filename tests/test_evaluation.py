@@ -44,6 +44,19 @@ def test_metrics(spark):
     assert report.labels == ["a", "b", "c"]
     assert report.confusion_matrix == [[cells[(a, b)] for b in "abc"] for a in "abc"]
     assert report.label_metrics["a"].support == want["a"][3]
+    assert report.invalid_json_rate is None and report.unknown_rate == 0.0
+
+
+def test_report_rates_and_dense_limit(spark, monkeypatch):
+    rows = [("a", "a", "json", None), ("a", "unknown", "failed", None), ("b", "b", "line", None), ("b", "b", "json", "broken_turn")]
+    pairs = spark.createDataFrame(rows, "gt string, pred string, parse_status string, defect string")
+    report = evaluation.eval_report(pairs).first()
+    assert report.invalid_json_rate == pytest.approx(2 / 3) and report.unknown_rate == pytest.approx(1 / 3)
+    cells = evaluation.confusion_cells(evaluation.pair_counts(pairs)).collect()
+    assert sorted(map(tuple, cells)) == [("a", "a", 1), ("a", "unknown", 1), ("b", "b", 1)]
+    monkeypatch.setattr(evaluation, "MAX_DENSE_LABELS", 1)
+    with pytest.raises(ValueError, match="confusion_cells"):
+        evaluation.eval_report(pairs)
 
 
 def test_no_pairs_give_no_rows(spark):

@@ -185,3 +185,32 @@ def test_filter_after_parse_keeps_one_parse(spark):
     df = responses.judge_scores(spark.range(5).select(F.lit("{}").alias("judge_raw_output"), "id")).filter("judge_status = 'ok'")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") + plan.count("parse_json") <= 1
+
+
+def snapped(spark, raw, labels, compat=False):
+    df = spark.createDataFrame(list(enumerate(raw)), "i int, raw string").repartition(2)
+    rows = df.withColumn("s", responses.snap_label("raw", labels, compat)).collect()
+    return [row.s for row in sorted(rows, key=lambda row: row.i)]
+
+
+@pytest.mark.parametrize("compat", [False, True])
+@pytest.mark.parametrize("labels", [["b", "Abc", "bc", "é a", "", "x y"], ["Abc", "ab", "c"], ["a" * 5, "aa", "\ue000b"]])
+def test_automaton_snaps_as_the_expression(spark, monkeypatch, labels, compat):
+    rng = random.Random(3)
+    raw = [None, "", " ", "ABC", "xbcx", "É A!", "x", "y", "zz", "\ue000", "aaa", "aaaaaaa", "İ"]
+    raw += ["".join(rng.choice("abcxy É") for _ in range(rng.randint(0, 6))) for _ in range(200)]
+    listed = snapped(spark, raw, labels, compat)
+    monkeypatch.setattr(responses, "LISTED_LABELS", 0)
+    assert snapped(spark, raw, labels, compat) == listed
+
+
+def test_fifty_thousand_labels(spark):
+    labels = sorted({f"label {i * 7919 % 100_003:06d} {'abc'[i % 3]}" for i in range(50_000)})
+    raw = [f"It is {labels[k].upper()}, surely" if k % 2 else labels[k][6:13] for k in range(0, 50_000, 97)] + ["none of them"] * 3
+    got = snapped(spark, raw, labels)
+    low = [label.lower() for label in labels]
+    for text, label in list(zip(raw, got, strict=True))[::25]:
+        text = text.lower()
+        exact = [x for x in low if x == text]
+        want = (exact or [x for x in low if x in text or text in x] or ["unknown"])[0]
+        assert label == want

@@ -831,6 +831,8 @@ grid AS (
   FROM truth a CROSS JOIN truth b LEFT JOIN cells c ON c.gt = a.gt AND c.pred = b.gt GROUP BY a.gt)
 SELECT (SELECT round(avg(CASE WHEN gt = pred THEN 1.0 ELSE 0.0 END), 6) FROM pairs) AS accuracy,
        (SELECT round(avg(f1), 6) FROM metrics) AS macro_f1,
+       (SELECT round(avg(CASE WHEN parse_status = 'json' THEN 0.0 ELSE 1.0 END), 6) FROM pairs) AS invalid_json_rate,
+       (SELECT round(avg(CASE WHEN pred = 'unknown' THEN 1.0 ELSE 0.0 END), 6) FROM pairs) AS unknown_rate,
        (SELECT string_agg(line, '|' ORDER BY actual) FROM grid) AS confusion_matrix,
        (SELECT string_agg(gt, '|' ORDER BY gt) FROM truth) AS labels,
        CAST((SELECT count(*) FROM truth) AS INTEGER) AS n_label_metrics

@@ -641,7 +641,7 @@ def eval_report(spark, sf_dir):
     report = reports.read_evaluation_report(spark, path)
     lines = F.transform("confusion_matrix", lambda row: F.array_join(row.cast("array<string>"), ","))
     return report.select(
-        *rounded("accuracy", "macro_f1"),
+        *rounded("accuracy", "macro_f1", "invalid_json_rate", "unknown_rate"),
         joined(lines).alias("confusion_matrix"),
         joined("labels").alias("labels"),
         F.size("label_metrics").alias("n_label_metrics"),
