@@ -49,7 +49,7 @@ from seedloom.llm.tables import written
 
 WORDS = 4
 PERCENT = 85
-BUCKET_KEYS = 3_000_000
+BUCKET_KEYS = 1_000_000
 SKETCH_BINS = 512
 #: Bits of an entry: subset in the index, subset looked up, one-deletion in the index, looked up.
 INDEX, PROBE, INDEX_LESS, PROBE_LESS = 1, 2, 4, 8
@@ -349,8 +349,10 @@ class _Join:
     def __init__(self, docs: DataFrame, words: int, percent: int):
         self.percent, self.words, self.source = percent, words, docs
         n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        # A key for about three words of text, and six bytes a word.
-        buckets = max(1, math.ceil(n_bytes / 15 / BUCKET_KEYS))
+        # A key for about three words of text at 85 percent, and six bytes a word; a set has as many
+        # segments as two linked sets of its size may differ in.
+        keys = n_bytes / 15 * (100 - percent) / (100 + percent) * 185 / 15
+        buckets = max(1, math.ceil(keys / BUCKET_KEYS))
         met = written(
             docs.mapInArrow(_map(buckets, words, percent), f"{BLOCKS}, docs array<struct<{_struct(_DOCS)}>>")
             .groupBy("bucket")

@@ -315,7 +315,22 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     return _predicted(docs, ["doc_id"], per_language).withColumnRenamed("c0", "doc_id")
 
 
-def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """All columns of the rows of ``docs`` whose language can be told."""
-    told = _predicted(docs, docs.columns, per_language).filter(F.col("lang_pred") != UNDETERMINED)
-    return told.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
+#: Documents whose best language scores less are rejected by ``with_language``.
+MIN_SCORE = 0.5
+
+
+def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE, min_score: float = MIN_SCORE) -> DataFrame:
+    """Rows of ``docs`` whose language can be told, with ``lang`` filled in where it is null.
+
+    A row goes if it has no letter or its best language scores less than ``min_score``. Where no row
+    has a language to learn from, nothing can be told and all rows stay as they are. Columns stay.
+    """
+    if docs.filter("lang IS NOT NULL AND text IS NOT NULL").isEmpty():
+        return docs
+    told = _predicted(docs, docs.columns, per_language)
+    kept = told.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    names = {f"c{i}": name for i, name in enumerate(docs.columns)}
+    filled = [
+        F.coalesce(c, "lang_pred").alias(name) if name == "lang" else F.col(c).alias(name) for c, name in names.items()
+    ]
+    return kept.select(*filled)

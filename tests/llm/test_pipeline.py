@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from seedloom.llm.oracles import ORACLES
@@ -11,7 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are
 
 
 def test_one_query_for_each_operator():
-    assert sorted(name.split("_")[0] for name in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(name.split("_")[0] for name in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -49,6 +50,33 @@ def test_near_duplicates_with_repeated_and_null_ids(spark):
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_language_stage_decides_by_score_and_fills_in(spark):
+    docs = table(spark, SF, "documents")
+    odd = [(20_001, "ZQX 88 WVZQ 0x", None, "s", 1), (20_002, docs.filter("lang IS NOT NULL").first().text, None, "s", 1)]
+    left = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(odd, docs.schema)), SF)
+    langs = {r.doc_id: r.lang for r in left.filter("doc_id > 20000").collect()}
+    assert langs[20_002] is not None
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, unlabelled, SF).count() == docs.count()
+
+
+def test_decontamination_with_null_and_shared_ids(spark):
+    passage = table(spark, SF, "benchmark").orderBy(F.length("text").desc()).first().text
+    clean = " ".join(f"clean{k}" for k in range(60))
+    rows = [(None, passage), (5, clean + " " + passage), (5, clean), (5, clean), (None, clean), (6, None), (7, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], table(spark, SF, "documents").schema)
+    left = corpus_pipeline.decontamination(spark, frame, SF)
+    assert left.columns == frame.columns
+    want = [(5, clean), (5, clean), (None, clean), (6, None), (7, "")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_personal_data_without_counts(spark):
+    frame = spark.createDataFrame([(1, "call 372-555-7739"), (1, None)], "doc_id long, text string")
+    left = corpus_pipeline.personal_data(spark, frame, SF)
+    assert left.columns == frame.columns and left.count() == 2
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(rows[0].asDict())
