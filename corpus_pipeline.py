@@ -15,7 +15,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told: no text, or no letter in it."""
+    """Drop documents whose language cannot be told, and fill in a null ``lang``.
+
+    Rejected are texts that are null, empty or without a letter, and those whose best language scores
+    less than ``language.MIN_SCORE``. Repeated rows are judged alike; without any labelled row, or
+    without rows, nothing is dropped. Other columns pass unread.
+    """
     return language.with_language(docs)
 
 
@@ -45,19 +50,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+    """Drop documents that hold a passage of the benchmark.
+
+    Decided by text: null and repeated ids play no part, and all rows of a leaking text go. Null and
+    empty texts hold no passage and stay; an empty table gives none.
+    """
+    key = F.sha2(F.col("text"), 256)
+    texts = docs.select(key.alias("doc_id"), "text").filter("text IS NOT NULL")
+    leaks = decontaminate.find_leaks(texts, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, F.coalesce(key, F.lit("")) == leaks["doc_id"], "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put pseudonyms for personal data; ``n_chars`` follows the new text."""
+    """Put pseudonyms for personal data; ``n_chars``, if there is one, follows the new text.
+
+    Null texts stay null; every row stays, repeated ones too; other columns pass unread.
+    """
     changed = pii.pseudonymize(docs, PSEUDONYM_KEY)
+    if "n_chars" not in docs.columns:
+        return changed
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text that is left, and digests of ids and of the decoded bytes."""
+    """Token ids of every text that is left, and digests of ids and of the decoded bytes.
+
+    Null and empty texts have no ids; every row stays, null and repeated ids too.
+    """
     return byte_bpe.round_trip(
         docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
