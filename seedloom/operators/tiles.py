@@ -6,7 +6,9 @@ tiles meet in an equi-join on the tile's key and are multiplied in the tasks; on
 product of a row leaves one. Neither table passes through the driver or is broadcast.
 
 With ``at_least`` a tile only meets the cells whose angle it can reach, which loses nothing
-for unit vectors; a tile that holds other vectors meets all cells.
+for unit vectors; a tile that holds other vectors meets all cells. Without it, rows search best
+first: each asks the cell that promises most, then more cells each round, while one of them can
+still beat the best product found (angle to the cell's pivot less the cell's widest angle).
 """
 
 from __future__ import annotations
@@ -136,10 +138,93 @@ def best_products(one: Tiles, other: Tiles, earlier_only: bool = False, at_least
         keep = np.isfinite(found) if at_least is None else found >= at_least
         return seqs[keep], found[keep]
 
+    if at_least is None and len(other.cells) > 1 and one.cells:
+        return _best_first(one, other, best)
     found = _products(one, other, at_least, best, "max_similarity double")
     return found.groupBy("seq").agg(F.max("max_similarity").alias("max_similarity"))
 
 
+_STATE = "seq bigint, vector binary, best double"
+_ASKED = "seq bigint, vector binary, cell int"
+
+
+def _rows_of(tiles: Tiles) -> DataFrame:
+    """Rows of packed tiles, with no product yet."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                seqs = batch.column("seqs")[row].values
+                vectors = np.frombuffer(batch.column("data")[row].as_buffer()).reshape(len(seqs), -1)
+                columns = [seqs, pa.array([v.tobytes() for v in vectors], pa.binary()), pa.nulls(len(seqs), pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["seq", "vector", "best"])
+
+    return tiles.frame.select("seqs", "data").mapInArrow(unpack, _STATE)
+
+
+def ask_cells(state: DataFrame, cells: list[tuple[int, list[float], float, int]], first: int, last: int) -> DataFrame:
+    """Cells of ranks ``first .. last`` in each row's order of promise that can beat its best product."""
+    numbers = np.array([cell for cell, *_ in cells], np.int32)
+    pivots = np.array([pivot for _, pivot, *_ in cells])
+    reach = np.array([radius for *_, radius, _ in cells])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = np.frombuffer(b"".join(batch.column("vector").to_pylist())).reshape(batch.num_rows, -1)
+            lengths = np.sqrt((vectors * vectors).sum(axis=1))
+            unit = np.abs(lengths - 1) <= 1e-3
+            nearest = np.arccos(np.clip(vectors @ pivots.T / np.maximum(lengths, 1e-300)[:, None], -1, 1)) - reach
+            nearest[~unit] = -math.pi  # promises hold for unit vectors; others ask every cell
+            order = np.argsort(nearest, axis=1, kind="stable")[:, first:last]
+            best = batch.column("best").to_numpy(zero_copy_only=False).astype(float)
+            bound = np.where(np.isnan(best), math.inf, np.arccos(np.clip(best, -1, 1)) + 1e-3)
+            row, rank = np.nonzero(np.take_along_axis(nearest, order, axis=1) <= bound[:, None])
+            rows = pa.array(row)
+            columns = [batch.column("seq").take(rows), batch.column("vector").take(rows), pa.array(numbers[order[row, rank]])]
+            yield pa.RecordBatch.from_arrays(columns, ["seq", "vector", "cell"])
+
+    return state.mapInArrow(ask, _ASKED)
+
+
+def _best_first(one: Tiles, other: Tiles, reduce) -> DataFrame:
+    """``best_products`` by rounds of 1, 2, 4, ... cells; rows that no cell can improve drop out."""
+
+    def pack_asking(table: pa.Table) -> pa.Table:
+        first = table.slice(0, 1)
+        seqs = pa.array([table["seq"].to_pylist()], pa.list_(pa.int64()))
+        data = pa.array([b"".join(table["vector"].to_pylist())], pa.binary())
+        return pa.table({"cell": first["cell"], "part": first["part"], "seqs": seqs, "data": data})
+
+    state, first, done = cut_lineage(_rows_of(one)), 0, None
+    while first < len(other.cells):
+        last = 2 * first + 1
+        asked = cut_lineage(ask_cells(state, other.cells, first, last))
+        if asked.isEmpty():
+            break
+        sizes = asked.groupBy("cell").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("parts"))
+        parts = asked.join(F.broadcast(sizes), "cell").withColumn(  # a row per pivot
+            "part", F.pmod(F.xxhash64("seq", F.lit(2)), F.col("parts")).cast("int")
+        )
+        tiles = parts.drop("parts").groupBy("cell", "part").applyInArrow(
+            pack_asking, "cell int, part int, seqs array<bigint>, data binary"
+        )
+        heavy2 = other.frame.select("cell", F.col("seqs").alias("seqs2"), F.col("data").alias("data2"))
+        met = tiles.join(heavy2, "cell").select("seqs", "data", "seqs2", "data2")
+        better = met.mapInArrow(_multiplier(reduce, ["seq", "max_similarity"]), "seq bigint, max_similarity double")
+        better = better.groupBy("seq").agg(F.max("max_similarity").alias("found"))
+        joined = state.join(better, "seq", "left").select("seq", "vector", F.greatest("best", "found").alias("best"))
+        asking = asked.select("seq").distinct().withColumn("asked", F.lit(True))
+        marked = cut_lineage(joined.join(asking, "seq", "left"))
+        settled = marked.filter("asked IS NULL").select("seq", "best")
+        done = settled if done is None else done.unionByName(settled)
+        state, first = marked.filter("asked").select("seq", "vector", "best"), last
+    rest = state.select("seq", "best")
+    found = rest if done is None else done.unionByName(rest)
+    return found.filter("best IS NOT NULL").select("seq", F.col("best").alias("max_similarity"))
+
+
 def first_alike(one: Tiles, other: Tiles, at_least: float, earlier_only: bool = False) -> DataFrame:
     """``seq, first``: smallest ``seq`` of ``other`` with an inner product of at least ``at_least``;
     rows without one are left out. With ``earlier_only`` only rows of smaller ``seq`` count."""
@@ -177,6 +262,14 @@ def _products(one: Tiles, other: Tiles, at_least: float | None, reduce, column:
     heavy2 = other.frame.select(*[F.col(name).alias(f"{name}2") for name in ("cell", "tile", "seqs", "data")])
     names = ["seq", column.split()[0]]
 
+    spread = pairs.repartition(shuffle_width(spark), "cell", "tile", "cell2", "tile2")
+    products = spread.join(heavy, ["cell", "tile"]).join(heavy2, ["cell2", "tile2"])
+    return products.select("seqs", "data", "seqs2", "data2").mapInArrow(_multiplier(reduce, names), f"seq bigint, {column}")
+
+
+def _multiplier(reduce, names: list[str]):
+    """Products of the packed vectors of two tiles, reduced to values per row."""
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -188,6 +281,4 @@ def _products(one: Tiles, other: Tiles, at_least: float | None, reduce, column:
                     reduced = reduce(vectors[part] @ vectors2.T, seqs[part], seqs2)
                     yield pa.RecordBatch.from_arrays([pa.array(values) for values in reduced], names)
 
-    spread = pairs.repartition(shuffle_width(spark), "cell", "tile", "cell2", "tile2")
-    products = spread.join(heavy, ["cell", "tile"]).join(heavy2, ["cell2", "tile2"])
-    return products.select("seqs", "data", "seqs2", "data2").mapInArrow(multiply, f"seq bigint, {column}")
+    return multiply

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seedloom.functions import shingles
-from seedloom.operators import acceptance, near_copies, similarity
+from seedloom.operators import acceptance, near_copies, similarity, tiles
 
 WORDS = [f"w{i:03d}" for i in range(400)]
 
@@ -117,6 +117,29 @@ def test_near_duplicates_of_an_index(spark):
         assert got[i].dup_of == min(hits, default=None)
 
 
+@pytest.mark.parametrize("earlier", [False, True])
+def test_best_first_search_asks_few_cells(spark, monkeypatch, earlier):
+    rng = np.random.default_rng(5)
+    vectors = unit(rng, 400, d=16, clusters=12, noise=0.03)
+    vectors[7] *= 3  # not of unit length: asks everywhere
+    asks = []
+    ask = tiles.ask_cells
+
+    def counted(*args):
+        asked = ask(*args)
+        asks.append(asked.count())
+        return asked
+
+    monkeypatch.setattr(tiles, "ask_cells", counted)
+    frame = vector_frame(spark, vectors)
+    got = {r.seq: r.max_similarity for r in similarity.top_similarity(frame, frame, earlier, tile_rows=20).collect()}
+    dots = vectors.astype(float) @ vectors.astype(float).T
+    for i in range(len(vectors)):
+        seen = dots[i, :i] if earlier else dots[i]
+        assert got[i] == (pytest.approx(seen.max(), abs=1e-9) if len(seen) else None)
+    assert len(asks) > 1 and sum(asks) < 0.6 * 20 * len(vectors)
+
+
 def test_exact_copies(spark):
     seed = spark.createDataFrame([("a",), ("b",)], "text string")
     rows = spark.createDataFrame([(5, "c"), (3, "c"), (1, "a"), (9, "d")], "seq bigint, text string")
