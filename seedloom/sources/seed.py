@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from seedloom.functions.jsontext import is_json
 from seedloom.functions.text import WHITESPACE, strip
+from seedloom.sources import ranges
 
 CORRUPT = "_corrupt_record"
 MALFORMED = "malformed"
@@ -64,15 +65,27 @@ def _csv_cell(field: str) -> Column:
 
 
 def read_seed_json(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
-    """Read files holding one JSON array each; a lone value becomes a single row."""
-    documents = spark.read.text(path, wholetext=True).select(strip("value").alias("doc"))
-    elements = F.from_json("doc", "array<string>", {"allowSingleQuotes": "false"})
-    is_array = F.col("doc").startswith("[") & is_json("doc")
-    values = documents.select(
-        (~is_array).alias("unchecked"),
-        F.explode(F.when(is_array, elements).otherwise(F.array("doc"))).alias("value"),
+    """Read files holding one JSON array each; a lone value becomes a single row.
+
+    Ranges of a file are read by several tasks (``ranges``). A stretch of a file that is no list of
+    JSON values is one malformed row; the others stay.
+    """
+    found = ranges.array_segments(spark, path).withColumn("text", strip("text"))
+    found = found.filter((F.col("text") != "") | F.col("is_last"))
+    closed = F.col("text").endswith("]")
+    body = F.when(F.col("is_last") & closed, F.expr("substring(_body, 1, length(_body) - 1)")).otherwise(F.col("_body"))
+    found = found.withColumn("_body", F.regexp_replace("text", r"\A[\[,]", "")).withColumn("_body", body)
+    listed = F.concat(F.lit("["), F.col("_body"), F.lit("]"))
+    elements = F.from_json("_listed", "array<string>", {"allowSingleQuotes": "false"})
+    elements = F.transform(elements, lambda x: F.coalesce(x, F.lit("null")))
+    proper = F.col("is_array") & is_json("_listed") & (closed | ~F.col("is_last"))
+    lone = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(
+        F.array(F.when(F.col("is_array"), strip("_body")).otherwise(F.col("text")))
     )
-    return _object_rows(values, mode)
+    values = found.withColumn("_listed", listed).select(
+        "file", "record", (~proper).alias("unchecked"), (F.col("is_array") & ~proper).alias("broken"), F.when(proper, elements).otherwise(lone).alias("values")
+    )
+    return _object_rows(ranges.numbered(values, "values", "row_idx"), mode, "row_idx")
 
 
 def read_seed_jsonl(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
@@ -84,7 +97,7 @@ def read_seed_jsonl(spark: SparkSession, path: str, mode: str = "failfast") -> D
 _RAW_SCHEMA = "row_idx bigint, raw map<string,string>, is_object boolean, defect string"
 
 
-def _object_rows(values: DataFrame, mode: str) -> DataFrame:
+def _object_rows(values: DataFrame, mode: str, index: str | None = None) -> DataFrame:
     if mode not in ("failfast", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}; use 'failfast' or 'quarantine'")
     looks_like_object = F.ltrim("value", F.lit(WHITESPACE)).startswith("{")
@@ -97,12 +110,14 @@ def _object_rows(values: DataFrame, mode: str) -> DataFrame:
         F.lit(0),
     )
     malformed = F.col("unchecked") & ~is_json("value")
+    if "broken" in values.columns:
+        malformed = malformed | F.col("broken")
     defect = F.when(malformed, F.lit(MALFORMED))
     if mode == "failfast":
         message = F.concat(F.lit("malformed JSON row: "), F.col("value"))
         defect = F.when(malformed, F.raise_error(message)).otherwise(defect)
     return values.select(
-        F.monotonically_increasing_id().alias("row_idx"),
+        (F.col(index) if index else F.monotonically_increasing_id()).alias("row_idx"),
         F.when(looks_like_object, F.transform_values(typed, _scalar_text)).alias("raw"),
         looks_like_object.alias("is_object"),
         defect.cast("string").alias("defect"),

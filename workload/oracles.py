@@ -85,6 +85,19 @@ synthetic AS (SELECT doc_id, text, lang AS label FROM documents WHERE doc_id NOT
 """
 
 ORACLES["label_distribution"] = f"WITH {_ROLES} SELECT label, count(*) AS n FROM seed GROUP BY label"
+ORACLES["json_array_round_trip"] = """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, text, source AS label, CAST(doc_id AS VARCHAR) AS doc_id FROM documents
+"""
+ORACLES["trials_csv_round_trip"] = """
+SELECT 'run 1' AS run_id, CAST(o_orderkey AS VARCHAR) AS number, o_orderpriority AS note, round(CAST(o_totalprice AS DOUBLE), 2) AS value
+FROM orders
+"""
+ORACLES["predictions_round_trip"] = """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line, CASE WHEN doc_id % 7 <> 3 THEN 2 END AS turns,
+       CASE WHEN doc_id % 7 <> 3 THEN source END AS reply, CASE WHEN doc_id % 7 = 3 THEN 'malformed' END AS defect
+FROM documents
+"""
+ORACLES["report_labels"] = "SELECT source AS label, count(*) AS n_rows FROM documents WHERE source IS NOT NULL GROUP BY source"
 ORACLES["detected_labels"] = "SELECT string_agg(DISTINCT source, '|' ORDER BY source) AS labels FROM documents"
 ORACLES["label_conflicts"] = """
 SELECT sha256(text) AS text_digest, count(DISTINCT source) AS n_labels, min(doc_id) AS first_row_idx, count(*) AS n_rows

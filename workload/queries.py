@@ -100,6 +100,63 @@ def event_rows_unmapped(spark, sf_dir):
     )
 
 
+@query
+def json_array_round_trip(spark, sf_dir):
+    """Rows written as one JSON array (compact, one line) and read back in ranges of the file."""
+    path = _scratch(spark)
+    rows = data.documents(spark, sf_dir).select("doc_id", "text", "source").orderBy("doc_id")
+    objects = rows.select(F.to_json(F.struct("text", F.col("source").alias("label"), "doc_id")).alias("value"))
+    numbered = objects.withColumn("i", F.monotonically_increasing_id())
+    glued = numbered.select(F.concat(F.when(F.col("i") == 0, "[").otherwise(","), "value").alias("value"))
+    end = spark.range(1, numPartitions=1).select(F.lit("]").alias("value"))
+    glued.coalesce(1).unionAll(end).coalesce(1).write.option("lineSep", " ").text(path)
+    raw = seed.read_seed_json(spark, path)
+    return raw.select(
+        "row_idx", F.col("raw")["text"].alias("text"), F.col("raw")["label"].alias("label"), F.col("raw")["doc_id"].alias("doc_id")
+    )
+
+
+@query
+def trials_csv_round_trip(spark, sf_dir):
+    """A trials table written as CSV, found among candidate places and read back."""
+    path = _scratch(spark)
+    trials_table = data.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("note"), F.col("o_totalprice").alias("value")
+    )
+    trials_table.orderBy("number").coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    read = reports.read_trials(spark, [f"{path}-absent", path], "run 1")
+    return read.select("run_id", "number", "note", F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+@query
+def predictions_round_trip(spark, sf_dir):
+    """Prediction lines, some of them broken, written and read back."""
+    path = _scratch(spark)
+    said = F.array(
+        F.struct(F.lit("user").alias("role"), F.col("text").alias("content")),
+        F.struct(F.lit("assistant").alias("role"), F.col("source").alias("content")),
+    )
+    line = F.to_json(F.struct(said.alias("messages")))
+    broken = F.when(F.col("doc_id") % 7 == 3, F.concat(line, F.lit("}"))).otherwise(line)
+    data.documents(spark, sf_dir).orderBy("doc_id").select(broken.alias("value")).coalesce(1).write.text(path)
+    read = reports.read_predictions(spark, path)
+    return read.select(
+        F.col("row_idx").alias("line"), F.size("messages").alias("turns"), F.get("messages", 1)["content"].alias("reply"), "defect"
+    )
+
+
+@query
+def report_labels(spark, sf_dir):
+    """The label list, written in a split report and read back."""
+    path = _scratch(spark)
+    rows = data.documents(spark, sf_dir)
+    sinks.write_report(rows.agg(F.array_sort(F.collect_set("source")).alias("labels")), path)
+    names = reports.read_label_list(spark, path)  # the category list
+    return rows.groupBy("source").count().filter(F.col("source").isin(names)).select(
+        F.col("source").alias("label"), F.col("count").alias("n_rows")
+    )
+
+
 @query
 def label_distribution(spark, sf_dir):
     return intake.label_distribution(data.seed_rows(spark, sf_dir))
