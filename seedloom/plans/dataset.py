@@ -6,6 +6,7 @@ everything before and after is a deterministic Spark job.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from seedloom.plans.registry import step, task_operators
 from seedloom.session import cut_lineage
 from seedloom.sources import seed as seed_files
 from seedloom.sources import sinks
+from seedloom.sources.seed import path_exists
 
 # Takes a request table (see ``fewshot_requests`` plus prompts) and returns candidates:
 # ``request_id, candidate_pos, cleaned_text, judge_raw_output, embedding``, and for the ledger
@@ -90,12 +92,17 @@ def run_generation(
     constants: Mapping[str, str] | None = None,
     threshold: float = similarity.SEMANTIC_THRESHOLD,
     use_minhash: bool = False,
+    rounds_dir: str | None = None,
 ) -> DataFrame:
     """Issue requests and decide candidates, round by round, until the target is met.
 
     ``seed_embeddings`` has the ``embedding`` of each seed text. ``rules`` come from
     ``parse_rules``. ``constants`` (run, models …) are added to every ledger row. Returns
     the ledger.
+
+    With ``rounds_dir`` each round is committed there: its ledger, its accepted vectors and, last, a
+    marker with where numbering stands. A job that starts again on the same inputs reads committed
+    rounds and goes on after the last one; other inputs in the same folder raise.
     """
     spark = seed.sparkSession
     operators = task_operators(task_type)
@@ -107,9 +114,19 @@ def run_generation(
     collected: dict[str, int] = {}
     ledgers: list[DataFrame] = []
     first_seq = first_request = 0
+    inputs = [task_description, target, random_seed, task_type, rules, unknown_rules, unknown_share, threshold, use_minhash]
+    made_from = _fingerprint(seed, inputs) if rounds_dir else ""
     for loop in range(1, max_loops + 1):
         if sum(collected.values()) >= target:
             break
+        done = _committed(spark, rounds_dir, loop, made_from) if rounds_dir else None
+        if done:
+            ledger, vectors, first_seq, first_request = done
+            ledgers.append(ledger)
+            for row in acceptance.accepted_rows(ledger).groupBy("label").count().collect():
+                collected[row["label"]] = collected.get(row["label"], 0) + row["count"]
+            index = index.unionByName(vectors)
+            continue
         tally = spark.createDataFrame(list(collected.items()), "label string, collected bigint")
         slots = quota.request_slots(quota.quota_need(plan, tally), first_request)
         requests = quota.fewshot_requests(
@@ -138,10 +155,41 @@ def run_generation(
         ledgers.append(ledger)
         collected = progress.counts
         accepted = acceptance.accepted_rows(ledger).select("seq")
-        index = cut_lineage(index.unionByName(gated.join(accepted, "seq", "left_semi").select("embedding")))
+        vectors = gated.join(accepted, "seq", "left_semi").select("embedding")
+        if rounds_dir:
+            _commit(f"{rounds_dir}/{loop:04d}", ledger, vectors, (made_from, first_seq, first_request))
+        index = cut_lineage(index.unionByName(vectors))
     return _union_all(ledgers)
 
 
+_MARKER = "made_from string, first_seq bigint, first_request bigint"
+
+
+def _fingerprint(seed: DataFrame, inputs: list) -> str:
+    """What a round depends on: the parameters and, in any order, the seed rows."""
+    row = F.xxhash64("text", "label").cast("decimal(38,0)")
+    rows = seed.agg(F.count("*"), F.sum(row)).first()
+    return hashlib.sha256(repr([*inputs, *map(str, rows)]).encode()).hexdigest()
+
+
+def _commit(path: str, ledger: DataFrame, vectors: DataFrame, marker: tuple[str, int, int]) -> None:
+    """Write a round; the marker comes last, so what a stopped job left half written is written again."""
+    ledger.write.mode("overwrite").parquet(f"{path}/ledger")
+    vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+    ledger.sparkSession.createDataFrame([marker], _MARKER).coalesce(1).write.mode("overwrite").parquet(f"{path}/committed")
+
+
+def _committed(spark: SparkSession, rounds_dir: str, loop: int, made_from: str) -> tuple[DataFrame, DataFrame, int, int] | None:
+    path = f"{rounds_dir}/{loop:04d}"
+    if not path_exists(spark, f"{path}/committed/_SUCCESS"):
+        return None
+    marker = spark.read.parquet(f"{path}/committed").first()
+    if marker["made_from"] != made_from:
+        raise ValueError(f"{rounds_dir} holds rounds of other inputs")
+    tables = (spark.read.parquet(f"{path}/{name}") for name in ("ledger", "vectors"))
+    return *tables, marker["first_seq"], marker["first_request"]
+
+
 def run_report(ledger: DataFrame, target: int, max_loops: int) -> DataFrame:
     """One row: target, accepted rows, loops used, and why the target was missed (or NULL)."""
     accepted = F.count(F.when(F.col("status") == acceptance.ACCEPTED, 1))
@@ -249,6 +297,7 @@ def run_dataset_job(
         unknown_share=unknown_share,
         threshold=threshold,
         use_minhash=use_minhash,
+        rounds_dir=f"{base_dir}/synthetic/rounds",
     )
     sinks.write_ledger(ledger, f"{base_dir}/synthetic/ledger")
     accepted = acceptance.accepted_rows(ledger)

@@ -102,6 +102,44 @@ def test_dataset_job(spark, tmp_path):
     assert spark.read.text(f"{base}/synthetic/generated.jsonl").count() == 60
 
 
+def test_stopped_job_goes_on_after_the_last_committed_round(spark, tmp_path):
+    seed = spark.createDataFrame([(i, f"seed {i}", "AB"[i % 2]) for i in range(8)], "row_idx long, text string, label string")
+    vectors = seed.select(fake_embedding("text").alias("embedding"))
+    asked = []
+
+    def answer(stop_at=None):
+        def models(requests):
+            asked.append(requests.first().loop if "loop" in requests.columns else None)
+            if stop_at and len(asked) == stop_at:
+                raise RuntimeError("stopped")
+            good = '{"fidelity": 0.9, "naturalness": 0.9, "utility": 0.9, "reasoning": "yes"}'
+            only_first = F.when(F.col("candidate_pos") == 0, good).otherwise("no judgement")
+            return fake_models(requests).withColumn("judge_raw_output", only_first)
+
+        return models
+
+    def job(models, folder=None, target=24):
+        return dataset.run_generation(seed, vectors, models, "sort", target, max_loops=6, rounds_dir=folder)
+
+    def shown(ledger):
+        return sorted(tuple(r) for r in ledger.select("loop", "seq", "label", "status", "reason", "text").collect())
+
+    whole = shown(job(answer()))
+    rounds = max(loop for loop, *_ in whole)
+    assert rounds > 3
+    folder = str(tmp_path / "rounds")
+    asked.clear()
+    with pytest.raises(RuntimeError, match="stopped"):
+        job(answer(stop_at=3), folder)
+    asked.clear()
+    assert shown(job(answer(), folder)) == whole
+    assert len(asked) == rounds - 2
+    asked.clear()
+    assert shown(job(answer(), folder)) == whole and not asked
+    with pytest.raises(ValueError, match="other inputs"):
+        job(answer(), folder, target=25)
+
+
 def test_inference_tables(spark):
     rows = spark.createDataFrame([("a doc", '{"label": "nda"}', [0.0, 0.0]), ("  ", "", [])], "text string, generated_text string, token_logprobs array<double>")
     guarded = prompts.guard_blank_requests(rows.select("text")).collect()
