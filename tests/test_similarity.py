@@ -91,6 +91,36 @@ def test_near_duplicates_in_rounds_and_under_crowded_keys(spark, monkeypatch, cr
     test_near_duplicates_of_an_index(spark)
 
 
+@pytest.mark.parametrize(("threshold", "words"), [(0.7, 2_000_000), (0.9, 2_000_000), (0.7, 600)])
+def test_what_near_copies_send(spark, monkeypatch, threshold, words):
+    """Bitmaps of a table of several tiles are less than its packed sets, however many keys sets have."""
+    rng = random.Random(6)
+    texts = [sentence(rng, n) for n in (40, 90, 200, 450) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    sets = df.select("id", shingles.sketch("text").alias("s")).select("id", "s.*").cache()
+    sent, pack = [], near_copies._packed
+    monkeypatch.setattr(near_copies, "KEYS_PER_BUCKET", words)
+    monkeypatch.setattr(near_copies, "_packed", lambda *args: sent.append(pack(*args)) or sent[-1])
+    whole = sets.withColumn("above", F.lit(near_copies._LOWEST))
+    near_copies.candidates(whole, None, threshold, 2, True).collect()
+    n_bytes = sent[0].agg(F.sum(F.octet_length("bits") + F.octet_length("facts"))).first()[0]
+    n_codes = sets.agg(F.sum(F.octet_length("codes"))).first()[0]
+    assert n_bytes < (0.5 if words > 600 else 4) * n_codes
+
+
+def test_tiles_meet_wherever_sizes_can_match(spark):
+    sizes = [*range(1, 60), *range(60, 4000, 37)]
+    sets = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "id bigint, n_shingles bigint")
+    for threshold in (0.5, 0.7, 0.9, 1.0):
+        planned = near_copies.plan_tiles(sets, threshold)
+        met = {(planned.ranges()[x], planned.ranges()[y]) for x, y in near_copies.meeting(planned, None, threshold)}
+        where = np.searchsorted(planned.least, sizes, side="right") - 1
+        for i, n in enumerate(sizes):
+            for j, m in enumerate(sizes):
+                if n <= m and n >= threshold * m:
+                    assert (where[i], where[j]) in met or (where[j], where[i]) in met
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, "abcdefgh"), (1, "abcdefgh"), (3, None), (4, "y" * 200_000 + "z"), (5, "y" * 9 + "z"), (6, "ABCDEFGH")]
     df = spark.createDataFrame([(*r, "x", 0) for r in rows], "id bigint, text string, digest string, codes int")
