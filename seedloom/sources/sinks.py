@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,24 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select(F.to_json(F.struct("*"), _KEEP_NULLS).alias("value")).write.mode(mode).text(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One compact JSON array a part file, in the order of the rows; absent fields are left out."""
+
+    def brackets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opening = "["
+        for batch in batches:
+            if batch.num_rows:
+                first, *rest = batch.column("value").to_pylist()
+                values = [opening + first, *["," + value for value in rest]]
+                opening = ","
+                yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
+        if opening == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+    objects = df.select(F.to_json(F.struct("*")).alias("value"))
+    objects.mapInArrow(brackets, "value string").write.mode(mode).option("lineSep", " ").text(path)
+
+
 def write_flat_jsonl(df: DataFrame, columns: list[str], extra: str, path: str, mode: str = "overwrite") -> None:
     """JSON lines of string ``columns`` and, beside them, the entries of the map ``extra``.
 
