@@ -44,6 +44,28 @@ def running(rows: DataFrame, amount: Column, name: str) -> DataFrame:
     return cut_lineage(found.drop("_amount", "_offset"))
 
 
+def with_place(rows: DataFrame) -> DataFrame:
+    """Add ``file, start, place`` of rows just read from files; ``place`` counts up inside a task."""
+    return rows.withColumns(
+        {
+            "file": F.col("_metadata.file_path"),
+            "start": F.col("_metadata.file_block_start"),
+            "place": F.monotonically_increasing_id(),
+        }
+    )
+
+
+def in_file_order(rows: DataFrame, index: str) -> DataFrame:
+    """Number rows with ``file, start, place`` without gaps, over files by name; ``place`` has to be without
+    gaps inside a split. The rows are read twice: for a count per split, and for themselves."""
+    splits = rows.groupBy("file", "start").agg(F.count("*").alias("_n"), F.min("place").alias("_least"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    offsets = cut_lineage(splits.select("file", "start", "_least", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    placed = rows.join(F.broadcast(offsets), ["file", "start"])
+    number = F.col("_before") + F.col("place") - F.col("_least")
+    return placed.withColumn(index, number).drop("file", "start", "place", "_least", "_before")
+
+
 def count_of(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seedloom.functions.jsontext import is_json
 from seedloom.functions.text import strip
+from seedloom.sources import ranges
 from seedloom.sources.seed import path_exists
 
 MESSAGES = "array<struct<role:string,content:string>>"
@@ -48,16 +49,29 @@ def fill_evaluation_defaults(reports: DataFrame) -> DataFrame:
     )
 
 
+#: A CSV line that is whole by itself: fields without quotes, or quoted ones with doubled quotes inside.
+_FIELD = r'(?:"(?:[^"\r]++|"")*+"|[^",\r]*+)'
+_WHOLE_LINE = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
+
+
 def read_trials(spark: SparkSession, candidates: list[str], run_id: str) -> DataFrame | None:
-    """Read the first existing trials CSV of ``candidates`` as all-string columns."""
+    """Read the first existing trials CSV of ``candidates`` as all-string columns, numbered in file order.
+
+    Files whose lines are all whole records are read by several tasks each; one with line breaks
+    inside quotes is read by one.
+    """
     for path in candidates:
         if path_exists(spark, path):
-            rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-            return rows.select(
-                F.lit(run_id).alias("run_id"),
-                F.monotonically_increasing_id().alias("row_idx"),
-                "*",
+            line = F.col("value")
+            whole = (line.rlike(_WHOLE_LINE) & (F.trim(line) != "")) | (line == "")
+            lines = spark.read.option("lineSep", "\n").text(path)
+            broken = not lines.filter(~whole).isEmpty()
+            rows = spark.read.option("header", True).option("multiLine", broken).option("escape", '"').csv(path)
+            names = rows.columns
+            numbered = ranges.in_file_order(
+                ranges.with_place(rows.select(F.struct("*").alias("_row"), "_metadata")).drop("_metadata"), "row_idx"
             )
+            return numbered.select(F.lit(run_id).alias("run_id"), "row_idx", *[F.col("_row")[name].alias(name) for name in names])
     return None
 
 
