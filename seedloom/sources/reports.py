@@ -83,10 +83,13 @@ def trial_paths(run_id: str) -> list[str]:
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Conversation lines as ``row_idx, messages, defect``; broken lines are flagged."""
-    lines = spark.read.text(path).filter(strip("value") != "")
-    return lines.select(
-        F.monotonically_increasing_id().alias("row_idx"),
+    """Conversation lines as ``row_idx, messages, defect``; broken lines are flagged.
+
+    ``row_idx`` counts the lines that are not blank, over all splits and files by name.
+    """
+    lines = ranges.with_place(spark.read.text(path).filter(strip("value") != ""))
+    return ranges.in_file_order(lines, "row_idx").select(
+        "row_idx",
         conversation(F.col("value")).alias("messages"),
         F.when(~is_json("value"), F.lit("malformed")).alias("defect"),
     )
