@@ -1,6 +1,9 @@
 """Best inner products between two tables of vectors, as joins of vector tiles.
 
-Rows are packed into tiles of about ``TILE_ROWS`` vectors: by their nearest of at most
+Rows are packed into tiles of ``TILE_ROWS`` vectors or, in large tables, of a part in ``PIVOTS`` of
+them, up to ``TILE_BYTES``; so the bytes that pairs of tiles take grow with the table, not with its
+square. Vectors keep the width of their column and are multiplied in double precision. They are
+placed by their nearest of at most
 ``PIVOTS`` pivot vectors, then by a hash, so a crowded cell becomes many tiles. Pairs of
 tiles meet in an equi-join on the tile's key and are multiplied in the tasks; only the best
 product of a row leaves one. Neither table passes through the driver or is broadcast.
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from seedloom.session import cut_lineage, shuffle_width
 
 TILE_ROWS = 4096
+TILE_BYTES = 8 << 20
 PIVOTS = 32
 _TILE = "cell int, tile int, seqs array<bigint>, data binary, centre array<double>, radius double"
 
@@ -35,6 +39,9 @@ class Tiles:
 
     frame: DataFrame
     cells: list[tuple[int, list[float], float, int]]
+    #: Rows of a tile, about, and the type of its packed vectors.
+    rows: int = TILE_ROWS
+    kind: str = "<f8"
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -61,7 +68,10 @@ def _unit(vector: np.ndarray) -> np.ndarray:
 def pack(rows: DataFrame, tile_rows: int = TILE_ROWS) -> Tiles:
     """Tiles of ``rows`` (``seq, embedding``)."""
     rows = rows.select("seq", "embedding")
-    n = rows.count()
+    facts = rows.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("width")).first()
+    n, kind = facts["n"], "<f4" if rows.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+    widest = TILE_BYTES // (max(facts["width"] or 1, 1) * int(kind[-1]))
+    tile_rows = max(tile_rows, min(-(-n // PIVOTS), widest))
     wanted = max(1, min(PIVOTS, -(-n // tile_rows)))
     if wanted == 1:
         placed, pivots = rows.withColumn("cell", F.lit(0)), None
@@ -74,8 +84,8 @@ def pack(rows: DataFrame, tile_rows: int = TILE_ROWS) -> Tiles:
                 cells = (matrix(batch.column("embedding")) @ pivots.T).argmax(axis=1) if batch.num_rows else []
                 yield batch.append_column("cell", pa.array(cells, pa.int32()))
 
-        kind = rows.schema["embedding"].dataType.simpleString()
-        placed = rows.mapInArrow(place, f"seq bigint, embedding {kind}, cell int")
+        column = rows.schema["embedding"].dataType.simpleString()
+        placed = rows.mapInArrow(place, f"seq bigint, embedding {column}, cell int")
     sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles"))
     numbered = placed.join(F.broadcast(sizes), "cell").withColumn(  # a row per pivot
         "tile", F.pmod(F.xxhash64("seq", F.lit(1)), F.col("tiles")).cast("int")
@@ -90,7 +100,7 @@ def pack(rows: DataFrame, tile_rows: int = TILE_ROWS) -> Tiles:
                 "cell": pa.array([cell], pa.int32()),
                 "tile": pa.array([table["tile"][0].as_py()], pa.int32()),
                 "seqs": pa.array([table["seq"].to_pylist()], pa.list_(pa.int64())),
-                "data": pa.array([vectors.tobytes()], pa.binary()),
+                "data": pa.array([vectors.astype(kind).tobytes()], pa.binary()),
                 "centre": pa.array([centre.tolist()], pa.list_(pa.float64())),
                 "radius": pa.array([_angles(vectors, centre)]),
             }
@@ -108,7 +118,7 @@ def pack(rows: DataFrame, tile_rows: int = TILE_ROWS) -> Tiles:
             F.max("tile").alias("last"), F.max(_from_pivot(pivots)).alias("radius")
         ).collect():
             found.append((row["cell"], pivots[row["cell"]].tolist(), row["radius"], row["last"] + 1))
-    return Tiles(frame, found)
+    return Tiles(frame, found, tile_rows, kind)
 
 
 def _dot(one, other):
@@ -150,19 +160,22 @@ _ASKED = "seq bigint, vector binary, cell int"
 
 def _rows_of(tiles: Tiles) -> DataFrame:
     """Rows of packed tiles, with no product yet."""
+    tiles_kind = tiles.kind
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 seqs = batch.column("seqs")[row].values
-                vectors = np.frombuffer(batch.column("data")[row].as_buffer()).reshape(len(seqs), -1)
+                vectors = np.frombuffer(batch.column("data")[row].as_buffer(), tiles_kind).reshape(len(seqs), -1)
                 columns = [seqs, pa.array([v.tobytes() for v in vectors], pa.binary()), pa.nulls(len(seqs), pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, ["seq", "vector", "best"])
 
     return tiles.frame.select("seqs", "data").mapInArrow(unpack, _STATE)
 
 
-def ask_cells(state: DataFrame, cells: list[tuple[int, list[float], float, int]], first: int, last: int) -> DataFrame:
+def ask_cells(
+    state: DataFrame, cells: list[tuple[int, list[float], float, int]], first: int, last: int, kind: str = "<f8"
+) -> DataFrame:
     """Cells of ranks ``first .. last`` in each row's order of promise that can beat its best product."""
     numbers = np.array([cell for cell, *_ in cells], np.int32)
     pivots = np.array([pivot for _, pivot, *_ in cells])
@@ -172,7 +185,7 @@ def ask_cells(state: DataFrame, cells: list[tuple[int, list[float], float, int]]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = np.frombuffer(b"".join(batch.column("vector").to_pylist())).reshape(batch.num_rows, -1)
+            vectors = np.frombuffer(b"".join(batch.column("vector").to_pylist()), kind).reshape(batch.num_rows, -1).astype(float)
             lengths = np.sqrt((vectors * vectors).sum(axis=1))
             unit = np.abs(lengths - 1) <= 1e-3
             nearest = np.arccos(np.clip(vectors @ pivots.T / np.maximum(lengths, 1e-300)[:, None], -1, 1)) - reach
@@ -200,10 +213,10 @@ def _best_first(one: Tiles, other: Tiles, reduce) -> DataFrame:
     state, first, done = cut_lineage(_rows_of(one)), 0, None
     while first < len(other.cells):
         last = 2 * first + 1
-        asked = cut_lineage(ask_cells(state, other.cells, first, last))
+        asked = cut_lineage(ask_cells(state, other.cells, first, last, one.kind))
         if asked.isEmpty():
             break
-        sizes = asked.groupBy("cell").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("parts"))
+        sizes = asked.groupBy("cell").agg(F.ceil(F.count("*") / max(TILE_ROWS, one.rows)).cast("int").alias("parts"))
         parts = asked.join(F.broadcast(sizes), "cell").withColumn(  # a row per pivot
             "part", F.pmod(F.xxhash64("seq", F.lit(2)), F.col("parts")).cast("int")
         )
@@ -212,7 +225,7 @@ def _best_first(one: Tiles, other: Tiles, reduce) -> DataFrame:
         )
         heavy2 = other.frame.select("cell", F.col("seqs").alias("seqs2"), F.col("data").alias("data2"))
         met = tiles.join(heavy2, "cell").select("seqs", "data", "seqs2", "data2")
-        better = met.mapInArrow(_multiplier(reduce, ["seq", "max_similarity"]), "seq bigint, max_similarity double")
+        better = met.mapInArrow(_multiplier(reduce, ["seq", "max_similarity"], one.kind, other.kind), "seq bigint, max_similarity double")
         better = better.groupBy("seq").agg(F.max("max_similarity").alias("found"))
         joined = state.join(better, "seq", "left").select("seq", "vector", F.greatest("best", "found").alias("best"))
         asking = asked.select("seq").distinct().withColumn("asked", F.lit(True))
@@ -264,21 +277,25 @@ def _products(one: Tiles, other: Tiles, at_least: float | None, reduce, column:
 
     spread = pairs.repartition(shuffle_width(spark), "cell", "tile", "cell2", "tile2")
     products = spread.join(heavy, ["cell", "tile"]).join(heavy2, ["cell2", "tile2"])
-    return products.select("seqs", "data", "seqs2", "data2").mapInArrow(_multiplier(reduce, names), f"seq bigint, {column}")
+    return products.select("seqs", "data", "seqs2", "data2").mapInArrow(
+        _multiplier(reduce, names, one.kind, other.kind), f"seq bigint, {column}"
+    )
 
 
-def _multiplier(reduce, names: list[str]):
+def _multiplier(reduce, names: list[str], kind: str, kind2: str):
     """Products of the packed vectors of two tiles, reduced to values per row."""
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 seqs, seqs2 = (batch.column(c)[row].values.to_numpy() for c in ("seqs", "seqs2"))
-                data, data2 = (np.frombuffer(batch.column(c)[row].as_buffer()) for c in ("data", "data2"))
-                vectors, vectors2 = data.reshape(len(seqs), -1), data2.reshape(len(seqs2), -1)
-                for at in range(0, len(seqs), 1024):
-                    part = slice(at, at + 1024)
-                    reduced = reduce(vectors[part] @ vectors2.T, seqs[part], seqs2)
+                data = np.frombuffer(batch.column("data")[row].as_buffer(), kind)
+                data2 = np.frombuffer(batch.column("data2")[row].as_buffer(), kind2)
+                vectors, vectors2 = data.reshape(len(seqs), -1), data2.reshape(len(seqs2), -1).astype(float)
+                step = max(1, min(1024, (1 << 22) // max(len(seqs2), 1)))  # products of 32 MB at a time
+                for at in range(0, len(seqs), step):
+                    part = slice(at, at + step)
+                    reduced = reduce(vectors[part].astype(float) @ vectors2.T, seqs[part], seqs2)
                     yield pa.RecordBatch.from_arrays([pa.array(values) for values in reduced], names)
 
     return multiply

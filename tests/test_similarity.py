@@ -170,6 +170,19 @@ def test_best_first_search_asks_few_cells(spark, monkeypatch, earlier):
     assert len(asks) > 1 and sum(asks) < 0.6 * 20 * len(vectors)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_tiles_grow_with_the_table(spark, kind):
+    vectors = unit(np.random.default_rng(8), 3000, d=4)
+    frame = vector_frame(spark, vectors).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    packed = tiles.pack(frame, 10)
+    assert packed.frame.count() <= 3 * tiles.PIVOTS  # not one for every ten rows
+    bits = packed.frame.agg(F.sum(F.octet_length("data"))).first()[0]
+    assert bits == 3000 * 4 * (4 if kind == "float" else 8)
+    got = {r.seq: r.first for r in similarity.first_similar(frame, threshold=0.95, tile_rows=10).collect()}
+    alike = np.tril(vectors.astype(float) @ vectors.astype(float).T >= 0.95, -1)
+    assert got == {i: int(row.argmax()) for i, row in enumerate(alike) if row.any()}
+
+
 def test_exact_copies(spark):
     seed = spark.createDataFrame([("a",), ("b",)], "text string")
     rows = spark.createDataFrame([(5, "c"), (3, "c"), (1, "a"), (9, "d")], "seq bigint, text string")
