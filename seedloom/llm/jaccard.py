@@ -59,6 +59,8 @@ COSTLY = 4
 ROUNDS = 1
 #: Keys of more sets than this are compared in tiles of about so many sets.
 CROWDED, TILE_SETS = 64, 512
+#: Most entries of sets in a tile, keys looked at together, and first tiles of a group in one task.
+TILE_ENTRIES, KEYS_AT_ONCE, TILES_IN_TASK = 100_000, 4_096, 8
 #: A one-deletion neighbourhood needs this many shingles, so that what is left says something.
 LEAST_FOR_DELETION = 3
 
@@ -265,50 +267,91 @@ def _hopeful(percent: int):
     return run
 
 
-_TILE = "key long, tile int, ids array<long>, sizes array<long>, flags array<int>, components array<long>, known array<boolean>, sketches binary"
+_GROUP = ["hub", "own", "tile"]
+_TILE = (
+    "hub long, own long, tile int, tiles int, ids array<long>, sizes array<long>, components array<long>, "
+    "known array<boolean>, counts array<int>, keys array<long>, flags array<int>, sketches binary"
+)
 
 
 def _pack_tile(table: pa.Table) -> pa.Table:
+    """One row for the sets of a tile: their keys lie one after the other, ``counts`` of them for each set."""
+    table = table.combine_chunks()
     sketches = table.column("sketch").to_pylist()
     blank = bytes(SKETCH_BINS)
-    lists = [
-        [table.column(c).to_pylist()] for c in ("set_id", "n", "flags", "component")
-    ] + [[[s is not None for s in sketches]]]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
-    columns = [pa.array(values, pa.list_(kind)) for values, kind in zip(lists, kinds, strict=True)]
-    names = ["ids", "sizes", "flags", "components", "known"]
-    packed = pa.array([b"".join(s or blank for s in sketches)], pa.binary())
-    first = table.slice(0, 1)
-    return pa.table([first.column("key"), first.column("tile"), *columns, packed], names=["key", "tile", *names, "sketches"])
+    entries_ = table.column("entries").combine_chunks()
+    flat = entries_.flatten()
+    columns = {
+        "ids": table.column("set_id").combine_chunks(),
+        "sizes": table.column("n").combine_chunks(),
+        "components": table.column("component").combine_chunks(),
+        "known": pa.array([s is not None for s in sketches]),
+        "counts": pc.list_value_length(entries_),
+        "keys": flat.field("key"),
+        "flags": flat.field("flags"),
+    }
+    one = {c: table.column(c).slice(0, 1) for c in [*_GROUP, "tiles"]}
+    lists = {c: pa.ListArray.from_arrays(np.array([0, len(v)], np.int32), v) for c, v in columns.items()}
+    return pa.table(one | lists | {"sketches": pa.array([b"".join(s or blank for s in sketches)], pa.binary())})
+
+
+class _Side:
+    """The sets of one tile, from the columns that end in ``end``."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int, end: str):
+        ids, sizes, components, known, counts, keys, flags = (
+            batch.column(c + end)[row].values.to_numpy(zero_copy_only=False)
+            for c in ("ids", "sizes", "components", "known", "counts", "keys", "flags")
+        )
+        self.ids, self.sizes, self.components, self.known = ids, sizes, components, known
+        self.keys, self.flags, self.owner = keys, flags, np.repeat(np.arange(len(ids)), counts)
+        self.sketches = np.frombuffer(batch.column("sketches" + end)[row].as_buffer(), np.uint8).reshape(-1, SKETCH_BINS)
+
+    def having(self, keys: np.ndarray, sets: np.ndarray, bits: int) -> np.ndarray:
+        """Which of the sorted ``sets`` have which of the sorted ``keys`` with one of the bits."""
+        found = np.zeros((len(sets), len(keys)), np.float32)
+        mine = (self.flags & bits > 0) & np.isin(self.owner, sets) & np.isin(self.keys, keys)
+        found[np.searchsorted(sets, self.owner[mine]), np.searchsorted(keys, self.keys[mine])] = 1
+        return found
+
+
+def _meeting(one: _Side, other: _Side, keep: np.ndarray) -> np.ndarray:
+    """The pairs of ``keep`` that have a key that one side indexes and the other looks up."""
+    rows, columns = np.flatnonzero(keep.any(axis=1)), np.flatnonzero(keep.any(axis=0))
+    met = np.zeros((len(rows), len(columns)), bool)
+    keys = np.intersect1d(one.keys[np.isin(one.owner, rows)], other.keys[np.isin(other.owner, columns)])
+    for at in range(0, len(keys), KEYS_AT_ONCE):
+        part = keys[at : at + KEYS_AT_ONCE]
+        for f, g in (
+            (INDEX, PROBE | PROBE_LESS), (INDEX_LESS, PROBE), (PROBE | PROBE_LESS, INDEX), (PROBE, INDEX_LESS)
+        ):
+            met |= one.having(part, rows, f) @ other.having(part, columns, g).T > 0
+    found = np.zeros_like(keep)
+    found[np.ix_(rows, columns)] = met
+    return keep & found
 
 
 def _tile_pairs(percent: int):
     """Pairs of two tiles' sets that entries make and sizes, components and histograms allow."""
 
-    def side(batch: pa.RecordBatch, row: int, end: str) -> dict[str, np.ndarray]:
-        found = {c: np.array(batch.column(c + end)[row].as_py()) for c in ("ids", "sizes", "flags", "components", "known")}
-        sketches = np.frombuffer(batch.column("sketches" + end)[row].as_py(), np.uint8).reshape(-1, SKETCH_BINS)
-        return found | {"sketches": sketches}
-
-    def meets(f: np.ndarray, g: np.ndarray) -> np.ndarray:
-        f, g = f[:, None], g[None, :]
-        return ((f & INDEX > 0) & (g & (PROBE | PROBE_LESS) > 0)) | ((f & INDEX_LESS > 0) & (g & PROBE > 0))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                one, other = side(batch, row, ""), side(batch, row, "2")
-                sizes, sizes2 = one["sizes"][:, None], other["sizes"][None, :]
-                keep = meets(one["flags"], other["flags"]) | meets(other["flags"], one["flags"]).T
-                keep &= one["components"][:, None] != other["components"][None, :]
+                one, other = _Side(batch, row, ""), _Side(batch, row, "2")
+                sizes, sizes2 = one.sizes[:, None], other.sizes[None, :]
+                keep = one.components[:, None] != other.components[None, :]
                 keep &= 100 * np.minimum(sizes, sizes2) >= percent * np.maximum(sizes, sizes2)
+                if batch.column("tile")[row] == batch.column("tile2")[row]:
+                    keep = np.triu(keep)
+                if not keep.any():
+                    continue
                 most = np.zeros(keep.shape, np.int32)
                 for bin_ in range(SKETCH_BINS):
-                    most += np.minimum(one["sketches"][:, bin_, None], other["sketches"][None, :, bin_])
-                known = one["known"][:, None] & other["known"][None, :]
+                    most += np.minimum(one.sketches[:, bin_, None], other.sketches[None, :, bin_])
+                known = one.known[:, None] & other.known[None, :]
                 keep &= ~known | (100 * most >= percent * (sizes + sizes2 - most))
-                i, j = np.nonzero(keep)
-                a, b = one["ids"][i], other["ids"][j]
+                i, j = np.nonzero(_meeting(one, other, keep))
+                a, b = one.ids[i], other.ids[j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
@@ -468,13 +511,43 @@ class _Join:
 
     def crowded_pairs(self, placed: DataFrame) -> DataFrame:
         """The same for larger keys: tiles of sets are compared by their histograms as matrices, and
-        only pairs that may link become rows."""
-        tile = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("size") / TILE_SETS)).cast("int")
-        rows = placed.filter(F.col("size") > CROWDED).withColumn("tile", tile)
-        sketched = rows.join(self.sets.select("set_id", "sketch"), "set_id")
-        tiles = written(sketched.groupBy("key", "tile").applyInArrow(_pack_tile, _TILE), "jaccard-tiles")
-        other = tiles.select("key", *[F.col(c).alias(f"{c}2") for c in tiles.columns if c != "key"])
-        return tiles.join(other, "key").filter("tile <= tile2").mapInArrow(_tile_pairs(self.percent), "a long, b long")
+        only pairs that may link become rows.
+
+        Near copies share many keys. Keys with one smallest set are compared at once, so that a pair is
+        looked at once and not under every key it shares; ``own`` is -1 then. Where that would take more
+        comparisons, since the keys' sets are mostly different ones, a key stays by itself.
+        """
+        rows = placed.filter(F.col("size") > CROWDED).groupBy("key", "set_id").agg(
+            F.first("n").alias("n"), F.first("component").alias("component"), F.bit_or("flags").alias("flags")
+        )
+        rows = written(rows, "jaccard-crowded")
+        keys = rows.groupBy("key").agg(F.min("set_id").alias("hub"), F.count("*").alias("in_key"))
+        by_hub = rows.join(keys, "key").groupBy("hub").agg(
+            F.countDistinct("set_id").cast("double").alias("sets"), F.sum("in_key").cast("double").alias("squares")
+        )
+        own = F.when(F.col("sets") * F.col("sets") <= F.col("squares"), F.lit(-1)).otherwise(F.col("key"))
+        dealt = keys.join(by_hub, "hub").select("key", "hub", own.cast("long").alias("own"))
+        members = written(
+            rows.join(dealt, "key")
+            .groupBy("hub", "own", "set_id")
+            .agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_list(F.struct("key", "flags")).alias("entries")),
+            "jaccard-members",
+        )
+        wide = F.greatest(F.count("*") / TILE_SETS, F.sum(F.size("entries")) / TILE_ENTRIES)
+        tiles = members.groupBy("hub", "own").agg(F.ceil(wide).cast("int").alias("tiles"))
+        placed_sets = (
+            members.join(tiles, ["hub", "own"])
+            .withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int"))
+            .join(self.sets.select("set_id", "sketch"), "set_id")
+        )
+        packed = written(placed_sets.groupBy(*_GROUP).applyInArrow(_pack_tile, _TILE), "jaccard-tiles")
+        # The pairs of a group with many tiles are shared out by its first tile.
+        shares = F.ceil(F.col("tiles") / TILES_IN_TASK).cast("int")
+        one = packed.withColumn("share", F.pmod("tile", shares)).drop("tiles")
+        other = packed.withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("tiles")
+        joined = ["hub", "own", "share"]
+        other = other.select(*joined, *[F.col(c).alias(f"{c}2") for c in other.columns if c not in joined])
+        return one.join(other, joined).filter("tile <= tile2").mapInArrow(_tile_pairs(self.percent), "a long, b long")
 
 
 def _struct(fields: str) -> str:

@@ -105,3 +105,22 @@ def test_repeated_rows_and_empty_table(spark):
     assert got == sorted([(1, 2, 1), (1, 2, 1), (None, 2, 1), (3, 2, 1), (4, 1, 4), (4, 1, 4)], key=repr)
     assert J.similar_documents(frame.limit(0)).count() == 0
     assert J.similar_documents(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).count() == 2
+
+
+def test_pairs_of_crowded_keys_are_made_once(spark, monkeypatch):
+    """Near copies that share many keys are one pair each, not one for every key they share."""
+    monkeypatch.setattr(J, "CROWDED", 8)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    rows = []
+    for i in range(40):
+        copy = list(base)
+        for at in rng.sample(range(600), 3):
+            copy[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(copy)))
+    join = J._Join(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    placed = join.open_entries(join.entries, spark.createDataFrame([], "a long, b long"))
+    pairs = join.crowded_pairs(placed)
+    found = pairs.distinct().count()
+    assert found == 40 * 39 // 2
+    assert pairs.count() <= 3 * found
