@@ -18,7 +18,6 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import pickle
 from collections.abc import Iterator
 
@@ -37,7 +36,9 @@ LEAST_STEPS = 400
 PER_LANGUAGE = 150
 TRAIN_CHARS = 1_000
 MAX_LANGUAGES = 500
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
+#: Bytes of text looked at together; sums of its words are held several times over.
+SLICE = 2_000_000
 LONGEST_REMEMBERED = 64
 UNDETERMINED = "und"
 
@@ -155,7 +156,7 @@ def train(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int =
 
 
 class Labeller:
-    """Sums of log probabilities per word, remembered for the life of a Python worker."""
+    """Sums of log probabilities per word, remembered as long as the labeller lives."""
 
     def __init__(self, model: ByteGRU):
         self.model = model
@@ -229,17 +230,6 @@ class Labeller:
         return names, np.where(lettered, p[np.arange(len(best)), best], 0.0)
 
 
-_labellers: dict[str, Labeller] = {}
-
-
-def _labeller(packed: bytes) -> Labeller:
-    key = hashlib.sha256(packed).hexdigest()
-    if key not in _labellers:
-        _labellers.clear()
-        _labellers[key] = Labeller(pickle.loads(packed))
-    return _labellers[key]
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
@@ -275,6 +265,27 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[t
     return sample
 
 
+def _predict(packed, carried: list[str]):
+    """Columns ``carried``, language and score of every row, by the model in the broadcast ``packed``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The memo goes with the task: the same worker serves later stages, which need the room.
+        labeller = Labeller(pickle.loads(packed.value))
+        for batch in batches:
+            found, scores = [], []
+            for part in text_slices([batch.select(["text"])], SLICE):
+                languages, values = labeller.predict(part.column("text"))
+                found += languages
+                scores.append(values)
+            scores = np.concatenate(scores) if scores else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(name) for name in carried], pa.array(found, pa.string()), pa.array(scores)],
+                [*carried, "lang_pred", "score"],
+            )
+
+    return run
+
+
 def _predicted(docs: DataFrame, columns: list[str], per_language: int) -> DataFrame:
     """``columns`` of ``docs`` as ``c0``, ``c1``, ... with ``held_out, lang_pred, score``.
 
@@ -293,21 +304,8 @@ def _predicted(docs: DataFrame, columns: list[str], per_language: int) -> DataFr
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     carried = [*names, "held_out"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, scores = [], []
-            for part in text_slices([batch.select(["text"])]):
-                languages, values = _labeller(packed.value).predict(part.column("text"))
-                found += languages
-                scores.append(values)
-            scores = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(name) for name in carried], pa.array(found, pa.string()), pa.array(scores)],
-                [*carried, "lang_pred", "score"],
-            )
-
     schema = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in carried)
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(_predict(packed, carried), f"{schema}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

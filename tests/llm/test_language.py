@@ -92,3 +92,27 @@ def test_memo_does_not_change_results():
     for text, name, score in zip(texts, *together, strict=True):
         alone = L.Labeller(model).predict(pa.array([text], pa.large_string()))
         assert alone[0] == [name] and abs(alone[1][0] - score) < 1e-5
+
+
+def test_memo_goes_with_the_task(monkeypatch):
+    """A Python worker that goes on to other stages keeps nothing of the words it has looked up."""
+    import gc
+    import pickle
+    import weakref
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    model = L.train([t for _, t, _ in made(60)], [lang for _, _, lang in made(60)], epochs=1)
+    seen = []
+
+    class Watched(L.Labeller):
+        def __init__(self, model):
+            super().__init__(model)
+            seen.append(weakref.ref(self))
+
+    monkeypatch.setattr(L, "Labeller", Watched)
+    batch = pa.RecordBatch.from_pydict({"c0": [1, 2], "text": ["some words", "some more"]})
+    found = list(L._predict(SimpleNamespace(value=pickle.dumps(model)), ["c0"])(iter([batch, batch])))
+    gc.collect()
+    assert [b.num_rows for b in found] == [2, 2] and len(seen) == 1 and seen[0]() is None
