@@ -123,7 +123,12 @@ class RunLengthIndex:
         return found
 
     def first_owners(self) -> list[np.ndarray]:
-        """For every string, the smallest owner of each of its windows of ``length`` bytes.
+        """For every string, the smallest owner of each of its windows of ``length`` bytes."""
+        windows = np.maximum(self.ends - self.begins - self.length + 1, 0)
+        return np.split(self.window_owners(), np.cumsum(windows)[:-1]) if len(windows) else []
+
+    def window_owners(self) -> np.ndarray:
+        """The same, one string after the other.
 
         All strings are streamed backwards at once. The matching statistic of a window, cut off
         at ``length``, is ``length`` towards just those strings whose rows share its group.
@@ -144,4 +149,4 @@ class RunLengthIndex:
             if done >= self.length:
                 group = np.searchsorted(self.group_starts, rows, side="right") - 1
                 flat[out_at[alive] + sizes - done] = self.group_owner[group]
-        return [flat[a:b] for a, b in zip(out_at[:-1], out_at[1:], strict=True)]
+        return flat

@@ -10,11 +10,12 @@ How one run-length index serves a corpus that no machine can hold:
    strings; equal windows have equal anchors. Anchors are shared out by value, as packed blocks,
    to find those that two texts have. An anchor met twice in one slice is settled there, so
    a frequent anchor costs one entry a slice.
-2. Runs of windows with one shared anchor are cut out as segments. Equal segments become one,
-   with the smallest id. Segments of one anchor go to one shard; anchors with very many
-   documents are divided by a second hash order first (``HOT_SHARE`` bounds that list). An anchor
-   whose segments still exceed ``SHARD_BYTES`` has several shards, dealt by segment.
-3. Each shard builds a run-compressed Burrows-Wheeler transform of its segments with sampled run
+2. Runs of windows with one shared anchor are cut out as segments, once a slice. Segments of one
+   anchor go to one shard; anchors with very many documents are divided by a second hash order
+   first (``HOT_SHARE`` bounds that list). An anchor whose segments still exceed ``SHARD_BYTES``
+   has several shards, dealt by segment. Equal segments meet in a shard and become one, with the
+   smallest id; the only segment of an anchor has all its windows to itself.
+3. Each shard builds a run-compressed Burrows-Wheeler transform of its other segments with sampled run
    ends (``RunLengthIndex``), streams all segments through it, and gives for each window the
    smallest id that holds it. Shards of one anchor give away their distinct windows, named by 128
    bits, with these ids, and get back the windows that another of them knows with a smaller one.
@@ -46,72 +47,95 @@ GRAM = 24
 #: Anchors in one packed bucket, windows in one segment, bytes of segments in one shard.
 BUCKET_ANCHORS = 3_000_000
 SEGMENT_WINDOWS = 2_000
-SHARD_BYTES = 200_000
+SHARD_BYTES = 400_000
 #: An anchor with more documents than this, and than one in HOT_SHARE of all anchors, is divided.
 HOT_DOCUMENTS = 20_000
 HOT_SHARE = 1_000_000
 
-_BYTE_HASH = np.random.default_rng(20).integers(0, 1 << 63, 512, dtype=np.uint64).reshape(2, 256) | np.uint64(1)
+#: Bytes hashed at a time: what is computed from them stays in the processor cache.
+HASH_BLOCK = 1 << 14
+
+_ODD = np.random.default_rng(20).integers(0, 1 << 63, 6, dtype=np.uint64).reshape(2, 3) | np.uint64(1)
+#: Stands for bytes at which no whole window begins; anchors are smaller.
+_NO_WINDOW = np.uint64(1 << KEY_BITS)
 
 
 def window_anchors(data: np.ndarray, length: int, gram: int, order: int = 0) -> np.ndarray:
     """Anchor of the window that starts at each byte, while a whole window follows (48-bit values)."""
-    n = len(data) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    least, width, seen = span_hashes(data, gram, order) >> np.uint64(64 - KEY_BITS), length - gram + 1, 1
-    while seen < width:
-        more = min(seen, width - seen)
-        least = np.minimum(least[:-more], least[more:])
-        seen += more
-    return least[:n]
+    found, width = np.empty(max(len(data) - length + 1, 0), np.uint64), length - gram + 1
+    for at in range(0, len(found), HASH_BLOCK):
+        least, seen = span_hashes(data[at : at + HASH_BLOCK + length - 1], gram, order) >> np.uint64(64 - KEY_BITS), 1
+        while seen < width:
+            more = min(seen, width - seen)
+            least = np.minimum(least[:-more], least[more:])
+            seen += more
+        found[at : at + len(least)] = least
+    return found
 
 
 def span_hashes(data: np.ndarray, size: int, order: int = 0) -> np.ndarray:
     """64-bit hash of every string of ``size`` bytes in ``data``, which is no shorter."""
-    current, span, rest, value, taken = _BYTE_HASH[order][data], 1, size, None, 0
-    while True:  # hashes of spans 1, 2, 4, ... put together to ``size`` bytes
-        if rest & 1:
-            if value is None:
-                value = current
-            else:
-                part = current[taken:]
-                value = mix(value[: len(part)] * np.uint64(0x2545F4914F6CDD1D) + part[: len(value)])
-            taken += span
-        rest >>= 1
-        if not rest:
-            break
-        current = mix(current[:-span] * np.uint64(0xD6E8FEB86659FD93) + current[span:])
-        span *= 2
+    data, n = np.ascontiguousarray(data), len(data) - size + 1
+    if size < 8:
+        words = [sum(data[k : k + n].astype(np.uint64) << np.uint64(8 * k) for k in range(size))]
+    else:  # eight bytes at a time; the last ones may overlap those before
+        words = [np.ndarray((n,), "<u8", data, at, (1,)) for at in sorted({*range(0, size - 7, 8), size - 8})]
+    first, other, last = _ODD[order]
+    value = np.full(n, last, np.uint64)
+    for word in words:
+        value ^= word
+        value *= first
+        value ^= value >> np.uint64(32)
+    value *= other
+    value ^= value >> np.uint64(29)
+    value *= last
     return value
 
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Places where one of the columns, all of one length, begins or has another value than before."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[0] = True
+    for column in columns:
+        fresh[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(fresh)
+
+
 def anchor_runs(
-    data: np.ndarray, offsets: np.ndarray, length: int, gram: int, hot: np.ndarray | None = None
+    data: np.ndarray, offsets: np.ndarray, length: int, gram: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document, first window, number of windows and anchor of every run of windows in documents.
-
-    Windows of anchors in the sorted array ``hot`` are also parted where the second anchor
-    changes; their value then mixes both.
-    """
+    """Document, first window, number of windows and anchor of every run of windows in documents."""
     anchors = window_anchors(data, length, gram)
-    sizes = np.maximum(np.diff(offsets) - length + 1, 0)
-    places = ragged(offsets[:-1], sizes)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    value = anchors[places]
-    if hot is not None and len(hot) and len(value):
-        dividing = np.isin(value, hot)
-        if dividing.any():
-            second = window_anchors(data, length, gram, order=1)[places[dividing]]
-            value = value.copy()
-            value[dividing] = mix(value[dividing] ^ (second << np.uint64(16))) >> np.uint64(64 - KEY_BITS)
-    if not len(value):
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, value
-    fresh = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])
-    begin = np.flatnonzero(fresh)
-    count = np.diff(np.append(begin, len(value)))
-    return owner[begin], places[begin], count, value[begin]
+    tails = np.minimum(np.diff(offsets), length - 1)
+    gaps = ragged(offsets[1:] - tails, tails)
+    anchors[gaps[gaps < len(anchors)]] = _NO_WINDOW
+    begin = _changes(anchors)
+    count, value = np.diff(np.append(begin, len(anchors))), anchors[begin]
+    real = value != _NO_WINDOW
+    begin = begin[real]
+    return np.searchsorted(offsets, begin, side="right") - 1, begin, count[real], value[real]
+
+
+def divided_runs(
+    data: np.ndarray, begin: np.ndarray, count: np.ndarray, value: np.ndarray, hot: np.ndarray, length: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and value of runs; those of anchors in ``hot`` are parted where
+    the second anchor changes, and their value mixes both."""
+    heavy = np.isin(value, hot)
+    if not heavy.any():
+        return begin, count, value
+    starts, windows = begin[heavy], count[heavy]
+    sizes = windows + length - 1
+    second = window_anchors(data[ragged(starts, sizes)], length, gram, order=1)
+    second = second[ragged(np.cumsum(sizes) - sizes, windows)]
+    mixed = mix(np.repeat(value[heavy], windows) ^ (second << np.uint64(16))) >> np.uint64(64 - KEY_BITS)
+    fresh = _changes(mixed, np.repeat(np.arange(len(starts)), windows))
+    parted = (ragged(starts, windows)[fresh], np.diff(np.append(fresh, len(mixed))), mixed[fresh])
+    begin, count, value = (np.concatenate([a[~heavy], b]) for a, b in zip((begin, count, value), parted, strict=True))
+    order = np.argsort(begin, kind="stable")
+    return begin[order], count[order], value[order]
 
 
 def _anchor_blocks(buckets: int, length: int, gram: int):
@@ -124,8 +148,8 @@ def _anchor_blocks(buckets: int, length: int, gram: int):
             owner, _, _, value = anchor_runs(data, offsets, length, gram)
             order = np.lexsort((value, owner))
             owner, value = owner[order], value[order]
-            keep = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])[: len(value)]
-            owner, value = owner[keep], value[keep]
+            once = _changes(value, owner)
+            owner, value = owner[once], value[once]
             yield blocks(value, owner, np.zeros(len(value), np.uint8), contents, contents, buckets, turn)
 
     return run
@@ -168,12 +192,10 @@ def _segments(hot, length: int, gram: int):
             ids = np.asarray(batch.column("doc_id"), np.int64)
             shared = np.unique(np.asarray(batch.column("anchors").flatten(), np.int64).astype(np.uint64))
             # Whether an anchor is shared is asked of its first value, before hot ones are divided.
-            plain_owner, plain_begin, plain_count, plain = anchor_runs(data, offsets, length, gram)
-            wanted = np.isin(plain, shared)
-            owner, begin, count, value = anchor_runs(data, offsets, length, gram, hot.value)
-            run_of = np.searchsorted(plain_begin, begin, side="right") - 1
-            keep = wanted[run_of] if len(begin) else wanted
-            owner, begin, count, value = owner[keep], begin[keep], count[keep], value[keep]
+            _, begin, count, value = anchor_runs(data, offsets, length, gram)
+            keep = np.isin(value, shared)
+            begin, count, value = divided_runs(data, begin[keep], count[keep], value[keep], hot.value, length, gram)
+            owner = np.searchsorted(offsets, begin, side="right") - 1
             # Long runs (repeating text) are cut; the pieces overlap by all but a byte of a window.
             pieces = -(-count // SEGMENT_WINDOWS)
             step = ragged(np.zeros(len(pieces), np.int64), pieces) * SEGMENT_WINDOWS
@@ -210,9 +232,10 @@ _MARKS = "key binary, starts array<int>, stops array<int>, firsts array<long>"
 _WINDOWS = "shard long, name binary, first long"
 
 
-def in_shards(distinct: DataFrame) -> DataFrame:
-    """``key, segment, first, shard, split``: shards of about ``SHARD_BYTES``; ``split`` if others hold the anchor too."""
-    each = distinct.groupBy("anchor").agg(F.sum(F.octet_length("segment")).alias("n_bytes"))
+def in_shards(segments: DataFrame) -> DataFrame:
+    """``key, anchor, segment, first, shard, split``: shards of about ``SHARD_BYTES``; ``split`` if others
+    hold the anchor too. Rows of one key are in one shard."""
+    each = segments.groupBy("anchor").agg(F.sum(F.octet_length("segment")).alias("n_bytes"))
     each = written(each, "anchor-bytes")
     total = each.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, math.ceil(total / SHARD_BYTES))
@@ -220,8 +243,9 @@ def in_shards(distinct: DataFrame) -> DataFrame:
     heavy = F.broadcast(each.filter(F.col("n_bytes") > SHARD_BYTES))
     part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n_bytes") / SHARD_BYTES))
     split = F.col("n_bytes").isNotNull()
-    return distinct.join(heavy, "anchor", "left").select(
+    return segments.join(heavy, "anchor", "left").select(
         "key",
+        "anchor",
         "segment",
         "first",
         F.when(split, F.xxhash64("anchor", part)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"),
@@ -229,27 +253,51 @@ def in_shards(distinct: DataFrame) -> DataFrame:
     )
 
 
-def _first_owners(table: pa.Table, length: int) -> list[np.ndarray]:
-    segments = table.column("segment").to_pylist()
-    return RunLengthIndex(segments, np.asarray(table.column("first"), np.int64), length).first_owners()
-
-
-def _marks(table: pa.Table, owners: list[np.ndarray], length: int) -> pa.Table:
+class _Shard:
+    """Different segments of a shard, each with its smallest id."""
+
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks()
+        halves = np.frombuffer(b"".join(table.column("key").to_pylist()), "<u8").reshape(-1, 2)
+        order = np.lexsort((halves[:, 1], halves[:, 0]))
+        begin = _changes(halves[order, 0], halves[order, 1])
+        first = np.asarray(table.column("first"), np.int64)[order]
+        self.first = np.minimum.reduceat(first, begin) if len(begin) else first
+        table = table.take(pa.array(order[begin]))
+        self.keys, self.segments = table.column("key"), table.column("segment").to_pylist()
+        self.anchors = np.asarray(table.column("anchor"), np.int64)
+
+    def owners(self, length: int) -> np.ndarray:
+        """Smallest owner of every window of the segments, one after the other.
+
+        The windows of a segment that is the only one of its anchor are nowhere else; the others are
+        looked up in an index.
+        """
+        counts = np.fromiter(map(len, self.segments), np.int64, len(self.segments)) - length + 1
+        owners = np.repeat(self.first, counts)
+        _, code, number = np.unique(self.anchors, return_inverse=True, return_counts=True)
+        several = number[code] > 1
+        if several.any():
+            rows = np.flatnonzero(several)
+            index = RunLengthIndex([self.segments[row] for row in rows.tolist()], self.first[rows], length)
+            owners[np.repeat(several, counts)] = index.window_owners()
+        return owners
+
+
+def _marks(shard: _Shard, owners: np.ndarray, length: int) -> pa.Table:
     """Runs of windows with one smallest id, for every distinct segment of a shard."""
-    starts, stops, firsts = [], [], []
-    for found in owners:
-        begin = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-        starts.append(begin.astype(np.int32))
-        stops.append((np.append(begin[1:], len(found)) + length - 1).astype(np.int32))
-        firsts.append(found[begin])
-    return pa.table(
-        {
-            "key": table.column("key"),
-            "starts": pa.array(starts, pa.list_(pa.int32())),
-            "stops": pa.array(stops, pa.list_(pa.int32())),
-            "firsts": pa.array(firsts, pa.list_(pa.int64())),
-        }
-    )
+    counts = np.fromiter(map(len, shard.segments), np.int64, len(shard.segments)) - length + 1
+    number = np.repeat(np.arange(len(counts)), counts)
+    begin = _changes(owners, number)
+    base = (np.cumsum(counts) - counts)[number[begin]]
+    offsets = np.searchsorted(number[begin], np.arange(len(counts) + 1)).astype(np.int32)
+    stops = np.append(begin[1:], len(owners)) if len(begin) else begin
+    columns = {
+        "starts": (begin - base).astype(np.int32),
+        "stops": (stops - base + length - 1).astype(np.int32),
+        "firsts": owners[begin],
+    }
+    return pa.table({"key": shard.keys} | {c: pa.ListArray.from_arrays(offsets, pa.array(v)) for c, v in columns.items()})
 
 
 def _window_names(segments: list[bytes], length: int) -> np.ndarray:
@@ -263,7 +311,8 @@ def _window_names(segments: list[bytes], length: int) -> np.ndarray:
 
 def _index_shard(length: int):
     def run(table: pa.Table) -> pa.Table:
-        return _marks(table, _first_owners(table, length), length)
+        shard = _Shard(table)
+        return _marks(shard, shard.owners(length), length)
 
     return run
 
@@ -272,13 +321,13 @@ def _shard_windows(length: int):
     """Distinct windows of a shard with their smallest ids."""
 
     def run(table: pa.Table) -> pa.Table:
-        names = _window_names(table.column("segment").to_pylist(), length)
-        owners = np.concatenate(_first_owners(table, length))
+        shard = _Shard(table)
+        names, owners = _window_names(shard.segments, length), shard.owners(length)
         _, once = np.unique(names, return_index=True)
         shown = np.frombuffer(names[once].tobytes(), np.uint8)
         named = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(once), [None, pa.py_buffer(shown)])
-        shard = pa.array(np.full(len(once), table.column("shard")[0].as_py(), np.int64))
-        return pa.table({"shard": shard, "name": named.cast(pa.binary()), "first": owners[once]})
+        number = pa.array(np.full(len(once), table.column("shard")[0].as_py(), np.int64))
+        return pa.table({"shard": number, "name": named.cast(pa.binary()), "first": owners[once]})
 
     return run
 
@@ -287,27 +336,25 @@ def _index_split_shard(length: int):
     """The same marks, where ``known`` has windows that another shard of the anchor knows with a smaller id."""
 
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _marks(table, [], length)
-        owners = _first_owners(table, length)
-        if known.num_rows:
+        shard = _Shard(table)
+        owners = shard.owners(length)
+        if known.num_rows and len(owners):
             names = np.array(known.column("name").to_pylist(), "S16")
             order = np.argsort(names)
             names, least = names[order], np.asarray(known.column("least"), np.int64)[order]
-            wanted = _window_names(table.column("segment").to_pylist(), length)
+            wanted = _window_names(shard.segments, length)
             at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
-            flat = np.where(names[at] == wanted, least[at], np.concatenate(owners))
-            owners = np.split(flat, np.cumsum([len(o) for o in owners])[:-1])
-        return _marks(table, owners, length)
+            owners = np.where(names[at] == wanted, least[at], owners)
+        return _marks(shard, owners, length)
 
     return run
 
 
-def shard_marks(distinct: DataFrame, length: int) -> DataFrame:
-    """``_MARKS`` of distinct segments ``key, segment, first, anchor``."""
-    dealt = written(in_shards(distinct), "shards")
+def shard_marks(segments: DataFrame, length: int) -> DataFrame:
+    """``_MARKS`` of segments ``key, segment, first, anchor``; a key may have several rows."""
+    dealt = in_shards(segments)
     marks = dealt.filter("NOT split").groupBy("shard").applyInArrow(_index_shard(length), _MARKS)
-    split = dealt.filter("split")
+    split = written(dealt.filter("split"), "split-shards")
     if split.isEmpty():
         return marks
     windows = written(split.groupBy("shard").applyInArrow(_shard_windows(length), _WINDOWS), "shard-windows")
@@ -378,13 +425,8 @@ def repeated_spans(firsts: DataFrame, docs: DataFrame, length: int = LENGTH, gra
         .mapInArrow(_segments(spark.sparkContext.broadcast(hot), length, gram), _SEGMENTS),
         "segments",
     )
-    distinct = written(
-        segments.filter("segment IS NOT NULL")
-        .groupBy("key")
-        .agg(F.first("segment").alias("segment"), F.min("first").alias("first"), F.first("anchor").alias("anchor")),
-        "distinct-segments",
-    )
-    marks = written(shard_marks(distinct, length), "marks")
+    texts = segments.filter("segment IS NOT NULL").select("key", "anchor", "segment", "first")
+    marks = written(shard_marks(texts, length), "marks")
     runs = F.filter(F.arrays_zip("starts", "stops", "firsts"), lambda r: r["firsts"] < F.col("doc_id"))
     return (
         segments.select("key", "doc_id", "content", "place")

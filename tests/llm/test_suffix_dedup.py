@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from seedloom.llm import suffix_dedup as S
 from seedloom.llm.run_length_index import RunLengthIndex
@@ -85,3 +86,22 @@ def test_hot_passage_in_different_surroundings(spark, monkeypatch):
 def test_empty_table(spark):
     check(spark, [])
     check(spark, [(1, None), (2, "")])
+
+
+def test_index_holds_only_segments_that_share_an_anchor(monkeypatch):
+    indexed = []
+
+    class Recorded(RunLengthIndex):
+        def __init__(self, strings, owners, length):
+            indexed.extend(strings)
+            super().__init__(strings, owners, length)
+
+    monkeypatch.setattr(S, "RunLengthIndex", Recorded)
+    rows = [(b"a" * 16, 1, b"alone here", 5), (b"b" * 16, 2, b"xcommon", 4), (b"c" * 16, 2, b"commony", 3)]
+    rows.append((b"a" * 16, 1, b"alone here", 2))  # the same segment from another slice
+    names = ["key", "anchor", "segment", "first"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)) | {"shard": [0] * 4})
+    marks = S._index_shard(5)(table).to_pylist()
+    assert sorted(indexed) == [b"commony", b"xcommon"]
+    found = {m["key"][:1]: list(zip(m["starts"], m["stops"], m["firsts"], strict=True)) for m in marks}
+    assert found == {b"a": [(0, 10, 2)], b"b": [(0, 5, 4), (1, 7, 3)], b"c": [(0, 7, 3)]}
