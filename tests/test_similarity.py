@@ -411,3 +411,35 @@ def test_batches_behind_the_limit_are_in_the_ledger(spark):
     got = {r.seq: (r.loop, r.reason) for r in decided.collect()}
     assert got == {k: (k + 1, None if k < 3 else "not_reached") for k in range(25)}
     assert acceptance.MAX_LOOPS == 20
+
+
+def test_only_sets_of_candidate_pairs_are_sent_whole(spark):
+    rng = random.Random(8)
+    texts = [sentence(rng) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    plain = similarity.sketched(df, "id", "text", 0.9)
+    asked = spark.createDataFrame([(7,), (7,), (200,)], "id bigint")
+    codes = similarity._codes_of(asked, (similarity._distinct_sets(plain), plain))
+    assert sorted(row.id for row in codes.collect()) == [7, 200]
+
+
+def test_pairs_of_tiles_take_turns():
+    tiles = near_copies.Tiles([1, 50], [49, 90], [3, 2], [4, 4], [300, 200])
+    pairs = near_copies.meeting(tiles, None, 0.5)
+    whole = near_copies._turns(pairs, tiles, tiles)
+    assert whole == [pairs]
+    one_tile = 8 * 100
+    near_copies.SENT_AT_ONCE, before = 3 * one_tile, near_copies.SENT_AT_ONCE
+    near_copies.SENT_TIMES, times = 0, near_copies.SENT_TIMES
+    try:
+        turns = near_copies._turns(pairs, tiles, tiles)
+    finally:
+        near_copies.SENT_AT_ONCE, near_copies.SENT_TIMES = before, times
+    assert sum(turns, []) == pairs and {len(turn) for turn in turns} == {1}
+
+
+def test_near_duplicates_in_turns(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "KEYS_PER_BUCKET", 400)
+    monkeypatch.setattr(near_copies, "SENT_AT_ONCE", 20_000)
+    monkeypatch.setattr(near_copies, "SENT_TIMES", 0)
+    test_near_duplicates_match_brute_force(spark, 0.7)
