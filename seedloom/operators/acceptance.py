@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedloom.functions.shingles import jaccard_of, shingle_codes
+from seedloom.functions.shingles import jaccard_of, unpack_codes
+from seedloom.operators import near_copies
 from seedloom.operators.quota import MAX_LOOPS
 from seedloom.operators.ranking import cutoff_keys
 from seedloom.operators.responses import is_valid_candidate
@@ -36,12 +37,13 @@ from seedloom.operators.similarity import (
     JACCARD_THRESHOLD,
     SEMANTIC_THRESHOLD,
     VECTOR_INDEX,
+    codes_of,
     first_similar,
-    near_duplicates,
+    flagged,
     top_similarity,
 )
 from seedloom.operators.tiles import matrix
-from seedloom.session import cut_lineage
+from seedloom.session import cut_lineage, spread_small, written
 
 #: Undecided rows, about, that are taken up at a time: the earliest ones.
 WINDOW_ROWS = 1_000_000
@@ -111,8 +113,8 @@ def greedy_accept(
     """
     progress = Progress(dict(quota), target, dict(collected or {}))
     kinds = _Kinds("embedding" in candidates.columns, use_minhash, exact_guard, threshold)
-    # The narrow columns are read many times; the parsing behind them runs once.
-    candidates = cut_lineage(candidates.select("seq", "label", "gate", *kinds.columns()))
+    # The narrow columns are read many times; the parsing and sketching behind them runs once.
+    candidates = kinds.narrowed(candidates, ["seq", "label", "gate"])
     seeds = _seeds(kinds, seed_index, seed_texts)
     rows = candidates.filter(F.col("gate").isNull() & F.col("label").isin(progress.open_labels())).drop("gate")
     if seeds and not progress.done():
@@ -209,9 +211,25 @@ class _Kinds:
     near_texts: bool
     equal_texts: bool
     threshold: float
-
-    def columns(self) -> list[str]:
-        return ["embedding"] * self.vectors + ["cleaned_text"] * (self.near_texts or self.equal_texts)
+    #: Packed shingle sets of all rows (``id, digest, codes``), read where a pair is verified.
+    codes: DataFrame | None = None
+
+    def narrowed(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """A table of ``columns`` and what rows are compared by. Texts are read here only: digests and
+        bitmaps stand for them, and packed sets go to ``codes``."""
+        texts = "cleaned_text" in rows.columns
+        kept = rows.select(
+            *columns,
+            *["embedding"] * (self.vectors and "embedding" in rows.columns),
+            *[F.sha2("cleaned_text", 256).alias("text_digest")] * (self.equal_texts and texts),
+            *[F.col("cleaned_text").alias("text"), F.col("seq").cast("long").alias("id")] * (self.near_texts and texts),
+        )
+        if not (self.near_texts and texts):
+            return cut_lineage(kept)
+        table = written(near_copies.sketched(spread_small(kept, "seq"), JACCARD_THRESHOLD), "candidate-sketches")
+        codes = table.select("id", "digest", "codes")
+        self.codes = codes if self.codes is None else self.codes.unionAll(codes)
+        return table.drop("codes", "id")
 
     def first_like(self, rows: DataFrame, other: DataFrame | None = None) -> DataFrame | None:
         """``seq, first``: of rows that are like one of ``other``, the smallest ``seq`` of those; without
@@ -220,13 +238,13 @@ class _Kinds:
         if self.vectors and "embedding" in against.columns:
             own = rows.select("seq", "embedding")
             found.append(first_similar(own, None if other is None else other.select("seq", "embedding"), self.threshold))
-        if self.near_texts and "cleaned_text" in against.columns:
-            flagged = near_duplicates(rows, "seq", "cleaned_text", index=other)
-            found.append(flagged.filter("status = 'near_dup'").select("seq", F.col("dup_of").alias("first")))
-        if self.equal_texts and "cleaned_text" in against.columns:
-            digest = F.sha2("cleaned_text", 256).alias("digest")
-            firsts = against.groupBy(digest).agg(F.min("seq").alias("first"))
-            met = rows.select("seq", digest).join(firsts, "digest")
+        if self.near_texts and "bits" in against.columns:
+            own, others = _sketches(rows), None if other is None else _sketches(other)
+            flags = flagged(own, others, JACCARD_THRESHOLD, self.codes, self.codes).filter("status = 'near_dup'")
+            found.append(flags.select(F.col("id").alias("seq"), F.col("dup_of").alias("first")))
+        if self.equal_texts and "text_digest" in against.columns:
+            firsts = against.groupBy("text_digest").agg(F.min("seq").alias("first"))
+            met = rows.select("seq", "text_digest").join(firsts, "text_digest")
             found.append(met.filter("first < seq" if other is None else "true").select("seq", "first"))
         if not found:
             return None
@@ -271,7 +289,21 @@ class _Kinds:
     def in_order(self, rows: DataFrame) -> DataFrame:
         """``independent`` of a bounded table, row by row in one task."""
         flags = (self.vectors, self.near_texts, self.equal_texts, self.threshold)
-        return rows.coalesce(1).sortWithinPartitions("seq").mapInArrow(_decider(flags), rows.schema)
+        schema = rows.schema
+        if self.near_texts:
+            own = _sketches(rows)
+            codes = codes_of(own, (own, self.codes)).withColumnRenamed("id", "seq")
+            rows = rows.join(codes, "seq").select(*schema.names, "codes")
+        # One task for these few rows, and not for the tables they come from.
+        return rows.repartition(1).sortWithinPartitions("seq").mapInArrow(_decider(flags), schema)
+
+
+def _sketches(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("seq").cast("long").alias("id"), "n_shingles", "digest", "bits")
+
+
+#: Digest of the empty text.
+_EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 class _Accepted:
@@ -282,16 +314,16 @@ class _Accepted:
         self.threshold, self.count = threshold, 0
         self.vectors: np.ndarray | None = None
         self.sets: list[np.ndarray] = []
-        self.texts: set[bytes] = set()
+        self.texts: set[str] = set()
 
-    def take(self, vector: np.ndarray | None, text: str | None) -> bool:
-        digest = hashlib.sha256((text or "").encode()).digest() if self.by_equal_texts else b""
-        if digest in self.texts:
+    def take(self, vector: np.ndarray | None, codes: bytes | None, digest: str | None) -> bool:
+        digest = digest or _EMPTY
+        if self.by_equal_texts and digest in self.texts:
             return False
         if self.by_vectors and self.count and (self.vectors[: self.count] @ vector).max() >= self.threshold:
             return False
         if self.by_near_texts:
-            codes = shingle_codes(text)
+            codes = unpack_codes(codes)
             if any(jaccard_of(codes, other) >= JACCARD_THRESHOLD for other in self.sets):
                 return False
             self.sets.append(codes)
@@ -315,11 +347,14 @@ def _decider(flags: tuple[bool, bool, bool, float]):
         index = _Accepted(*flags)
         for batch in batches:
             vectors = matrix(batch.column("embedding")) if by_vectors else None
-            texts = batch.column("cleaned_text").to_pylist() if by_near_texts or by_equal_texts else None
+            codes = batch.column("codes").to_pylist() if by_near_texts else None
+            digests = batch.column("text_digest").to_pylist() if by_equal_texts else None
             taken = [
-                index.take(None if vectors is None else vectors[row], texts and texts[row]) for row in range(batch.num_rows)
+                index.take(None if vectors is None else vectors[row], codes and codes[row], digests and digests[row])
+                for row in range(batch.num_rows)
             ]
-            yield batch.filter(pa.array(taken, pa.bool_()))
+            kept = batch.filter(pa.array(taken, pa.bool_()))
+            yield kept.select([name for name in kept.schema.names if name != "codes"])
 
     return run
 
@@ -335,9 +370,9 @@ def _seeds(kinds: _Kinds, seed_index: DataFrame | None, seed_texts: DataFrame |
     number = (-1 - F.monotonically_increasing_id()).alias("seq")
     seeds = []
     if kinds.vectors and seed_index is not None:
-        seeds.append(cut_lineage(seed_index.select(number, "embedding")))
+        seeds.append(kinds.narrowed(seed_index.select(number, "embedding"), ["seq"]))
     if (kinds.near_texts or kinds.equal_texts) and seed_texts is not None:
-        seeds.append(cut_lineage(seed_texts.select(number, "cleaned_text")))
+        seeds.append(kinds.narrowed(seed_texts.select(number, "cleaned_text"), ["seq"]))
     return seeds
 
 
@@ -370,9 +405,9 @@ def _ledger(
     marked = candidates.join(accepted.select("seq", F.lit(True).alias("_accepted")), "seq", "left")
     copied = F.lit(False)
     if kinds.equal_texts:
-        marked = marked.withColumn("_digest", F.sha2("cleaned_text", 256))
+        marked = marked.withColumnRenamed("text_digest", "_digest")
         taken = marked.filter("_accepted").groupBy("_digest").agg(F.min("seq").alias("_first"))
-        known = _union([s.select(F.sha2("cleaned_text", 256).alias("_digest")) for s in seeds if "cleaned_text" in s.columns],
+        known = _union([s.select(F.col("text_digest").alias("_digest")) for s in seeds if "text_digest" in s.columns],
                        taken.select("_digest").filter("false"))
         known = known.distinct().withColumn("_seed", F.lit(True))
         marked = marked.join(taken, "_digest", "left").join(known, "_digest", "left")

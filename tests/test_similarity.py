@@ -419,7 +419,7 @@ def test_only_sets_of_candidate_pairs_are_sent_whole(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     plain = similarity.sketched(df, "id", "text", 0.9)
     asked = spark.createDataFrame([(7,), (7,), (200,)], "id bigint")
-    codes = similarity._codes_of(asked, (similarity._distinct_sets(plain), plain))
+    codes = similarity.codes_of(asked, (similarity._distinct_sets(plain), plain))
     assert sorted(row.id for row in codes.collect()) == [7, 200]
 
 
@@ -443,3 +443,19 @@ def test_near_duplicates_in_turns(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "SENT_AT_ONCE", 20_000)
     monkeypatch.setattr(near_copies, "SENT_TIMES", 0)
     test_near_duplicates_match_brute_force(spark, 0.7)
+
+
+def test_greedy_reads_texts_once(spark, monkeypatch):
+    """Rounds compare digests and bitmaps; no table between them holds a text."""
+    kept, cut = [], acceptance.cut_lineage
+    monkeypatch.setattr(acceptance, "cut_lineage", lambda df: kept.append(df.columns) or cut(df))
+    monkeypatch.setattr(acceptance, "LAST_ROWS", 2)
+    texts = corpus()[:60]
+    df = spark.createDataFrame([(i, "a", None, t) for i, t in enumerate(texts)], "seq bigint, label string, gate string, cleaned_text string")
+    decided, _ = acceptance.greedy_accept(df, {"a": 60}, 60, use_minhash=True, seed_texts=df.limit(0))
+    accepted = []
+    for i, text in enumerate(texts):
+        if all(jaccard(grams(text), grams(texts[j])) < 0.9 for j in accepted):
+            accepted.append(i)
+    assert sorted(r.seq for r in decided.filter("status = 'accepted'").collect()) == accepted
+    assert kept and not any("cleaned_text" in columns for columns in kept)
