@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedloom.llm.arrays import PieceMemo, Table, byte_characters, encode_each, encode_joined, text_slices
+from seedloom.llm.arrays import PieceMemo, Table, byte_characters, encode_each, encode_joined, text_slices, utf8_bytes
 
 
 def load_ranks(rank_file: str) -> dict[bytes, int]:
@@ -75,13 +75,14 @@ def build_tokenizer(ranks: dict[bytes, int], pattern: str) -> str:
 def piece_encoder(tokenizer, pattern: str):
     """Encoder of lists of pieces. A piece that is one match goes straight to the merges; pieces
     that begin and end a match for sure are joined; the others are encoded one by one."""
-    one, shown, merge = regex.compile(pattern), byte_characters(), tokenizer.model.tokenize
+    one, merge = regex.compile(pattern), tokenizer.model.tokenize
+    shown = dict(enumerate(byte_characters()))
 
     def direct(piece: str) -> list[int] | None:
         # Only characters on whose class every Unicode version agrees.
         if not piece or max(piece) > "\u024f" or one.match(piece).end() < len(piece):
             return None
-        return [token.id for token in merge("".join([shown[byte] for byte in piece.encode()]))]
+        return [token.id for token in merge(piece.encode().decode("latin-1").translate(shown))]
 
     def rest(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
@@ -126,12 +127,12 @@ class Coder:
         ends = np.cumsum(np.asarray(pc.list_value_length(lists), np.int64))
         firsts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
         # A word that is empty or has white space at an edge does not start or end a piece.
-        odd = np.fromiter((not word or _blank(word[0]) or _blank(word[-1]) for word in distinct), bool, len(distinct))
+        odd = _odd(words.dictionary, distinct)
         odd_texts = np.add.reduceat(odd[codes], firsts) > 0 if len(firsts) else np.zeros(0, bool)
         plain = np.ones(len(codes), bool)
         plain[firsts] = False
         plain &= ~np.repeat(odd_texts, ends - firsts)
-        used = np.unique(codes[plain])
+        used = np.flatnonzero(np.bincount(codes[plain], minlength=len(distinct)))
         spaced = np.zeros(len(distinct), np.int64)
         spaced[used] = memo.look_up([" " + distinct[code] for code in used])
         rows = np.zeros(len(codes), np.int64)
@@ -160,6 +161,18 @@ class Coder:
         return self.tokens.join(ids)
 
 
+def _odd(words: pa.Array, listed: list[str]) -> np.ndarray:
+    """Which words are empty or have white space at an edge; ``listed`` are the same words."""
+    data, offsets = utf8_bytes(words)
+    odd = offsets[1:] == offsets[:-1]
+    rows = np.flatnonzero(~odd)
+    # Printable ASCII is told from the byte; other edges are looked at one by one.
+    edges = np.stack([data[offsets[:-1][rows]], data[offsets[1:][rows] - 1]])
+    for row in rows[((edges <= 0x20) | (edges >= 0x7F)).any(axis=0)].tolist():
+        odd[row] = _blank(listed[row][0]) or _blank(listed[row][-1])
+    return odd
+
+
 def _blank(character: str) -> bool:
     return character.isspace() or character == "\u180e"
 

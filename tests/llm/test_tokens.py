@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -117,3 +118,11 @@ def test_memo_keeps_frequent_pieces():
     memo.make_room()
     assert list(memo.rows) == ["a"]
     assert memo.gather(memo.look_up(["bb", "a"])).tolist() == [2, 1]
+
+
+def test_words_with_space_at_an_edge():
+    words = ["", "a", "\n", "a\n", "\ta", "é", " x", "x ", "᠎y", "\x1cz", "z\x7f", "日本", "a b"]
+    found = byte_bpe._odd(pa.array(words).slice(0), words)
+    assert found.tolist() == [not w or byte_bpe._blank(w[0]) or byte_bpe._blank(w[-1]) for w in words]
+    assert byte_bpe._odd(pa.array(words).slice(2, 3), words[2:5]).tolist() == [True] * 3
+    assert byte_bpe._odd(pa.array([], pa.string()), []).tolist() == []
